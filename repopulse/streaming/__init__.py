@@ -1,0 +1 @@
+"""Empty on purpose: the data is a snapshot reloaded by keyed upserts, so there is no stream to process."""
