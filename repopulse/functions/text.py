@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,4 +54,7 @@ def without_fence(column: Column) -> Column:
 
 
 def question_kind(column: Column) -> Column:
-    return F.when(F.lower(column).rlike("|".join(CHART_WORDS)), "chart").otherwise("text")
+    """Twelve plain substring tests, which on long texts are much faster than one pattern."""
+    text = F.lower(column)
+    asks = reduce(or_, (F.contains(text, F.lit(word)) for word in CHART_WORDS))
+    return F.when(asks, "chart").otherwise("text")

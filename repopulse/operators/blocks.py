@@ -94,7 +94,7 @@ def table_cells(df: DataFrame, text: str, *keys: str) -> DataFrame:
     records = blocks.filter((F.col("_text") != "") & (quotes % 2 == 0)).withColumn(
         "_rows", F.transform(F.regexp_extract_all("_text", F.lit(_RECORD), F.lit(1)), _cells)
     )
-    header = F.element_at("_rows", 1)
+    header = F.get("_rows", F.lit(0))
     data = F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
     parsed = records.select(*keys, "block", header.alias("_header"), data.alias("_data"))
     extra = F.greatest(F.coalesce(F.size(F.get("_data", F.lit(0))), F.lit(0)) - F.size("_header"), F.lit(0))

@@ -59,46 +59,47 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     return _tally(df, keys, {}).select(F.col("duplicates").alias("duplicate_rows"))
 
 
-def table_checks(repos: DataFrame, discussions: DataFrame) -> DataFrame:
-    """``check_name, offending_rows, description`` of all ten checks, each table read once."""
-    models = _tally(
-        repos,
-        [],
-        {
+def table_checks(repos: DataFrame, discussions: DataFrame, names: tuple[str, ...] = tuple(CHECKS)) -> DataFrame:
+    """``check_name, offending_rows, description`` of all ten checks or the named ones, in report order.
+
+    Each table is read once, and only if one of its checks is asked for; only the duplicate check
+    brings in the grouping by key.
+    """
+    conditions = {
+        "models": {
             "missing_model_id": F.col("model_id").isNull(),
             "negative_likes": F.col("likes") < 0,
             "negative_downloads": F.col("downloads") < 0,
         },
-    )
-    threads = _tally(
-        discussions,
-        ["repo_id", "hf_discussion_num"],
-        {
+        "discussions": {
             "missing_repo_id": F.col("repo_id").isNull(),
             "missing_created_at": F.col("created_at").isNull(),
             "invalid_status_values": invalid_status(F.col("status")),
             "closed_before_created": F.col("closed_at") < F.col("created_at"),
         },
-    )
-    results = {"models": models, "discussions": threads}
+    }
     columns = {"total_rows": "rows", "duplicate_per_repo": "duplicates"}
-    order = list(CHECKS)
 
-    def lines(table: str) -> DataFrame:
+    def lines(table: str, df: DataFrame) -> DataFrame | None:
+        asked = [name for name in CHECKS if name in names and name.startswith(f"{table}.")]
+        if not asked:
+            return None
+        short = {name: name.split(".")[1] for name in asked}
+        wanted = {c: condition for c, condition in conditions[table].items() if c in short.values()}
+        keys = ["repo_id", "hf_discussion_num"] if "duplicate_per_repo" in short.values() else []
         entries = [
             F.struct(
-                F.lit(order.index(name)).alias("position"),
+                F.lit(list(CHECKS).index(name)).alias("position"),
                 F.lit(name).alias("check_name"),
-                F.col(columns.get(short, short)).alias("offending_rows"),
-                F.lit(text).alias("description"),
+                F.col(columns.get(short[name], short[name])).alias("offending_rows"),
+                F.lit(CHECKS[name]).alias("description"),
             )
-            for name, text in CHECKS.items()
-            for prefix, short in [name.split(".")]
-            if prefix == table
+            for name in asked
         ]
-        return results[table].select(F.inline(F.array(*entries)))
+        return _tally(df, keys, wanted).select(F.inline(F.array(*entries)))
 
-    return reduce(DataFrame.unionByName, [lines(t) for t in results]).orderBy("position").drop("position")
+    found = [part for part in (lines("models", repos), lines("discussions", discussions)) if part is not None]
+    return reduce(DataFrame.unionByName, found).orderBy("position").drop("position")
 
 
 def failures(checks: DataFrame) -> DataFrame:
