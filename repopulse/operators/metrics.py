@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repopulse.functions.numbers import count_where, min_max, ratio_half_even, ratio_half_up
@@ -23,12 +23,22 @@ def engagement(repos: DataFrame, discussions: DataFrame) -> DataFrame:
     """Mean of the min-max scaled downloads, likes and discussion counts of every repository.
 
     The bounds come from a scalar subquery: partial minima and maxima per task and one row at the
-    end, where an unpartitioned window would pull all repositories into one task.
+    end, where an unpartitioned window would pull all repositories into one task. The extremes of
+    the discussion count are taken on structs that start with it and hold the other counts too.
+    The subquery then needs the same columns as the main query, so both use one shuffle of the
+    discussions and the table is read once.
     """
     base = with_totals(repos, discussions, "model_id", "tag", "likes", "downloads")
-    limits = bounds(base, *SCORED).select(F.struct("*")).scalar()
+    totals = F.struct("total_discussions", "closed_discussions", "open_discussions")
+    ranked = base.withColumn("total_discussions", totals)
+    limits = bounds(ranked, *SCORED).select(F.struct("*")).scalar()
+
+    def limit(column: str, side: str) -> Column:
+        value = limits[f"{column}_{side}"]
+        return value["total_discussions"] if column == "total_discussions" else value
+
     scaled = base.withColumns(
-        {alias: min_max(F.col(c), limits[f"{c}_min"], limits[f"{c}_max"]) for c, alias in SCORED.items()}
+        {alias: min_max(F.col(c), limit(c, "min"), limit(c, "max")) for c, alias in SCORED.items()}
     )
     score = F.col("norm_downloads") + F.col("norm_likes") + F.col("norm_discussions")
     return scaled.withColumns(
@@ -89,7 +99,7 @@ def headline(repos: DataFrame, discussions: DataFrame) -> DataFrame:
     created_days = F.array(*(F.col(f"created_{d}") for d in days))
     closed_days = F.array(*(F.col(f"closed_{d}") for d in days))
 
-    def busiest(counts):
+    def busiest(counts: Column) -> Column:
         position = F.array_position(counts, F.array_max(counts)).cast("int")
         return F.when(F.array_max(counts) > 0, weekday_name_of(position - 1))
 
