@@ -89,21 +89,42 @@ def table_cells(df: DataFrame, text: str, *keys: str) -> DataFrame:
     the first data row and the header allow. Leading cells of a first data row that is longer
     than the header have no column and are left out. Short rows are filled with nulls.
     """
-    blocks = df.select(*keys, F.posexplode(F.transform(table_blocks(F.col(text)), strip)).alias("block", "_text"))
+    blocks = df.select(*keys, F.posexplode(table_blocks(F.col(text))).alias("block", "_raw"))
+    # Each step goes through a generator. Its output is a plain column to the optimizer, which would
+    # otherwise copy the parsing expression into every later use, once per row of the block.
+    texts = _materialised(blocks, [*keys, "block"], _text=strip(F.col("_raw")))
     quotes = F.length(F.regexp_replace("_text", '[^"]', ""))
-    records = blocks.filter((F.col("_text") != "") & (quotes % 2 == 0)).withColumn(
-        "_rows", F.transform(F.regexp_extract_all("_text", F.lit(_RECORD), F.lit(1)), _cells)
+    whole = texts.filter((F.col("_text") != "") & (quotes % 2 == 0))
+    records = F.regexp_extract_all("_text", F.lit(_RECORD), F.lit(1))
+    parsed = _materialised(whole, [*keys, "block"], _rows=F.transform(records, _cells))
+    header, first = F.get("_rows", F.lit(0)), F.get("_rows", F.lit(1))
+    shaped = _materialised(
+        parsed,
+        [*keys, "block"],
+        _header=header,
+        _data=F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0))),
+        _skip=F.greatest(F.coalesce(F.size(first), F.lit(0)) - F.size(header), F.lit(0)),
+        _widest=F.array_max(F.transform("_rows", F.size)),
     )
-    header = F.get("_rows", F.lit(0))
-    data = F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
-    parsed = records.select(*keys, "block", header.alias("_header"), data.alias("_data"))
-    extra = F.greatest(F.coalesce(F.size(F.get("_data", F.lit(0))), F.lit(0)) - F.size("_header"), F.lit(0))
-    parsed = parsed.withColumn("_skip", extra).filter(
-        ~F.exists("_data", lambda r: F.size(r) > F.size("_header") + F.col("_skip"))
+    sound = shaped.filter(F.col("_widest") <= F.size("_header") + F.col("_skip"))
+    rows = sound.select(*keys, "block", "_header", "_skip", F.posexplode("_data").alias("row", "_cells"))
+    cell = F.transform(
+        "_header",
+        lambda name, i: F.struct(name.alias("column"), F.get("_cells", i + F.col("_skip")).alias("value")),
     )
-    rows = parsed.select(*keys, "block", "_header", "_skip", F.posexplode("_data").alias("row", "_cells"))
-    cells = rows.select(*keys, "block", "row", "_cells", "_skip", F.posexplode("_header").alias("position", "column"))
-    value = F.get("_cells", F.col("position") + F.col("_skip"))
+    cells = rows.select(*keys, "block", "row", F.posexplode(cell).alias("position", "_cell"))
+    value = F.col("_cell.value")
     return cells.select(
-        *keys, "block", "row", "position", "column", F.when(~value.isin(*MISSING), value).alias("value")
+        *keys,
+        "block",
+        "row",
+        "position",
+        F.col("_cell.column").alias("column"),
+        F.when(~value.isin(*MISSING), value).alias("value"),
     )
+
+
+def _materialised(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``keep`` plus new columns, each computed exactly once per row."""
+    made = F.struct(*(column.alias(name) for name, column in columns.items()))
+    return df.select(*keep, F.inline(F.array(made)))

@@ -89,9 +89,10 @@ def holt_fits(series: DataFrame) -> DataFrame:
     long_enough = F.size("points") >= 3
     fitted = series.withColumn("fit", holt_fit(values))
     final = holt_fold(values, F.col("fit.alpha"), F.col("fit.beta"), F.col("fit.level"), F.col("fit.trend"))
+    # A series without a usable fit comes back from Arrow as null, or as NaN from the fold.
+    usable = F.coalesce(~F.isnan("final.level") & ~F.isnan("final.trend"), F.lit(False)) & F.col("final.level").isNotNull()
     return fitted.withColumn("final", F.when(long_enough, final)).withColumn(
-        "status",
-        F.when(~long_enough, "too short").when(F.isnan("final.level") | F.isnan("final.trend"), "failed").otherwise("ok"),
+        "status", F.when(~long_enough, "too short").when(usable, "ok").otherwise("failed")
     )
 
 
