@@ -116,7 +116,7 @@ LEFT JOIN seasons s ON s.model_id = d.model_id AND s.w = isodow(d.day)"""
 
 
 def _line(repos: DataFrame, daily: DataFrame) -> DataFrame:
-    found = forecast.weekday_trend_forecast(forecast.daily_series(repos, daily))
+    found = forecast.weekday_trend_forecast(repos, daily)
     return found.withColumn("value", F.round("value", 6))
 
 

@@ -188,7 +188,7 @@ def additive_fit(days: np.ndarray, values: np.ndarray, periods: int) -> np.ndarr
     size = np.ones(len(places))
     noise = 0.25
     weights = np.zeros(design.shape[1])
-    for _ in range(500):
+    for _ in range(200):
         root = np.sqrt(np.concatenate([prior[:2], CHANGE_SCALE * size, prior[laplace.stop :]]))
         system = root[:, None] * gram * root / noise + np.eye(len(root))
         update = root * np.linalg.solve(system, root * moment / noise)
@@ -199,7 +199,7 @@ def additive_fit(days: np.ndarray, values: np.ndarray, periods: int) -> np.ndarr
         size = np.maximum(np.abs(update[laplace]), 1e-9)
         moved = np.abs(update - weights).max()
         weights = update
-        if moved < 1e-8:
+        if moved < 1e-5:
             break
     return design @ weights * scale
 

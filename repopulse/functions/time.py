@@ -36,24 +36,18 @@ def week_start(timestamp: Column) -> Column:
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to a UTC wall time, null when it is no such text.
 
-    The pattern is checked first because Spark's own parser also takes a lone year, a lone clock
-    time or one-digit parts. A value without a zone is a UTC value.
+    One pattern checks the form, because Spark's own parser also takes a lone year, a lone clock
+    time or one-digit parts; the rest is cutting by position. A value without a zone is a UTC value.
     """
-    date = F.substring(text, 1, 10)
-    clock = F.regexp_replace(F.regexp_extract(text, rf"\A{_DATE}.({_CLOCK})", 1), ",", ".")
-    clock = F.when(F.length(clock) > 5, clock).otherwise(
-        F.concat(clock, F.substring(F.lit("00:00:00"), F.length(clock) + 1, F.lit(8)))
+    rest = F.substring(text, 12, 40)
+    clock = F.substring_index(F.substring_index(F.substring_index(rest, "Z", 1), "+", 1), "-", 1)
+    zone = F.substring(rest, F.length(clock) + 1, F.lit(10))
+    full_clock = F.concat(
+        F.replace(clock, F.lit(","), F.lit(".")), F.substring(F.lit("00:00:00"), F.length(clock) + 1, F.lit(8))
     )
-    zone = F.regexp_extract(text, rf"\A{_DATE}.{_CLOCK}({_ZONE})\z", 1)
-    zone = F.when(zone.isin("", "Z"), "+00:00").when(
-        F.length(zone) == 3, F.concat(zone, F.lit(":00"))
-    ).otherwise(F.regexp_replace(zone, r"\A([+-]\d{2})(\d{2})", "$1:$2"))
-    moment = F.try_to_timestamp(F.concat(date, F.lit("T"), clock, zone))
-    return F.when(text.rlike(_ISO), utc_wall_time(moment))
-
-
-def utc_wall_time(moment: Column) -> Column:
-    """Zone-less UTC time of a moment, whatever the session zone is."""
-    seconds = F.unix_micros(moment).cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    wall = F.concat(F.substring(text, 1, 10), F.lit("T"), full_clock).try_cast("timestamp_ntz")
+    # The moment the zone's midnight of 1970-01-01 falls on is the shift from its clock to UTC.
+    shift = F.unix_seconds(F.concat(F.lit("1970-01-01T00:00:00"), zone).try_cast("timestamp"))
+    moved = wall + F.make_dt_interval(secs=shift.cast("decimal(18,6)"))
+    utc = F.when(zone.isin("", "Z"), wall).otherwise(moved)
+    return F.when(text.rlike(_ISO), utc)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from repopulse.functions.series import additive_fit_udf, holt_fit, holt_fold
 from repopulse.operators.activity import daily_by_repo_id
@@ -30,11 +31,21 @@ def pull_requests(discussions: DataFrame) -> DataFrame:
 
 
 def daily_series(repos: DataFrame, daily: DataFrame) -> DataFrame:
-    """``model_id`` and ``points``: day, count pairs in order of time. Days without counts are absent."""
+    """``model_id`` and ``points``: day, count pairs in order of time. Days without counts are absent.
+
+    Fitting costs far more than the few bytes of a series suggest, so the number of partitions is
+    named; otherwise adaptive execution would merge them by size into a handful of tasks. Names are
+    attached to the daily counts, so that no later join moves the series out of these partitions.
+    """
     point = F.struct("day", F.col("daily_discussions").cast("double").alias("value"))
-    series = daily.groupBy("repo_id").agg(F.sort_array(F.collect_list(point)).alias("points"))
     names = repos.select(F.col("id").alias("repo_id"), "model_id")
-    return series.join(names, "repo_id").select("model_id", "points")
+    partitions = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        daily.join(names, "repo_id")
+        .repartition(partitions, "model_id")
+        .groupBy("model_id")
+        .agg(F.sort_array(F.collect_list(point)).alias("points"))
+    )
 
 
 def _actual(points: Column) -> Column:
@@ -55,9 +66,13 @@ def _forecast(days: Column, steps: Column, values: Column) -> Column:
     )
 
 
-def _long(rows: DataFrame, actual: Column, forecast: Column) -> DataFrame:
-    """Actual and forecast values as rows ``model_id, kind, day, step, value``, from one pass."""
-    return rows.select("model_id", F.inline(F.concat(actual, forecast)))
+def _long(rows: DataFrame, usable: Column, actual: Column, forecast: Column) -> DataFrame:
+    """Actual and forecast values as rows ``model_id, kind, day, step, value``, from one pass.
+
+    Series that are not ``usable`` make no rows. This is not a filter, which the optimizer would
+    push below the fit together with a second copy of it.
+    """
+    return rows.select("model_id", F.inline(F.when(usable, F.concat(actual, forecast))))
 
 
 def _ahead(points: Column, periods: int) -> tuple[Column, Column]:
@@ -69,10 +84,10 @@ def _ahead(points: Column, periods: int) -> tuple[Column, Column]:
 # --- exponential smoothing with additive trend --------------------------------------------------
 
 
-def _smoothed(fitted: DataFrame, periods: int) -> DataFrame:
+def _smoothed(fitted: DataFrame, usable: Column, periods: int) -> DataFrame:
     days, steps = _ahead(F.col("points"), periods)
     values = F.transform(steps, lambda s: F.col("final.level") + s * F.col("final.trend"))
-    return _long(fitted, _actual(F.col("points")), _forecast(days, steps, values))
+    return _long(fitted, usable, _actual(F.col("points")), _forecast(days, steps, values))
 
 
 def holt_fixed(series: DataFrame, alpha: float, beta: float, periods: int = SMOOTHED_DAYS) -> DataFrame:
@@ -80,7 +95,7 @@ def holt_fixed(series: DataFrame, alpha: float, beta: float, periods: int = SMOO
     values = F.transform("points", lambda p: p["value"])
     start = F.element_at("points", 1)["value"]
     final = holt_fold(values, F.lit(float(alpha)), F.lit(float(beta)), start, F.lit(0.0))
-    return _smoothed(series.filter(F.size("points") >= 3).withColumn("final", final), periods)
+    return _smoothed(series.filter(F.size("points") >= 3).withColumn("final", final), F.lit(True), periods)
 
 
 def holt_fits(series: DataFrame) -> DataFrame:
@@ -99,7 +114,7 @@ def holt_fits(series: DataFrame) -> DataFrame:
 def holt_forecast(series: DataFrame, periods: int = SMOOTHED_DAYS) -> DataFrame:
     """Forecast with parameters and start values of least squared error; three points are needed."""
     usable = series.filter(F.size("points") >= 3)
-    return _smoothed(holt_fits(usable).filter(F.col("status") == "ok"), periods)
+    return _smoothed(holt_fits(usable), F.col("status") == "ok", periods)
 
 
 # --- trend and seasonality ----------------------------------------------------------------------
@@ -115,63 +130,69 @@ def additive_fits(series: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
     )
 
 
-def _over_history_and_horizon(fitted: DataFrame, values: Column, periods: int) -> DataFrame:
+def additive_forecast(series: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
+    """Trend and seasonality forecast of series with two points or more; fitted days have step 0."""
+    fits = additive_fits(series.filter(F.size("points") >= 2), periods)
     ahead, steps = _ahead(F.col("points"), periods)
     past = F.transform("points", lambda p: p["day"])
     no_step = F.transform("points", lambda p: F.lit(0))
-    return _long(fitted, _actual(F.col("points")), _forecast(F.concat(past, ahead), F.concat(no_step, steps), values))
-
-
-def additive_forecast(series: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
-    """Trend and seasonality forecast of series with two points or more; fitted days have step 0."""
-    usable = series.filter(F.size("points") >= 2)
-    fits = additive_fits(usable, periods).filter(F.col("status") == "ok")
-    return _over_history_and_horizon(fits, F.col("fitted"), periods)
+    forecast = _forecast(F.concat(past, ahead), F.concat(no_step, steps), F.col("fitted"))
+    return _long(fits, F.col("status") == "ok", _actual(F.col("points")), forecast)
 
 
-def weekday_trend_forecast(series: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
-    """Straight line by least squares plus the mean residual of each weekday.
+def weekday_trend_forecast(repos: DataFrame, daily: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
+    """Straight line by least squares plus the mean residual of each weekday, for two points or more.
 
-    All sums are taken over the array of the row, so this needs no further shuffle.
+    The sums are window aggregates over the days of a repository: one shuffle, and every day's row
+    carries what its own fitted value needs. The last day's row also makes the horizon.
     """
-    first = F.element_at("points", 1)["day"]
-
-    def sums(points: Column) -> Column:
-        zero = F.struct(*(F.lit(0.0).alias(c) for c in ("n", "t", "y", "tt", "ty")))
-
-        def add(s: Column, p: Column) -> Column:
-            t = F.datediff(p["day"], first).cast("double")
-            return F.struct(
-                (s["n"] + 1).alias("n"),
-                (s["t"] + t).alias("t"),
-                (s["y"] + p["value"]).alias("y"),
-                (s["tt"] + t * t).alias("tt"),
-                (s["ty"] + t * p["value"]).alias("ty"),
-            )
-
-        return F.aggregate(points, zero, add)
-
-    usable = series.filter(F.size("points") >= 2).withColumn("s", sums(F.col("points")))
-    slope = (F.col("s.n") * F.col("s.ty") - F.col("s.t") * F.col("s.y")) / (
-        F.col("s.n") * F.col("s.tt") - F.col("s.t") * F.col("s.t")
-    )
-    fitted = usable.withColumn("slope", slope).withColumn(
-        "base", (F.col("s.y") - F.col("slope") * F.col("s.t")) / F.col("s.n")
+    whole = Window.partitionBy("repo_id")
+
+    def total(column: Column) -> Column:
+        return F.sum(column).over(whole)
+
+    timed = daily.select(
+        "repo_id",
+        "day",
+        F.col("daily_discussions").cast("double").alias("y"),
+        F.weekday("day").alias("w"),
+        F.min("day").over(whole).alias("first"),
+        F.max("day").over(whole).alias("last"),
+    ).withColumn("t", F.datediff("day", "first").cast("double"))
+    t, y, one = F.col("t"), F.col("y"), F.lit(1.0)
+    sums = {"n": one, "st": t, "sy": y, "stt": t * t, "sty": t * y}
+    for i in range(7):
+        on_day = F.col("w") == i
+        sums |= {f"{name}{i}": F.when(on_day, c).otherwise(0.0) for name, c in (("n", one), ("st", t), ("sy", y))}
+    summed = timed.select("*", *(total(c).alias(name) for name, c in sums.items())).filter(F.col("n") >= 2)
+    slope = (F.col("n") * F.col("sty") - F.col("st") * F.col("sy")) / (
+        F.col("n") * F.col("stt") - F.col("st") * F.col("st")
     )
+    fitted = summed.withColumn("slope", slope).withColumn("base", (F.col("sy") - F.col("slope") * F.col("st")) / F.col("n"))
 
-    def residual(number: Column) -> Column:
-        w = sums(F.filter("points", lambda p: F.weekday(p["day"]) == number))
-        mean = (w["y"] - F.col("base") * w["n"] - F.col("slope") * w["t"]) / F.nullif(w["n"], F.lit(0.0))
-        return F.coalesce(mean, F.lit(0.0))
-
-    fitted = fitted.withColumn("season", F.transform(F.sequence(F.lit(0), F.lit(6)), residual))
-    ahead, _ = _ahead(F.col("points"), periods)
-    every = F.concat(F.transform("points", lambda p: p["day"]), ahead)
-    values = F.transform(
-        every,
-        lambda d: F.col("base") + F.col("slope") * F.datediff(d, first) + F.element_at("season", F.weekday(d) + 1),
-    )
-    return _over_history_and_horizon(fitted, values, periods)
+    def residual(i: int) -> Column:
+        rest = F.col(f"sy{i}") - F.col("base") * F.col(f"n{i}") - F.col("slope") * F.col(f"st{i}")
+        return F.coalesce(rest / F.nullif(F.col(f"n{i}"), F.lit(0.0)), F.lit(0.0))
+
+    fitted = fitted.withColumn("season", F.array(*(residual(i) for i in range(7))))
+
+    def row(kind: str, day: Column, step: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), day.alias("day"), step.cast("int").alias("step"), value.alias("value")
+        )
+
+    def at(day: Column) -> Column:
+        return F.col("base") + F.col("slope") * F.datediff(day, "first") + F.element_at("season", F.weekday(day) + 1)
+
+    own = [
+        row("actual", F.col("day"), F.lit(None), F.col("y")),
+        row("forecast", F.col("day"), F.lit(0), at(F.col("day"))),
+    ]
+    ahead = [F.date_add("last", h) for h in range(1, periods + 1)]
+    horizon = [row("forecast", day, F.lit(h), at(day)) for h, day in enumerate(ahead, 1)]
+    lines = F.when(F.col("day") == F.col("last"), F.array(*own, *horizon)).otherwise(F.array(*own))
+    names = repos.select(F.col("id").alias("repo_id"), "model_id")
+    return fitted.select("repo_id", F.inline(lines)).join(names, "repo_id").select("model_id", "kind", "day", "step", "value")
 
 
 def fit_report(fits: DataFrame) -> DataFrame:

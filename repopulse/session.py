@@ -13,6 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods beyond 8,000 bytes; a wide projection is faster in parts.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Fits run one series at a time in as many workers as there are cores.
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
 }
 
 

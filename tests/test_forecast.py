@@ -123,11 +123,15 @@ def test_additive_recovers_line_and_weekdays(spark):
 
 
 def test_weekday_trend_recovers_line_and_weekdays(spark):
-    found = forecast.weekday_trend_forecast(series(spark, w=list(weekly(56)), short=[4.0]), periods=7)
+    repos = spark.createDataFrame([(1, "w"), (2, "short")], "id long, model_id string")
+    counts = [(1, DAY0 + dt.timedelta(days=i), int(2 * v)) for i, v in enumerate(weekly(56))] + [(2, DAY0, 4)]
+    daily = spark.createDataFrame(counts, "repo_id long, day date, daily_discussions long")
+    found = forecast.weekday_trend_forecast(repos, daily, periods=7)
     days, values = ahead(found, "w")
-    assert days[0] == DAY0 + dt.timedelta(days=56) and len(days) == 7
-    # Weekday effects that do not sum to zero against time leave a little slope in the line.
-    assert np.allclose(values, weekly(63)[56:], atol=0.25)
+    assert days == [DAY0 + dt.timedelta(days=56 + h) for h in range(7)]
+    # Weekday effects that are not balanced over time leave a little slope in the line.
+    assert np.allclose(values, 2 * weekly(63)[56:], atol=0.8)
+    assert found.filter("kind = 'forecast' AND step = 0").count() == 56
     assert found.filter("model_id = 'short'").count() == 0
 
 
