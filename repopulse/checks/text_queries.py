@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.checks.cleaning_queries import BLANK, sql_strip
+from repopulse.checks.cleaning_queries import sql_strip
 from repopulse.checks.registry import query
 from repopulse.checks.tables import table
 from repopulse.functions.text import CHART_WORDS, question_kind, without_fence

@@ -38,6 +38,7 @@ def holt_fold(values: Column, alpha: Column, beta: Column, level: Column, trend:
 
 HOLT_FIT = T.StructType([T.StructField(name, T.DoubleType()) for name in ("alpha", "beta", "level", "trend")])
 _EDGE = 1e-4  # smoothing parameters stay this far away from 0 and 1
+_COARSE = 13  # values per parameter in the first grid
 _CELLS = 200_000  # series x grid points held at once per task
 
 
@@ -94,7 +95,7 @@ def _holt_search(series: list[np.ndarray]) -> np.ndarray:
     values = np.zeros((len(series), lengths.max()))
     for row, s in zip(values, series, strict=True):
         row[: len(s)] = s
-    axis = np.linspace(_EDGE, 1 - _EDGE, 13)
+    axis = np.linspace(_EDGE, 1 - _EDGE, _COARSE)
     a, s = (np.broadcast_to(g.ravel(), (len(series), g.size)) for g in np.meshgrid(axis, axis))
     width = axis[1] - axis[0]
     rows = np.arange(len(series))
@@ -120,7 +121,7 @@ def holt_fit(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         values = [np.asarray(v, dtype=float) for v in batch]
         fitted = np.full((len(values), 4), np.nan)
         order = sorted((i for i, v in enumerate(values) if len(v) >= 3), key=lambda i: -len(values[i]))
-        chunk = max(1, _CELLS // 169)
+        chunk = _CELLS // _COARSE**2
         for start in range(0, len(order), chunk):
             part = order[start : start + chunk]
             fitted[part] = _holt_search([values[i] for i in part])
