@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -34,16 +34,25 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, or below the warehouse where that is not set.
 
-    Every executor must be able to read what another wrote, so a machine-local folder is only
-    accepted in local mode, where driver and executors are one process.
+    Every executor must be able to read what another wrote; both settings name shared folders.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="repopulse-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame into the shared folder and read it back.
+
+    The rows are computed once, and a lost executor costs nothing that was computed before.
+    """
+    path = f"{shared_folder(df.sparkSession)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """A settled frame of narrow rows, marked for broadcast if its counted rows are at most ``most_rows``."""
+    kept = settle(df)
+    return F.broadcast(kept) if kept.count() <= most_rows else kept

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from check_queries import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = dict(entry.all_queries.RUNS), dict(entry.all_queries.SQL)
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the supplied tables are not here")
 
