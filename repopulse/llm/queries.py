@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import quality_rules, url_rules
+from repopulse.llm import bpe_lexicon, chat_format, quality_rules, url_rules
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,27 @@ URL_RULES = [
 ]
 
 
+@query("op5_chat_format")
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    awkward = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat_format.read_back(chat_format.format_turns(turns.unionByName(awkward)))
+
+
+@query("op8_bpe")
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe_lexicon.encode(table(spark, folder, "documents").select("doc_id", "text"), path)
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 @query(
     "op9_url_filter",
     r"""
