@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import bpe_lexicon, chat_format, quality_rules, url_rules
+from repopulse.llm import bpe_lexicon, chat_format, decontaminate, jaccard_join, page_text, quality_rules, surrogates, url_rules
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,54 @@ URL_RULES = [
 ]
 
 
+PLAIN_WORDS = r"list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+', ' ', 'g')), ' '), lambda x: x != '')"
+
+
+@query(
+    "op2_decontamination",
+    rf"""
+    with docs as (select row_number() over () as row_no, doc_id, {PLAIN_WORDS} as words from documents),
+    items as (select item_id, {PLAIN_WORDS} as words from benchmark),
+    doc_words as (select row_no, unnest(words) as w, generate_subscripts(words, 1) as i from docs),
+    item_words as (select item_id, unnest(words) as w, generate_subscripts(words, 1) as i from items),
+    doc_grams as (
+        select distinct row_no, concat_ws(' ', w, lead(w) over five, lead(w, 2) over five, lead(w, 3) over five, lead(w, 4) over five) as g
+        from doc_words window five as (partition by row_no order by i) qualify lead(w, 4) over five is not null
+    ),
+    item_grams as (
+        select distinct item_id, concat_ws(' ', w, lead(w) over five, lead(w, 2) over five, lead(w, 3) over five, lead(w, 4) over five) as g
+        from item_words window five as (partition by item_id order by i) qualify lead(w, 4) over five is not null
+    ),
+    sized as (select *, count(*) over (partition by item_id) as n_item from item_grams)
+    select doc_id, item_id, n_item, count(*) as n_shared, count(*)::double / n_item as containment
+    from doc_grams join sized using (g) join docs using (row_no)
+    group by row_no, doc_id, item_id, n_item having count(*)::double / n_item >= 0.8::double
+    """,
+)
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "item_id", F.col("n_item").cast("bigint").alias("n_item"), F.col("n_shared").cast("bigint").alias("n_shared"), "containment"
+    )
+
+
+@query("op3_page_text")
+def op3_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.extract_pages(table(spark, folder, "pages"))
+
+
+@query("op4_surrogates")
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, key="corpus surrogate key")
+
+
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 @query("op5_chat_format")
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
