@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import bpe_lexicon, chat_format, decontaminate, jaccard_join, page_text, quality_rules, surrogates, url_rules
+from repopulse.llm import bpe_lexicon, chat_format, decontaminate, jaccard_join, page_text, quality_rules, suffix_dedup, surrogates, url_rules
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ URL_RULES = [
 ]
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 PLAIN_WORDS = r"list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+', ' ', 'g')), ' '), lambda x: x != '')"
 
 
