@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import bpe_lexicon, chat_format, decontaminate, jaccard_join, page_text, quality_rules, suffix_dedup, surrogates, url_rules
+from repopulse.llm import bpe_lexicon, chat_format, decontaminate, jaccard_join, page_text, quality_rules, suffix_dedup, surrogates, url_rules, weak_labels
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +104,11 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns.unionByName(awkward)))
 
 
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_labels.classify(table(spark, folder, "documents"))
+
+
 @query("op8_bpe")
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
