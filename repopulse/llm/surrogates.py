@@ -69,7 +69,7 @@ def _marked(text: Column) -> Column:
     marked = text
     for gender, mark in MARKS.items():
         titles = "|".join(TITLES[gender].split())
-        marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{titles})\.? (?=\p{{Lu}}\p{{Ll}})", f"$0{mark}")
+        marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{titles})\.? (?=\p{{Lu}}\p{{L}})", f"$0{mark}")
     return F.when(text.rlike(f"[{''.join(MARKS.values())}]"), text).otherwise(marked)
 
 
