@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from repopulse.functions.series import additive_fit_udf, holt_fit, holt_fold
 from repopulse.operators.activity import daily_by_repo_id
@@ -143,38 +142,47 @@ def additive_forecast(series: DataFrame, periods: int = CREATED_DAYS) -> DataFra
 def weekday_trend_forecast(repos: DataFrame, daily: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
     """Straight line by least squares plus the mean residual of each weekday, for two points or more.
 
-    The sums are window aggregates over the days of a repository: one shuffle, and every day's row
-    carries what its own fitted value needs. The last day's row also makes the horizon.
+    Days are counted from a fixed date and shifted to each repository's first day afterwards, so all
+    sums come from one grouped aggregate: a row per repository, joined back to its days. Sums of
+    whole numbers are exact, whatever day they are counted from.
     """
-    whole = Window.partitionBy("repo_id")
-
-    def total(column: Column) -> Column:
-        return F.sum(column).over(whole)
-
     timed = daily.select(
         "repo_id",
         "day",
         F.col("daily_discussions").cast("double").alias("y"),
         F.weekday("day").alias("w"),
-        F.min("day").over(whole).alias("first"),
-        F.max("day").over(whole).alias("last"),
-    ).withColumn("t", F.datediff("day", "first").cast("double"))
-    t, y, one = F.col("t"), F.col("y"), F.lit(1.0)
-    sums = {"n": one, "st": t, "sy": y, "stt": t * t, "sty": t * y}
+        F.unix_date("day").cast("double").alias("a"),
+    )
+    a, y, one = F.col("a"), F.col("y"), F.lit(1.0)
+    sums = {"n": one, "sa": a, "sy": y, "saa": a * a, "say": a * y}
     for i in range(7):
         on_day = F.col("w") == i
-        sums |= {f"{name}{i}": F.when(on_day, c).otherwise(0.0) for name, c in (("n", one), ("st", t), ("sy", y))}
-    summed = timed.select("*", *(total(c).alias(name) for name, c in sums.items())).filter(F.col("n") >= 2)
-    slope = (F.col("n") * F.col("sty") - F.col("st") * F.col("sy")) / (
-        F.col("n") * F.col("stt") - F.col("st") * F.col("st")
+        sums |= {f"{name}{i}": F.when(on_day, c).otherwise(0.0) for name, c in (("n", one), ("sa", a), ("sy", y))}
+    summed = timed.groupBy("repo_id").agg(
+        F.min("day").alias("first"), F.max("day").alias("last"), *(F.sum(c).alias(name) for name, c in sums.items())
     )
-    fitted = summed.withColumn("slope", slope).withColumn("base", (F.col("sy") - F.col("slope") * F.col("st")) / F.col("n"))
+    zero = F.unix_date("first").cast("double")
+    n, sa, sy = F.col("n"), F.col("sa"), F.col("sy")
+    shifted = summed.filter("n >= 2").withColumns(
+        {
+            "st": sa - n * zero,
+            "stt": F.col("saa") - 2 * zero * sa + n * zero * zero,
+            "sty": F.col("say") - zero * sy,
+            **{f"st{i}": F.col(f"sa{i}") - F.col(f"n{i}") * zero for i in range(7)},
+        }
+    )
+    st = F.col("st")
+    slope = (n * F.col("sty") - st * sy) / (n * F.col("stt") - st * st)
+    fitted = shifted.withColumn("slope", slope).withColumn("base", (sy - F.col("slope") * st) / n)
 
     def residual(i: int) -> Column:
         rest = F.col(f"sy{i}") - F.col("base") * F.col(f"n{i}") - F.col("slope") * F.col(f"st{i}")
         return F.coalesce(rest / F.nullif(F.col(f"n{i}"), F.lit(0.0)), F.lit(0.0))
 
-    fitted = fitted.withColumn("season", F.array(*(residual(i) for i in range(7))))
+    names = repos.select(F.col("id").alias("repo_id"), "model_id")
+    fitted = fitted.select(
+        "repo_id", "first", "last", "slope", "base", F.array(*(residual(i) for i in range(7))).alias("season")
+    ).join(names, "repo_id")
 
     def row(kind: str, day: Column, step: Column, value: Column) -> Column:
         return F.struct(
@@ -184,15 +192,11 @@ def weekday_trend_forecast(repos: DataFrame, daily: DataFrame, periods: int = CR
     def at(day: Column) -> Column:
         return F.col("base") + F.col("slope") * F.datediff(day, "first") + F.element_at("season", F.weekday(day) + 1)
 
-    own = [
-        row("actual", F.col("day"), F.lit(None), F.col("y")),
-        row("forecast", F.col("day"), F.lit(0), at(F.col("day"))),
-    ]
+    own = F.array(row("actual", F.col("day"), F.lit(None), y), row("forecast", F.col("day"), F.lit(0), at(F.col("day"))))
+    past = timed.select("repo_id", "day", "y").join(fitted, "repo_id").select("model_id", F.inline(own))
     ahead = [F.date_add("last", h) for h in range(1, periods + 1)]
-    horizon = [row("forecast", day, F.lit(h), at(day)) for h, day in enumerate(ahead, 1)]
-    lines = F.when(F.col("day") == F.col("last"), F.array(*own, *horizon)).otherwise(F.array(*own))
-    names = repos.select(F.col("id").alias("repo_id"), "model_id")
-    return fitted.select("repo_id", F.inline(lines)).join(names, "repo_id").select("model_id", "kind", "day", "step", "value")
+    horizon = F.array(*(row("forecast", day, F.lit(h), at(day)) for h, day in enumerate(ahead, 1)))
+    return past.unionByName(fitted.select("model_id", F.inline(horizon)))
 
 
 def fit_report(fits: DataFrame) -> DataFrame:

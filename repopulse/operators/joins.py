@@ -10,8 +10,11 @@ Reports do not join rows at all: they aggregate by ``repo_id`` first and attach
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from repopulse.functions.time import parse_iso
 
 
 def with_repo(discussions: DataFrame, repos: DataFrame, *repo_columns: str) -> DataFrame:
@@ -20,13 +23,19 @@ def with_repo(discussions: DataFrame, repos: DataFrame, *repo_columns: str) -> D
     return discussions.join(parent, "repo_id")
 
 
+def _wall_time(df: DataFrame, name: str) -> Column:
+    """A text column read as ISO times in UTC; a typed one as it is."""
+    text = isinstance(df.schema[name].dataType, StringType)
+    return (parse_iso(F.col(name)) if text else F.col(name).cast("timestamp_ntz")).alias(name)
+
+
 def joined_activity(discussions: DataFrame, repos: DataFrame) -> DataFrame:
     """Projection the forecasts read. Times that arrive as text and do not parse become null."""
     return with_repo(discussions, repos, "model_id").select(
         "model_id",
         "is_pull_request",
         "status",
-        *(F.expr(f"try_cast({name} AS timestamp_ntz)").alias(name) for name in ("created_at", "closed_at")),
+        *(_wall_time(discussions, name) for name in ("created_at", "closed_at")),
     )
 
 

@@ -31,15 +31,16 @@ def engagement(repos: DataFrame, discussions: DataFrame) -> DataFrame:
     base = with_totals(repos, discussions, "model_id", "tag", "likes", "downloads")
     totals = F.struct("total_discussions", "closed_discussions", "open_discussions")
     ranked = base.withColumn("total_discussions", totals)
-    limits = bounds(ranked, *SCORED).select(F.struct("*")).scalar()
+    # A column of its own, so that the plan has one subquery and not one for every mention.
+    base = base.withColumn("_limits", bounds(ranked, *SCORED).select(F.struct("*")).scalar())
 
     def limit(column: str, side: str) -> Column:
-        value = limits[f"{column}_{side}"]
+        value = F.col("_limits")[f"{column}_{side}"]
         return value["total_discussions"] if column == "total_discussions" else value
 
     scaled = base.withColumns(
         {alias: min_max(F.col(c), limit(c, "min"), limit(c, "max")) for c, alias in SCORED.items()}
-    )
+    ).drop("_limits")
     score = F.col("norm_downloads") + F.col("norm_likes") + F.col("norm_discussions")
     return scaled.withColumns(
         {

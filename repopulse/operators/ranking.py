@@ -26,6 +26,11 @@ def top_listings(listings: DataFrame, tags: list[str] | None = None, n: int = 5)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
-    """The row with the greatest ``sequence`` of each key."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in sequence)))
+    """The row with the greatest ``sequence`` of each key.
+
+    The other columns decide between equal or missing sequences, so every run keeps the same row.
+    """
+    rest = [c for c in df.columns if c not in (*keys, *sequence)]
+    order = [F.desc_nulls_last(c) for c in (*sequence, *rest)]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")

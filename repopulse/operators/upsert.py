@@ -128,5 +128,9 @@ def upsert_discussions(
 
 def touched_rows(batch: DataFrame, repos: DataFrame | None = None) -> DataFrame:
     """One row with the number of batch rows an upsert handles: input rows, not distinct keys."""
-    rows = batch if repos is None else batch.join(repos.select("model_id"), "model_id", "left_semi")
-    return rows.agg(F.count(F.lit(1)).alias("touched_rows"))
+    if repos is None:
+        return batch.agg(F.count(F.lit(1)).alias("touched_rows"))
+    # Counted per repository before the join.
+    counts = batch.groupBy("model_id").agg(F.count(F.lit(1)).alias("_n"))
+    known = counts.join(repos.select("model_id"), "model_id", "left_semi")
+    return known.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("touched_rows"))

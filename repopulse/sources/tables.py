@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repopulse.schemas import empty_table, enforce
@@ -28,7 +29,9 @@ def read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType) -
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: T.StructType, **options: str) -> DataFrame:
     """A table of a relational database. Give ``partitionColumn``, ``lowerBound``, ``upperBound`` and
     ``numPartitions`` for anything large, or the whole table is read by one task."""
-    return enforce(spark.read.format("jdbc").options(url=url, dbtable=table, **options).load(), schema)
+    # Cast only: the test for nulls belongs to writing, and would keep filters from reaching the database.
+    stored = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    return stored.select(*(F.col(f.name).cast(f.dataType) for f in schema))
 
 
 def write_table(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:

@@ -27,9 +27,9 @@ def final_plan(df):
     return text[: text.index("Initial Plan")] if "Initial Plan" in text else text
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(entry.all_queries.RUNS) - WRITERS))
 def test_no_cross_product_in_any_query(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(entry.all_queries.RUNS[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
