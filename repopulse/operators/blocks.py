@@ -22,9 +22,14 @@ MISSING = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# A quote opens a quotation at the start of a cell only; text after the closing quote belongs to the cell.
 _QUOTED = r'"(?:[^"]++|"")*+"'
-_RECORD = rf'((?:{_QUOTED}|[^"\r\n]++)++)'
-_CELL = rf",({_QUOTED}|[^,]*)"
+_AT_START = r"(?<=\A|[,\r\n])"
+_RECORD = rf'((?:{_AT_START}{_QUOTED}|[^",\r\n]++|[",])++)'
+_CELL = rf",((?:{_QUOTED})?+[^,]*+)"
+_OPEN_QUOTE = rf'{_AT_START}"'
+
+_JSON_OPTIONS = {"allowNonNumericNumbers": "true", "allowSingleQuotes": "false", "maxStringLen": "2147483647"}
 
 
 def table_blocks(text: Column) -> Column:
@@ -46,11 +51,13 @@ def no_data(text: Column) -> Column:
 
 
 def valid_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """Exactly one JSON value of any size. Nesting beyond about a thousand levels counts as invalid."""
+    one = F.from_json(F.concat(F.lit('{"c":['), text, F.lit("]}")), "c array<string>, _corrupt_record string", _JSON_OPTIONS)
+    return F.coalesce((F.size(one["c"]) == 1) & one["_corrupt_record"].isNull(), F.lit(False))
 
 
 def outputs(df: DataFrame, text: str, *keys: str) -> DataFrame:
-    """One row per output: text answer, no-data flag, table texts and valid chart texts.
+    """One row per output: text answer, no-data flag, texts of tables that parse and of valid charts.
 
     Null and empty outputs give empty results.
     """
@@ -59,7 +66,7 @@ def outputs(df: DataFrame, text: str, *keys: str) -> DataFrame:
         *keys,
         text_answer(source).alias("text_answer"),
         no_data(source).alias("no_data"),
-        F.filter(F.transform(table_blocks(source), strip), lambda b: b != "").alias("tables"),
+        F.filter(F.transform(table_blocks(source), strip), _readable).alias("tables"),
         F.filter(F.transform(chart_blocks(source), strip), valid_json).alias("charts"),
     )
 
@@ -70,10 +77,16 @@ def charts(df: DataFrame, text: str, *keys: str) -> DataFrame:
     return df.select(*keys, F.posexplode(blocks).alias("block", "chart")).filter(valid_json(F.col("chart")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _unquoted(cell: Column) -> Column:
-    inner = F.regexp_replace(F.regexp_extract(cell, r'(?s)\A"(.*)"\z', 1), '""', '"')
-    value = F.when(F.startswith(cell, F.lit('"')), inner).otherwise(cell)
-    return value
+    whole = rf"(?s)\A({_QUOTED})(.*)\z"
+    quoted = F.regexp_extract(cell, whole, 1)
+    inner = F.replace(F.substring(quoted, F.lit(2), F.length(quoted) - 2), F.lit('""'), F.lit('"'))
+    return F.when(quoted != "", F.concat(inner, F.regexp_extract(cell, whole, 2))).otherwise(cell)
 
 
 def _cells(record: Column) -> Column:
@@ -81,45 +94,87 @@ def _cells(record: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_CELL), F.lit(1)), _unquoted)
 
 
+def _closed(text: Column) -> Column:
+    """Not empty, and every quotation that a cell begins with ends."""
+    return (text != "") & ~F.regexp_replace(text, rf"{_AT_START}{_QUOTED}", "q").rlike(_OPEN_QUOTE)
+
+
+def _records(text: Column) -> Column:
+    """Cells of every line that is not blank."""
+    lines = F.filter(F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1)), lambda r: F.btrim(r, F.lit(" \t")) != "")
+    return F.transform(lines, _cells)
+
+
+def _leading(rows: Column) -> Column:
+    """Cells by which the first data row is longer than the header: they form the row's index."""
+    return F.greatest(F.coalesce(F.size(F.get(rows, F.lit(1))), F.lit(0)) - F.size(F.get(rows, F.lit(0))), F.lit(0))
+
+
+def _fits(rows: Column) -> Column:
+    """No row has more cells than the index and the header."""
+    return F.array_max(F.transform(rows, F.size)) <= F.size(F.get(rows, F.lit(0))) + _leading(rows)
+
+
+def _readable(text: Column) -> Column:
+    return F.when(_closed(text), _let(_records(text), _fits)).otherwise(False)
+
+
+def _distinct_names(header: Column) -> Column:
+    """Header names made distinct: empty ones get their place, repeated ones a number that is still free."""
+    named = F.transform(header, lambda name, i: F.when(name == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(name))
+
+    def add(raw: Column):
+        def step(names: Column, name: Column) -> Column:
+            free = F.filter(
+                F.transform(F.sequence(F.lit(1), F.size(raw)), lambda k: F.concat(name, F.lit("."), k.cast("string"))),
+                lambda n: ~F.array_contains(names, n) & ~F.array_contains(raw, n),
+            )
+            return F.concat(names, F.array(F.when(F.array_contains(names, name), free[0]).otherwise(name)))
+
+        return F.when(F.size(F.array_distinct(raw)) == F.size(raw), raw).otherwise(
+            F.aggregate(raw, F.array().cast("array<string>"), step)
+        )
+
+    return _let(named, add)
+
+
 def table_cells(df: DataFrame, text: str, *keys: str) -> DataFrame:
     """Cells of all table blocks as ``block, row, position, column, value``.
 
     Headers differ per block, hence the long form with text values. Blank blocks and blank lines are
     skipped, and so are whole blocks that do not parse: an open quote, or a row with more cells than
-    the first data row and the header allow. Leading cells of a first data row that is longer
-    than the header have no column and are left out. Short rows are filled with nulls.
+    the first data row and the header allow. Leading cells of rows that are longer than the header
+    form the rows' index: they have positions below 0 and no column. Short rows are filled with nulls.
     """
     blocks = df.select(*keys, F.posexplode(table_blocks(F.col(text))).alias("block", "_raw"))
     # Each step goes through a generator. Its output is a plain column to the optimizer, which would
     # otherwise copy the parsing expression into every later use, once per row of the block.
     texts = _materialised(blocks, [*keys, "block"], _text=strip(F.col("_raw")))
-    quotes = F.length(F.regexp_replace("_text", '[^"]', ""))
-    whole = texts.filter((F.col("_text") != "") & (quotes % 2 == 0))
-    records = F.regexp_extract_all("_text", F.lit(_RECORD), F.lit(1))
-    parsed = _materialised(whole, [*keys, "block"], _rows=F.transform(records, _cells))
-    header, first = F.get("_rows", F.lit(0)), F.get("_rows", F.lit(1))
+    parsed = _materialised(texts.filter(_closed(F.col("_text"))), [*keys, "block"], _rows=_records(F.col("_text")))
     shaped = _materialised(
-        parsed,
+        parsed.filter(_fits(F.col("_rows"))),
         [*keys, "block"],
-        _header=header,
+        _header=_distinct_names(F.get("_rows", F.lit(0))),
         _data=F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0))),
-        _skip=F.greatest(F.coalesce(F.size(first), F.lit(0)) - F.size(header), F.lit(0)),
-        _widest=F.array_max(F.transform("_rows", F.size)),
+        _skip=_leading(F.col("_rows")),
     )
-    sound = shaped.filter(F.col("_widest") <= F.size("_header") + F.col("_skip"))
-    rows = sound.select(*keys, "block", "_header", "_skip", F.posexplode("_data").alias("row", "_cells"))
+    rows = shaped.select(*keys, "block", "_header", "_skip", F.posexplode("_data").alias("row", "_cells"))
     cell = F.transform(
-        "_header",
-        lambda name, i: F.struct(name.alias("column"), F.get("_cells", i + F.col("_skip")).alias("value")),
+        F.sequence(-F.col("_skip"), F.size("_header") - 1),
+        lambda i: F.struct(
+            i.alias("position"),
+            F.when(i >= 0, F.get("_header", i)).alias("column"),
+            F.get("_cells", i + F.col("_skip")).alias("value"),
+        ),
     )
-    cells = rows.select(*keys, "block", "row", F.posexplode(cell).alias("position", "_cell"))
+    cells = rows.select(*keys, "block", "row", F.explode(cell).alias("_cell"))
     value = F.col("_cell.value")
     return cells.select(
         *keys,
         "block",
         "row",
-        "position",
-        F.col("_cell.column").alias("column"),
+        "_cell.position",
+        "_cell.column",
         F.when(~value.isin(*MISSING), value).alias("value"),
     )
 

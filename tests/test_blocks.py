@@ -6,6 +6,7 @@ import random
 import re
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from repopulse.operators import blocks
 
@@ -46,6 +47,29 @@ def test_broken_charts_are_skipped_and_positions_kept(spark):
     assert [(r.block, r.chart) for r in found] == [(1, "[1]"), (3, '{"a": null}')]
 
 
+def test_charts_equal_the_json_parser(spark):
+    texts = [
+        '{"a":1,"a":2}', '{"a": NaN, "b": [Infinity, -Infinity]}', '{"a":1} x', "[1]", "1", '"s"', "null", "{'a':1}", "", "[1],[2]",
+        '{"a":1}{"b":2}', '{"a":[1,2}', "{a:1}", '{"a":"\\u00e9"}', "true", "tru", '{"a":1,}',
+    ]
+    texts += ["[" + ",".join(["1.5"] * 5_000_000) + "]", '"' + "x" * 20_000_000 + '"']
+
+    def valid(text):
+        try:
+            json.loads(text)
+        except ValueError:
+            return False
+        return True
+
+    got = frame(spark, *texts).select("n", blocks.valid_json(F.col("stdout")).alias("ok")).collect()
+    assert {r.n: r.ok for r in got} == {i: valid(t) for i, t in enumerate(texts)}
+
+
+def test_unparsable_tables_are_left_out(spark):
+    out = parsed(spark, TABLE.format("a\n1") + TABLE.format("a,b\n1,2\n1,2,3") + TABLE.format('a\n"x'))
+    assert out.tables == ["a\n1"]
+
+
 def test_no_data_word_anywhere(spark):
     assert parsed(spark, "NO_DATA").no_data
     assert parsed(spark, "xNO_DATAx").text_answer == "xNO_DATAx"
@@ -78,6 +102,9 @@ def pandas_cells(text):
             table = pd.read_csv(io.StringIO(body.strip()), dtype=str)
         except Exception:  # noqa: BLE001
             continue
+        index = [] if isinstance(table.index, pd.RangeIndex) else [list(v) if isinstance(v, tuple) else [v] for v in table.index]
+        for i, values in enumerate(index):
+            found += [(b, i, p - len(values), None, None if pd.isna(v) else str(v)) for p, v in enumerate(values)]
         for i in range(len(table)):
             for p, column in enumerate(table.columns):
                 value = table.iloc[i, p]
@@ -95,6 +122,12 @@ def test_cells_equal_pandas(spark, rows):
         TABLE.format("a,b\n1,2,3\n4,5,6"),
         TABLE.format("a,b\n1,2,3\n4,5\n6"),
         TABLE.format('a,b\n"open,1'),
+        TABLE.format('a,b\n5" pipe,3\n1,2'),
+        TABLE.format('a,b\n"abc"def,1\n"a ""b""" c"d,2'),
+        TABLE.format("a,b\n1,2\n  \t\n3,4"),
+        TABLE.format("a,a,,a\n1,2,3,4"),
+        TABLE.format("a,a,a.1\n1,2,3"),
+        TABLE.format('a,b\nx "y,"z\n",1'),
         TABLE.format(""),
         TABLE.format(" \n\t") + TABLE.format("only"),
         TABLE.format(",b\n1,2").replace(",b", "z,b"),
