@@ -27,7 +27,7 @@ from repopulse.checks.tables import (
 from repopulse.functions.text import listed_status
 from repopulse.functions.time import parse_iso, weekday_name
 from repopulse.operators import cleaning, joins, ranking, upsert, views
-from repopulse.plans.ingest import NOTES, load
+from repopulse.plans.ingest import load
 from repopulse.schemas import DISCUSSIONS, MODEL_REPOS, enforce
 from repopulse.session import shared_folder
 from repopulse.sources import csv_files, landing, run_log, tables
@@ -66,8 +66,11 @@ def a03(spark: SparkSession, folder: str) -> DataFrame:
 
 def _landed_models(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/models"
-    listed_models(spark, folder).write.json(path)
-    return landing.read_model_listings(spark, path)
+    # Counts are delivered as text; one line for each nation is cut off, another has a count that is no number.
+    listed_models(spark, folder).withColumn("likes", F.col("likes").cast("string")).write.json(path)
+    broken = "explode(array('{\"id\": \"' || n_name, '{\"id\": \"' || n_name || '\", \"tag\": \"t\", \"likes\": \"many\"}'))"
+    table(spark, folder, "nation").selectExpr(f"{broken} AS line").write.text(f"{path}-broken")
+    return landing.read_model_listings(spark, path, f"{path}-broken")
 
 
 def _landed_discussions(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +90,8 @@ MODEL_ROWS = (
 @query("a04_model_ingest", MODEL_ROWS + "SELECT * EXCLUDE (seq) FROM rows"
        " QUALIFY row_number() OVER (PARTITION BY tag ORDER BY downloads DESC, model_id ASC NULLS FIRST) <= 5")
 def a04(spark: SparkSession, folder: str) -> DataFrame:
-    return landing.top_model_rows(_landed_models(spark, folder), n=5)
+    readable, _ = landing.split_unreadable(_landed_models(spark, folder), landing.MODEL_COUNTS)
+    return landing.top_model_rows(readable, n=5)
 
 
 DISCUSSION_TIMES = """
@@ -293,6 +297,9 @@ CLEAN_DISCUSSIONS = f"""clean_discussions AS (
   FROM drows WHERE model_id <> '' AND hf_discussion_num IS NOT NULL)"""
 
 
+NOTES = ("Suppliers stand for repositories.", "Line items stand for discussions.")
+
+
 @query("a13_load_summary", CLEAN_MODELS.rstrip() + ", " + DISCUSSION_ROWS.replace("WITH", "", 1).replace("rows AS", "drows AS").rstrip()
        + f""", {CLEAN_DISCUSSIONS},
 counts AS (
@@ -302,13 +309,17 @@ counts AS (
   UNION ALL SELECT 'discussions_seen', (SELECT count(*) FROM drows)
   UNION ALL SELECT 'discussions_cleaned', (SELECT count(*) FROM clean_discussions)
   UNION ALL SELECT 'discussions_loaded',
-    (SELECT count(*) FROM clean_discussions WHERE model_id IN (SELECT model_id FROM clean_models)))
+    (SELECT count(*) FROM clean_discussions WHERE model_id IN (SELECT model_id FROM clean_models))
+  UNION ALL SELECT 'models_unreadable', (SELECT 2 * count(*) FROM nation)
+  UNION ALL SELECT 'discussions_unreadable', 0)
 SELECT 'count' AS section, item, CAST(n AS VARCHAR) AS value FROM counts
 UNION ALL SELECT 'fetch_error', s_name, s_name || ': 403 discussions disabled, nation ' || s_nationkey
   FROM supplier WHERE s_acctbal < 0
-""" + "".join(f"UNION ALL SELECT 'limitation', 'note_{i}', '{text}'\n" for i, text in enumerate(NOTES, 1)))
+UNION ALL SELECT 'unreadable_record', NULL, 'unreadable record: {{"id": "' || n_name FROM nation
+UNION ALL SELECT 'unreadable_record', n_name, 'unusable likes: many' FROM nation
+""".replace("{{", "{") + "".join(f"UNION ALL SELECT 'limitation', 'note_{i}', '{text}'\n" for i, text in enumerate(NOTES, 1)))
 def a13(spark: SparkSession, folder: str) -> DataFrame:
-    loaded = load(_landed_models(spark, folder), _landed_discussions(spark, folder), shared_folder(spark))
+    loaded = load(_landed_models(spark, folder), _landed_discussions(spark, folder), shared_folder(spark), notes=NOTES)
     return loaded.summary
 
 
@@ -418,8 +429,8 @@ def b09(spark: SparkSession, folder: str) -> DataFrame:
 def b12(spark: SparkSession, folder: str) -> DataFrame:
     text = F.expr(
         "CASE event_type WHEN 'view' THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
-        " WHEN 'click' THEN date_format(ts, \"yyyy-MM-dd HH:mm:ss.SSSSSS'+0230'\")"
-        " WHEN 'purchase' THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm\") WHEN 'error' THEN date_format(ts, 'yyyy-MM-dd')"
+        " WHEN 'click' THEN date_format(ts, \"yyyyMMdd'T'HHmmss.SSSSSS'+0230'\")"
+        " WHEN 'purchase' THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm\") WHEN 'error' THEN date_format(ts, 'yyyyMMdd')"
         " ELSE date_format(ts, 'yyyy-MM') END"
     )
     return table(spark, folder, "events").select("event_id", parse_iso(text).alias("parsed"))

@@ -11,6 +11,11 @@ def non_negative(column: Column) -> Column:
     return F.greatest(F.coalesce(column.cast("long"), F.lit(0)), F.lit(0))
 
 
+def whole_number(column: Column) -> Column:
+    """A number or its text as a 64-bit whole number, fractions cut off; null where it is none."""
+    return column.cast("string").try_cast("decimal(38,9)").try_cast("long")
+
+
 def count_where(condition: Column) -> Column:
     """Rows for which ``condition`` is true; 0, never null, for an empty group."""
     return F.count_if(condition)

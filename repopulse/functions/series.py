@@ -137,6 +137,7 @@ OFFSET_SCALE = 5.0
 CHANGE_SCALE = 0.05
 SEASON_SCALE = 10.0
 NOISE_SCALE = 0.5
+ROUNDS = 3000  # regressions after which a fit counts as not settled
 CHANGE_POINTS = 25
 CHANGE_RANGE = 0.8
 DAILY_ORDER = 4
@@ -155,8 +156,8 @@ def _seasons(days: np.ndarray) -> list[tuple[float, int]]:
     return cycles
 
 
-def additive_fit(days: np.ndarray, values: np.ndarray, periods: int) -> np.ndarray:
-    """Fitted value on every day of the history and on the ``periods`` days after it.
+def additive_fit(days: np.ndarray, values: np.ndarray, periods: int, rounds: int = ROUNDS) -> tuple[np.ndarray, bool]:
+    """Fitted value on every day of the history and on the ``periods`` days after it, and whether the fit settled.
 
     Piecewise linear trend with Laplace-distributed slope changes plus Fourier seasons, at the
     posterior mode. The mode is found by iterated ridge regressions: the Laplace term is replaced
@@ -189,7 +190,8 @@ def additive_fit(days: np.ndarray, values: np.ndarray, periods: int) -> np.ndarr
     size = np.ones(len(places))
     noise = 0.25
     weights = np.zeros(design.shape[1])
-    for _ in range(200):
+    moved = np.inf
+    for _ in range(rounds):
         root = np.sqrt(np.concatenate([prior[:2], CHANGE_SCALE * size, prior[laplace.stop :]]))
         system = root[:, None] * gram * root / noise + np.eye(len(root))
         update = root * np.linalg.solve(system, root * moment / noise)
@@ -202,22 +204,22 @@ def additive_fit(days: np.ndarray, values: np.ndarray, periods: int) -> np.ndarr
         weights = update
         if moved < 1e-5:
             break
-    return design @ weights * scale
+    return design @ weights * scale, bool(moved < 1e-5)
 
 
 def additive_fit_udf(periods: int):
-    """Array of fitted values for array columns of day numbers and values; null where no fit exists."""
+    """Fitted values, and whether the fit settled, for array columns of day numbers and values; null values where no fit exists."""
 
-    @pandas_udf(T.ArrayType(T.DoubleType()))
-    def fit(days: pd.Series, values: pd.Series) -> pd.Series:
+    @pandas_udf("fitted array<double>, settled boolean")
+    def fit(days: pd.Series, values: pd.Series) -> pd.DataFrame:
         out = []
         for d, v in zip(days, values, strict=True):
             d, v = np.asarray(d, dtype=float), np.asarray(v, dtype=float)
             try:
-                fitted = additive_fit(d, v, periods) if len(d) > 1 else None
+                fitted, settled = additive_fit(d, v, periods) if len(d) > 1 else (None, False)
             except np.linalg.LinAlgError:
-                fitted = None
-            out.append(fitted if fitted is not None and np.isfinite(fitted).all() else None)
-        return pd.Series(out, dtype=object)
+                fitted, settled = None, False
+            out.append((fitted if fitted is not None and np.isfinite(fitted).all() else None, settled))
+        return pd.DataFrame(out, columns=["fitted", "settled"])
 
     return fit

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 # Fixed values, in calendar order.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-_DATE = r"\d{4}-\d{2}-\d{2}"
-_CLOCK = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?"
-_ZONE = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)"
-_ISO = rf"\A{_DATE}(?:.{_CLOCK}{_ZONE}?)?\z"
-
+# Year, then month and day or week and day, in extended or basic form.
+_DATE = r"(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)"
+# Hour, minute, second and fraction, in extended or basic form.
+_CLOCK = r"(?:(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?)?|(\d{2})(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)"
+_ZONE = r"(?:Z|([+-])(\d{2})(?::?([0-5]\d)(?::?([0-5]\d)(?:[.,]\d+)?)?)?)"
+_ISO = rf"\A{_DATE}(?:(?s:.){_CLOCK}{_ZONE}?)?\z"
+_PARTS = "|".join(f"${i}" for i in range(1, 22))
 
 def weekday_number(timestamp: Column) -> Column:
     """0 for Monday to 6 for Sunday: a 4-byte grouping key in calendar order."""
@@ -36,18 +38,35 @@ def week_start(timestamp: Column) -> Column:
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to a UTC wall time, null when it is no such text.
 
-    One pattern checks the form, because Spark's own parser also takes a lone year, a lone clock
-    time or one-digit parts; the rest is cutting by position. A value without a zone is a UTC value.
+    Dates and times may have separators or not, a date may be a week and a day of it, and a zone may
+    be any shift below a day. One pattern checks the form and cuts the text, because Spark's own
+    parser also takes a lone year, a lone clock time or one-digit parts. A value without a zone is a
+    UTC value. Digits of a fraction beyond the sixth are cut off.
     """
-    rest = F.substring(text, 12, 40)
-    clock = F.substring_index(F.substring_index(F.substring_index(rest, "Z", 1), "+", 1), "-", 1)
-    zone = F.substring(rest, F.length(clock) + 1, F.lit(10))
-    full_clock = F.concat(
-        F.replace(clock, F.lit(","), F.lit(".")), F.substring(F.lit("00:00:00"), F.length(clock) + 1, F.lit(8))
-    )
-    wall = F.concat(F.substring(text, 1, 10), F.lit("T"), full_clock).try_cast("timestamp_ntz")
-    # The moment the zone's midnight of 1970-01-01 falls on is the shift from its clock to UTC.
-    shift = F.unix_seconds(F.concat(F.lit("1970-01-01T00:00:00"), zone).try_cast("timestamp"))
-    moved = wall + F.make_dt_interval(secs=shift.cast("decimal(18,6)"))
-    utc = F.when(zone.isin("", "Z"), wall).otherwise(moved)
-    return F.when(text.rlike(_ISO), utc)
+
+    def moment(p: Column) -> Column:
+        def part(*numbers: int) -> Column:
+            """The first of the groups that is there, else ''."""
+            return F.concat(*(F.get(p, F.lit(n - 1)) for n in numbers))
+
+        def two(*numbers: int) -> Column:
+            return F.lpad(part(*numbers), 2, "0")
+
+        year, week = part(1), part(6, 8)
+        day = F.concat_ws("-", year, two(2, 4), two(3, 5)).try_cast("date")
+        fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
+        monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (week.try_cast("int") - 1) * 7)
+        # The Thursday of a week lies in the year that the week belongs to.
+        real_week = F.year(F.date_add(monday, 3)) == year.try_cast("int")
+        week_day = F.when(real_week, F.date_add(monday, F.coalesce(part(7, 9).try_cast("int"), F.lit(1)) - 1))
+        date = F.when(year != "0000", F.when(week != "", week_day).otherwise(day))
+        clock = F.concat_ws(":", two(10, 14), two(11, 15), two(12, 16))
+        fraction = F.rpad(part(13, 17), 6, "0")
+        wall = F.concat(date.cast("string"), F.lit("T"), clock, F.lit("."), fraction).try_cast("timestamp_ntz")
+        hours = F.coalesce(part(19).try_cast("int"), F.lit(0))
+        seconds = 3600 * hours + F.coalesce(60 * part(20).try_cast("int"), F.lit(0)) + F.coalesce(part(21).try_cast("int"), F.lit(0))
+        shift = F.when(part(18) == "-", seconds).otherwise(-seconds)
+        return F.when(hours < 24, wall + F.make_dt_interval(secs=shift.cast("decimal(18,6)")))
+
+    parts = F.split(F.regexp_replace(text, _ISO, _PARTS), r"\|", -1)
+    return F.when(text.rlike(_ISO), F.transform(F.array(parts), moment)[0])

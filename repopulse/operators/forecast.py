@@ -120,12 +120,23 @@ def holt_forecast(series: DataFrame, periods: int = SMOOTHED_DAYS) -> DataFrame:
 
 
 def additive_fits(series: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
-    """Series with fitted values over history and horizon, and status."""
+    """Series with fitted values over history and horizon, and status.
+
+    A fit that still moved after the last round is kept out of forecasts and named in the report.
+    """
     days = F.transform("points", lambda p: F.unix_date(p["day"]))
     values = F.transform("points", lambda p: p["value"])
-    return series.withColumn("fitted", additive_fit_udf(periods)(days, values)).withColumn(
-        "status",
-        F.when(F.size("points") < 2, "too short").when(F.col("fitted").isNull(), "failed").otherwise("ok"),
+    return (
+        series.withColumn("_fit", additive_fit_udf(periods)(days, values))
+        .withColumns({"fitted": F.col("_fit.fitted"), "settled": F.col("_fit.settled")})
+        .withColumn(
+            "status",
+            F.when(F.size("points") < 2, "too short")
+            .when(F.col("fitted").isNull(), "failed")
+            .when(~F.col("settled"), "not converged")
+            .otherwise("ok"),
+        )
+        .drop("_fit", "settled")
     )
 
 

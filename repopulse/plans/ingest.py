@@ -1,12 +1,13 @@
 """The load job: landing records to cleaned batches to upserted tables, with a run summary.
 
 Landing JSON is parsed once, into cleaned Parquet batches in the target folder; the upserts then
-read those by column. Nothing is collected but six row counts. Each step is a written table, so a
+read those by column. Nothing is collected but four row counts. Each step is a written table, so a
 lost executor costs the tasks it held and a rerun of the job starts from files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -15,15 +16,19 @@ from pyspark.sql import functions as F
 from repopulse.operators.cleaning import clean_discussions, clean_models
 from repopulse.operators.upsert import touched_rows, upsert_discussions, upsert_models
 from repopulse.schemas import DISCUSSIONS, MODEL_REPOS
-from repopulse.sources.landing import discussion_rows, model_rows, split_errors, top_listings
+from repopulse.sources.landing import (
+    DISCUSSION_COUNTS,
+    MODEL_COUNTS,
+    discussion_rows,
+    model_rows,
+    split_errors,
+    split_unreadable,
+    top_listings,
+)
 from repopulse.sources.tables import read_or_empty, write_table
 
-NOTES = (
-    "Download counts stand in for usage; they do not measure production load.",
-    "A closed discussion is not always a resolved one.",
-    "Repositories with discussions disabled are skipped and listed under fetch_errors.",
-    "Creation dates of older or migrated repositories may be missing.",
-)
+MESSAGES = "model_id string, message string"
+UNREADABLE = "model_id string, message string, source string"
 
 
 @dataclass(frozen=True)
@@ -39,15 +44,9 @@ def _stage(rows: DataFrame, clean, name: str, path: str) -> tuple[DataFrame, int
     """Write the cleaned batch; count rows before and after cleaning on the way."""
     seen, kept = Observation(f"{name}_seen"), Observation(f"{name}_cleaned")
     count = F.count(F.lit(1)).alias("n")
-    clean(rows.observe(seen, count)).observe(kept, count).write.mode("errorifexists").parquet(path)
-    return rows.sparkSession.read.parquet(path), seen.get["n"], kept.get["n"]
-
-
-def _loaded_discussions(batch: DataFrame, repos: DataFrame) -> DataFrame:
-    """Batch rows whose repository is known, counted per repository before the join."""
-    counts = batch.groupBy("model_id").agg(F.count(F.lit(1)).alias("n"))
-    known = counts.join(repos.select("model_id"), "model_id", "left_semi")
-    return known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("touched_rows"))
+    cleaned = clean(rows.observe(seen, count)).observe(kept, count)
+    cleaned.write.mode("errorifexists").parquet(path)
+    return rows.sparkSession.read.schema(cleaned.schema).parquet(path), seen.get["n"], kept.get["n"]
 
 
 def load(
@@ -57,14 +56,22 @@ def load(
     current: str | None = None,
     tags: list[str] | None = None,
     top_n: int | None = None,
+    fold_status: bool = False,
+    notes: Sequence[str] = (),
 ) -> Loaded:
     """Bring ``model_repos`` and ``discussions`` below ``current`` up to date in the new folder ``target``.
 
     Without ``current`` the tables start empty. Repositories are stored before discussions, as two
     writes, so a failure in the second leaves the first. ``top_n`` keeps the most downloaded
-    repositories per tag, of ``tags`` or of all.
+    repositories per tag, of ``tags`` or of all. ``fold_status`` reduces the status before cleaning, as
+    ``discussion_rows`` does. Records that cannot be read are counted and listed, and load nothing.
+    ``notes`` go into the summary.
     """
     spark = model_listings.sparkSession
+    model_listings, bad_models = split_unreadable(model_listings, MODEL_COUNTS)
+    discussion_listings, bad_threads = split_unreadable(discussion_listings, DISCUSSION_COUNTS)
+    bad = bad_models.withColumn("source", F.lit("models")).unionByName(bad_threads.withColumn("source", F.lit("discussions")))
+    bad.write.mode("errorifexists").parquet(f"{target}/unreadable")
     models = model_rows(model_listings, "seq")
     if tags is not None or top_n is not None:
         models = top_listings(models, tags, top_n) if top_n is not None else models.filter(F.col("tag").isin(*tags))
@@ -74,7 +81,7 @@ def load(
 
     delivered, errors = split_errors(discussion_listings)
     threads, threads_seen, threads_cleaned = _stage(
-        discussion_rows(delivered, "seq"), clean_discussions, "discussions", f"{target}/clean_discussions"
+        discussion_rows(delivered, "seq", fold_status=fold_status), clean_discussions, "discussions", f"{target}/clean_discussions"
     )
     errors.write.mode("errorifexists").parquet(f"{target}/fetch_errors")
     stored = read_or_empty(spark, current and f"{current}/discussions", DISCUSSIONS)
@@ -88,28 +95,36 @@ def load(
         "models_loaded": touched_rows(batch),
         "discussions_seen": threads_seen,
         "discussions_cleaned": threads_cleaned,
-        "discussions_loaded": _loaded_discussions(threads, repos),
+        "discussions_loaded": touched_rows(threads, repos),
+    }
+    unreadable = spark.read.schema(UNREADABLE).parquet(f"{target}/unreadable")
+    counts |= {
+        f"{source}_unreadable": unreadable.filter(F.col("source") == source).agg(F.count(F.lit(1)).alias("touched_rows"))
+        for source in ("models", "discussions")
     }
-    messages = spark.read.parquet(f"{target}/fetch_errors")
-    return Loaded(repos, discussions, summary(counts, messages))
+    messages = spark.read.schema(MESSAGES).parquet(f"{target}/fetch_errors")
+    return Loaded(repos, discussions, summary(counts, messages, unreadable, notes))
 
 
-def summary(counts: dict[str, int | DataFrame], messages: DataFrame) -> DataFrame:
-    """Counts, fetch errors and notes as rows ``section, item, value``.
+def summary(
+    counts: dict[str, int | DataFrame], messages: DataFrame, unreadable: DataFrame, notes: Sequence[str] = ()
+) -> DataFrame:
+    """Counts, fetch errors, unreadable records and notes as rows ``section, item, value``.
 
     Errors stay rows: their number grows with the repositories, so they are not gathered into a list.
     """
     spark = messages.sparkSession
     known = [("count", name, str(n)) for name, n in counts.items() if not isinstance(n, DataFrame)]
-    notes = [("limitation", f"note_{i}", text) for i, text in enumerate(NOTES, 1)]
-    rows = spark.createDataFrame(known + notes, "section string, item string, value string")
+    noted = [("limitation", f"note_{i}", text) for i, text in enumerate(notes, 1)]
+    rows = spark.createDataFrame(known + noted, "section string, item string, value string")
     for name, frame in counts.items():
         if isinstance(frame, DataFrame):
             line = frame.select(
                 F.lit("count").alias("section"), F.lit(name).alias("item"), F.col("touched_rows").cast("string").alias("value")
             )
             rows = rows.unionByName(line)
-    errors = messages.select(
-        F.lit("fetch_error").alias("section"), F.col("model_id").alias("item"), F.col("message").alias("value")
-    )
-    return rows.unionByName(errors)
+    for section, frame in (("fetch_error", messages), ("unreadable_record", unreadable)):
+        rows = rows.unionByName(
+            frame.select(F.lit(section).alias("section"), F.col("model_id").alias("item"), F.col("message").alias("value"))
+        )
+    return rows

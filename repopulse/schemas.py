@@ -34,26 +34,28 @@ DISCUSSIONS = T.StructType(
     ]
 )
 
-# Landing records: every value as delivered, times still text. ``seq`` orders the records of one
-# delivery; of two records with the same key the later one counts.
+# Landing records: every value as delivered, times and counts still text, so that no number is lost
+# by its spelling. ``seq`` orders the records of one delivery; of two records with the same key the
+# later one counts. A line that is no such record is kept as it is in ``_corrupt_record``.
 MODEL_LISTING = T.StructType(
     [
         T.StructField("id", T.StringType()),
         T.StructField("tag", T.StringType()),
         T.StructField("author", T.StringType()),
-        T.StructField("likes", T.LongType()),
-        T.StructField("downloads", T.LongType()),
+        T.StructField("likes", T.StringType()),
+        T.StructField("downloads", T.StringType()),
         T.StructField("pipeline_tag", T.StringType()),
         T.StructField("created_at", T.StringType()),
         T.StructField("last_modified", T.StringType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
 
 DISCUSSION_LISTING = T.StructType(
     [
         T.StructField("model_id", T.StringType()),
-        T.StructField("num", T.LongType()),
+        T.StructField("num", T.StringType()),
         T.StructField("title", T.StringType()),
         T.StructField("author", T.StringType()),
         T.StructField("is_pull_request", T.BooleanType()),
@@ -62,6 +64,7 @@ DISCUSSION_LISTING = T.StructType(
         T.StructField("closed_at", T.StringType()),
         T.StructField("fetch_error", T.StringType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
 

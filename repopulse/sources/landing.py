@@ -1,7 +1,8 @@
 """Landing files: listing records as JSON lines, one record per repository or discussion.
 
 A discussion record with ``fetch_error`` says that reading its repository failed at that point;
-records delivered before the failure are valid.
+records delivered before the failure are valid. Take unreadable records out with ``split_unreadable``
+first: they have messages of their own, and no row is made of them.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repopulse.functions.numbers import whole_number
 from repopulse.functions.text import listed_status
 from repopulse.functions.time import parse_iso
 from repopulse.operators.ranking import top_listings
@@ -30,8 +32,24 @@ def concatenate(*listings: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, listings)
 
 
+MODEL_COUNTS, DISCUSSION_COUNTS = ("likes", "downloads"), ("num",)
+
+
+def split_unreadable(listings: DataFrame, counts: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Usable records, and one message for each line that is no record or has a count that is no number."""
+    name = "id" if "id" in listings.columns else "model_id"
+    corrupt = F.col("_corrupt_record") if "_corrupt_record" in listings.columns else F.lit(None).cast("string")
+    said = F.when(corrupt.isNotNull(), F.concat(F.lit("unreadable record: "), corrupt))
+    for count in counts:
+        bad = F.col(count).isNotNull() & whole_number(F.col(count)).isNull()
+        said = said.when(bad, F.concat(F.lit(f"unusable {count}: "), F.col(count).cast("string")))
+    judged = listings.withColumn("_said", said)
+    messages = judged.filter("_said IS NOT NULL").select(F.col(name).alias("model_id"), F.col("_said").alias("message"))
+    return judged.filter("_said IS NULL").drop("_said"), messages
+
+
 def _count(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).alias(name)
+    return F.coalesce(whole_number(F.col(name)), F.lit(0)).alias(name)
 
 
 def model_rows(listings: DataFrame, *keep: str) -> DataFrame:
@@ -71,7 +89,7 @@ def discussion_rows(listings: DataFrame, *keep: str, fold_status: bool = False)
     status = F.coalesce(F.col("status"), F.lit("open"))
     return listings.select(
         "model_id",
-        F.coalesce(F.col("num"), F.lit(0)).alias("hf_discussion_num"),
+        F.coalesce(whole_number(F.col("num")), F.lit(0)).alias("hf_discussion_num"),
         F.coalesce(F.col("title"), F.lit("")).alias("title"),
         "author",
         F.coalesce(F.col("is_pull_request"), F.lit(False)).alias("is_pull_request"),

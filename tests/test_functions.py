@@ -122,6 +122,27 @@ def test_iso_times_become_utc(spark, zone):
         "2025-01-06T10:11:12.123456+05:30",
         "2025-01-06T23:11:12-0200",
         "2025-01-06T10:11:12+02",
+        "2025-01-06T10:11:12." + "1" * 60 + "+02:00",
+        "2025-01-06T10:11:12+23:59:59",
+        "2025-01-06T10:11:12-20:30",
+        "2025-01-06T10:11:12+24:00",
+        "20250106",
+        "20250106T050607Z",
+        "2025-01-06T120000",
+        "20250106 0506",
+        "2025-W02-1",
+        "2025-W02",
+        "2025W027T10",
+        "2020-W53-7",
+        "2021-W53-1",
+        "2025-W00-1",
+        "2025-W02-8",
+        "0000-01-01",
+        "0000-W02-1",
+        "0001-01-01",
+        "9999-12-31T23:59:59",
+        "2025-0106",
+        "2025-01-06T10:1112",
         "2025",
         "2025-01",
         "2025-1-6",

@@ -68,6 +68,23 @@ def test_errors_are_split_off_and_delivered_rows_kept(spark, tmp_path, rows):
     assert {(r.hf_discussion_num, r.status) for r in folded.filter("model_id = 'a/one'").collect()} == {(1, "closed"), (0, "open")}
 
 
+def test_numbers_in_any_spelling_count_and_others_are_reported(spark, tmp_path, folder, rows):
+    path = tmp_path / "models.json"
+    good = [{"id": f"m{i}", "tag": "t", "likes": v, "seq": i} for i, v in enumerate(["12", 1.9, 3, None, "-1.5"])]
+    bad = [{"id": "m7", "tag": "t", "likes": "abc"}, {"id": "m8", "tag": "t", "likes": 10**20}, {"id": "m9", "tag": "t", "seq": "x"}]
+    path.write_text("".join(json.dumps(r) + "\n" for r in good + bad) + '{"id": "m10", "ta\n')
+    listings = landing.read_model_listings(spark, str(path))
+    usable, messages = landing.split_unreadable(listings, landing.MODEL_COUNTS)
+    assert rows(landing.model_rows(usable, "seq").filter("seq >= 0 OR seq IS NULL"), "model_id", "likes") == [("m0", 12), ("m1", 1), ("m2", 3), ("m3", 0), ("m4", -1)]
+    found = [m for _, m in rows(messages, "model_id", "message")]
+    assert sum(m.startswith("unusable likes") for m in found) == 2 and sum(m.startswith("unreadable record") for m in found) == 2
+    threads = landing.read_discussion_listings(spark, write_lines(tmp_path / "threads.json", [{"model_id": "m0", "num": "x"}]))
+    loaded = load(listings, threads, folder("run"), fold_status=True)
+    counts = {r.item: int(r.value) for r in loaded.summary.filter("section = 'count'").collect()}
+    assert (counts["models_loaded"], counts["models_unreadable"], counts["discussions_unreadable"]) == (5, 4, 1)
+    assert loaded.summary.filter("section = 'unreadable_record'").count() == 5
+
+
 def test_concatenation_keeps_repeats(spark, tmp_path):
     listings = landing.read_model_listings(spark, write_lines(tmp_path / "models.json", LISTED))
     assert landing.concatenate(listings, listings, listings).count() == 18
@@ -77,7 +94,7 @@ def test_load_twice_equals_load_once(spark, tmp_path, folder, rows):
     models = landing.read_model_listings(spark, write_lines(tmp_path / "models.json", LISTED))
     threads = landing.read_discussion_listings(spark, write_lines(tmp_path / "threads.json", THREADS))
     first, second = folder("run"), folder("run")
-    loaded = load(models, threads, first)
+    loaded = load(models, threads, first, notes=["one", "two"])
     counts = {r.item: int(r.value) for r in loaded.summary.filter("section = 'count'").collect()}
     assert counts == {
         "models_seen": 6,
@@ -86,9 +103,11 @@ def test_load_twice_equals_load_once(spark, tmp_path, folder, rows):
         "discussions_seen": 5,
         "discussions_cleaned": 4,
         "discussions_loaded": 3,
+        "models_unreadable": 0,
+        "discussions_unreadable": 0,
     }
     assert rows(loaded.summary.filter("section = 'fetch_error'"), "item", "value") == [("a/three", "a/three: 403 disabled")]
-    assert loaded.summary.filter("section = 'limitation'").count() == 4
+    assert loaded.summary.filter("section = 'limitation'").count() == 2
     assert rows(loaded.repos, "model_id", "tag", "likes", "downloads", "author") == [
         ("a/one", "t2", 5, 91, None),
         ("a/three", "t1", 0, 0, None),
