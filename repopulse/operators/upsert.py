@@ -4,10 +4,11 @@ A batch row replaces every mutable field of the stored row with its key, nulls i
 batch does not name stay as they are. When a batch repeats a key, the row with the greatest
 sequence counts (or the job fails, in strict mode, if the key is a new one).
 
-The stored table is read twice and not rewritten by a shuffle unless it has to be: the batch is
-joined to it from the right (``left`` and ``left_semi``), so a batch within Spark's broadcast
-bound never moves a stored row; beyond that bound both sides are shuffled by key, and keys are
-unique on both sides, so no partition can be hot.
+The batch is reduced to one row per key once and written to the shared folder; everything after
+reads that. The stored table is read once in full and once for its keys, and not moved by a shuffle
+unless it has to be: the batch is joined to it from the right (``left`` and ``left_semi``), so a
+batch within Spark's broadcast bound never moves a stored row; beyond that bound both sides are
+shuffled by key, and keys are unique on both sides, so no partition can be hot.
 """
 
 from __future__ import annotations
@@ -18,40 +19,45 @@ from pyspark.sql import Window
 
 from repopulse.operators.joins import resolve_repo
 from repopulse.operators.ranking import latest_per_key
+from repopulse.session import settle
 
+MODEL_KEYS, DISCUSSION_KEYS = ("model_id",), ("repo_id", "hf_discussion_num")
 MODEL_FIELDS = ("tag", "author", "likes", "downloads", "pipeline_tag", "created_at", "last_modified")
 DISCUSSION_FIELDS = ("title", "author", "is_pull_request", "status", "created_at", "closed_at")
 
 # Hexadecimal digits of the key hash that choose the numbering group: 16 ** 3 groups.
-_GROUP_DIGITS = 3
+GROUP_DIGITS = 3
 
 
 def _key_hash(keys: list[str]) -> Column:
     return F.md5(F.concat_ws("/", *(F.col(k).cast("string") for k in keys)))
 
 
-def with_new_ids(rows: DataFrame, keys: list[str], current: DataFrame) -> DataFrame:
+def with_new_ids(
+    rows: DataFrame, keys: list[str], current: DataFrame, top_id: int | None = None, digits: int = GROUP_DIGITS
+) -> DataFrame:
     """Number rows with unique keys from the greatest stored id on, without gaps.
 
-    The order is by key hash, so the numbers depend on the keys alone. The leading hash digits
-    split the rows into 4,096 even groups that are numbered independently; a running sum over the
-    4,096 group sizes gives each group its start. No step sorts the rows in one task, and a lost
-    task recomputes the same numbers.
+    The order is by key hash, so the numbers depend on the keys alone. The leading ``digits`` of the
+    hash split the rows into 16 ** digits even groups (at most 4 digits) that are numbered
+    independently; a running sum over the group sizes gives each group its start. Only keys and hashes
+    are sorted; no step sorts them in one task, and a lost task recomputes the same numbers.
+    ``top_id`` is the greatest stored id where it is known.
     """
-    hashed = rows.withColumn("_hash", _key_hash(keys)).withColumn(
-        "_group", F.substring("_hash", 1, _GROUP_DIGITS)
-    )
+    if not 1 <= digits <= 4:
+        raise ValueError("digits is 1 to 4")
+    hashed = rows.select(*keys, _key_hash(keys).alias("_hash")).withColumn("_group", F.substring("_hash", 1, digits))
     within = F.row_number().over(Window.partitionBy("_group").orderBy("_hash", *keys))
     sizes = hashed.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    top = current.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    return (
+    top = F.lit(top_id) if top_id is not None else current.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    numbered = (
         hashed.withColumn("_rank", within)
-        .join(F.broadcast(starts), "_group")  # at most 16 ** 3 rows by construction
-        .withColumn("id", (top + F.col("_start") + F.col("_rank")).cast("long"))
-        .drop("_hash", "_group", "_rank", "_start")
+        .join(F.broadcast(starts), "_group")  # at most 16 ** 4 rows by construction
+        .select(*keys, (top + F.col("_start") + F.col("_rank")).cast("long").alias("id"))
     )
+    return rows.join(numbered, keys)
 
 
 def _checked_latest(batch: DataFrame, keys: list[str], sequence: list[str], current: DataFrame) -> DataFrame:
@@ -80,8 +86,13 @@ def upsert(
     fields: tuple[str, ...],
     sequence: list[str],
     on_duplicate: str = "last",
+    top_id: int | None = None,
 ) -> DataFrame:
-    """``current`` after the batch, with its own columns: ``id``, ``keys`` and ``fields``."""
+    """``current`` after the batch, with its own columns: ``id``, ``keys`` and ``fields``.
+
+    ``current`` may be a part of the table that has all keys of the batch which the table has; then
+    ``top_id`` is the greatest id of the whole table.
+    """
     if on_duplicate not in ("last", "error"):
         raise ValueError("on_duplicate is 'last' or 'error'")
     batch = batch.select(*keys, *fields, *(c for c in sequence if c not in (*keys, *fields)))
@@ -89,7 +100,7 @@ def upsert(
         latest = _checked_latest(batch, keys, sequence, current)
     else:
         latest = latest_per_key(batch, keys, sequence)
-    latest = latest.select(*keys, *fields)
+    latest = settle(latest.select(*keys, *fields))
 
     incoming = latest.select(*keys, F.struct(*fields).alias("_new"))
     kept = current.join(incoming, keys, "left").select(
@@ -97,8 +108,8 @@ def upsert(
         *keys,
         *(F.when(F.col("_new").isNotNull(), F.col(f"_new.{f}")).otherwise(F.col(f)).alias(f) for f in fields),
     )
-    stored_keys = current.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
-    added = with_new_ids(latest.join(stored_keys, keys, "left_anti"), keys, current)
+    stored_keys = current.select(*keys).join(latest.select(*keys), keys, "left_semi")
+    added = with_new_ids(settle(latest.join(stored_keys, keys, "left_anti")), keys, current, top_id)
     return kept.unionByName(added.select("id", *keys, *fields))
 
 
@@ -112,10 +123,10 @@ def upsert_actions(current: DataFrame, batch: DataFrame, keys: list[str]) -> Dat
 
 
 def upsert_models(
-    current: DataFrame, batch: DataFrame, sequence: list[str], on_duplicate: str = "last"
+    current: DataFrame, batch: DataFrame, sequence: list[str], on_duplicate: str = "last", top_id: int | None = None
 ) -> DataFrame:
     """Repositories keyed by ``model_id``."""
-    return upsert(current, batch, ["model_id"], MODEL_FIELDS, sequence, on_duplicate)
+    return upsert(current, batch, list(MODEL_KEYS), MODEL_FIELDS, sequence, on_duplicate, top_id)
 
 
 def upsert_discussions(
@@ -123,7 +134,7 @@ def upsert_discussions(
 ) -> DataFrame:
     """Discussions keyed by ``(repo_id, hf_discussion_num)``; rows of unknown repositories are skipped."""
     rows = resolve_repo(batch, repos)
-    return upsert(current, rows, ["repo_id", "hf_discussion_num"], DISCUSSION_FIELDS, sequence, on_duplicate)
+    return upsert(current, rows, list(DISCUSSION_KEYS), DISCUSSION_FIELDS, sequence, on_duplicate)
 
 
 def touched_rows(batch: DataFrame, repos: DataFrame | None = None) -> DataFrame:

@@ -14,8 +14,18 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repopulse.operators.cleaning import clean_discussions, clean_models
-from repopulse.operators.upsert import touched_rows, upsert_discussions, upsert_models
+from repopulse.operators.joins import resolve_repo
+from repopulse.operators.upsert import (
+    DISCUSSION_FIELDS,
+    DISCUSSION_KEYS,
+    MODEL_KEYS,
+    touched_rows,
+    upsert,
+    upsert_models,
+)
 from repopulse.schemas import DISCUSSIONS, MODEL_REPOS
+from repopulse.session import settle
+from repopulse.sources.buckets import open_table
 from repopulse.sources.landing import (
     DISCUSSION_COUNTS,
     MODEL_COUNTS,
@@ -25,7 +35,9 @@ from repopulse.sources.landing import (
     split_unreadable,
     top_listings,
 )
-from repopulse.sources.tables import read_or_empty, write_table
+
+#: Key buckets of a new table; rows of one bucket should fit into a few hundred megabytes.
+BUCKETS = 64
 
 MESSAGES = "model_id string, message string"
 UNREADABLE = "model_id string, message string, source string"
@@ -58,6 +70,7 @@ def load(
     top_n: int | None = None,
     fold_status: bool = False,
     notes: Sequence[str] = (),
+    buckets: int = BUCKETS,
 ) -> Loaded:
     """Bring ``model_repos`` and ``discussions`` below ``current`` up to date in the new folder ``target``.
 
@@ -65,7 +78,8 @@ def load(
     writes, so a failure in the second leaves the first. ``top_n`` keeps the most downloaded
     repositories per tag, of ``tags`` or of all. ``fold_status`` reduces the status before cleaning, as
     ``discussion_rows`` does. Records that cannot be read are counted and listed, and load nothing.
-    ``notes`` go into the summary.
+    ``notes`` go into the summary. New tables get ``buckets`` key buckets; a load rewrites those that its
+    batch touches, and the new version points to the files of the others.
     """
     spark = model_listings.sparkSession
     model_listings, bad_models = split_unreadable(model_listings, MODEL_COUNTS)
@@ -76,18 +90,20 @@ def load(
     if tags is not None or top_n is not None:
         models = top_listings(models, tags, top_n) if top_n is not None else models.filter(F.col("tag").isin(*tags))
     batch, models_seen, models_cleaned = _stage(models, clean_models, "models", f"{target}/clean_models")
-    stored = read_or_empty(spark, current and f"{current}/model_repos", MODEL_REPOS)
-    repos = write_table(upsert_models(stored, batch, ["seq"]), f"{target}/model_repos", MODEL_REPOS)
+    stored = open_table(spark, current and f"{current}/model_repos", MODEL_REPOS, MODEL_KEYS, buckets)
+    part = stored.read(stored.touched(batch))
+    repos = stored.replace(upsert_models(part, batch, ["seq"], top_id=stored.top_id), f"{target}/model_repos").read()
 
     delivered, errors = split_errors(discussion_listings)
     threads, threads_seen, threads_cleaned = _stage(
         discussion_rows(delivered, "seq", fold_status=fold_status), clean_discussions, "discussions", f"{target}/clean_discussions"
     )
     errors.write.mode("errorifexists").parquet(f"{target}/fetch_errors")
-    stored = read_or_empty(spark, current and f"{current}/discussions", DISCUSSIONS)
-    discussions = write_table(
-        upsert_discussions(stored, repos, threads, ["seq"]), f"{target}/discussions", DISCUSSIONS
-    )
+    stored = open_table(spark, current and f"{current}/discussions", DISCUSSIONS, DISCUSSION_KEYS, buckets)
+    known = settle(resolve_repo(threads, repos))
+    part = stored.read(stored.touched(known))
+    updated = upsert(part, known, list(DISCUSSION_KEYS), DISCUSSION_FIELDS, ["seq"], top_id=stored.top_id)
+    discussions = stored.replace(updated, f"{target}/discussions").read()
 
     counts = {
         "models_seen": models_seen,

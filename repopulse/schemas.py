@@ -34,8 +34,8 @@ DISCUSSIONS = T.StructType(
     ]
 )
 
-# Landing records: every value as delivered, times and counts still text, so that no number is lost
-# by its spelling. ``seq`` orders the records of one delivery; of two records with the same key the
+# Landing records: every value as the text that was delivered, so that nothing is lost by its spelling
+# and a line is unreadable whichever columns a query needs. ``seq`` orders the records of one delivery; of two records with the same key the
 # later one counts. A line that is no such record is kept as it is in ``_corrupt_record``.
 MODEL_LISTING = T.StructType(
     [
@@ -47,7 +47,7 @@ MODEL_LISTING = T.StructType(
         T.StructField("pipeline_tag", T.StringType()),
         T.StructField("created_at", T.StringType()),
         T.StructField("last_modified", T.StringType()),
-        T.StructField("seq", T.LongType()),
+        T.StructField("seq", T.StringType()),
         T.StructField("_corrupt_record", T.StringType()),
     ]
 )
@@ -58,12 +58,12 @@ DISCUSSION_LISTING = T.StructType(
         T.StructField("num", T.StringType()),
         T.StructField("title", T.StringType()),
         T.StructField("author", T.StringType()),
-        T.StructField("is_pull_request", T.BooleanType()),
+        T.StructField("is_pull_request", T.StringType()),
         T.StructField("status", T.StringType()),
         T.StructField("created_at", T.StringType()),
         T.StructField("closed_at", T.StringType()),
         T.StructField("fetch_error", T.StringType()),
-        T.StructField("seq", T.LongType()),
+        T.StructField("seq", T.StringType()),
         T.StructField("_corrupt_record", T.StringType()),
     ]
 )

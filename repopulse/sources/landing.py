@@ -32,22 +32,33 @@ def concatenate(*listings: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, listings)
 
 
-MODEL_COUNTS, DISCUSSION_COUNTS = ("likes", "downloads"), ("num",)
+MODEL_COUNTS, DISCUSSION_COUNTS = ("likes", "downloads", "seq"), ("num", "seq")
 
 
 def split_unreadable(listings: DataFrame, counts: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """Usable records, and one message for each line that is no record or has a count that is no number."""
+    """Usable records, and one message for each line that is no record, or has a count that is no number or a flag that is none."""
     name = "id" if "id" in listings.columns else "model_id"
     corrupt = F.col("_corrupt_record") if "_corrupt_record" in listings.columns else F.lit(None).cast("string")
     said = F.when(corrupt.isNotNull(), F.concat(F.lit("unreadable record: "), corrupt))
-    for count in counts:
-        bad = F.col(count).isNotNull() & whole_number(F.col(count)).isNull()
-        said = said.when(bad, F.concat(F.lit(f"unusable {count}: "), F.col(count).cast("string")))
+    read = {c: whole_number(F.col(c)) for c in counts if c in listings.columns}
+    if "is_pull_request" in listings.columns:
+        read["is_pull_request"] = _flag("is_pull_request")
+    for column, value in read.items():
+        bad = F.col(column).isNotNull() & value.isNull()
+        said = said.when(bad, F.concat(F.lit(f"unusable {column}: "), F.col(column).cast("string")))
     judged = listings.withColumn("_said", said)
     messages = judged.filter("_said IS NOT NULL").select(F.col(name).alias("model_id"), F.col("_said").alias("message"))
     return judged.filter("_said IS NULL").drop("_said"), messages
 
 
+def _flag(name: str) -> Column:
+    return F.col(name).cast("string").try_cast("boolean")
+
+
+def _kept(names: tuple[str, ...]) -> list[Column]:
+    return [whole_number(F.col(c)).alias(c) if c == "seq" else F.col(c) for c in names]
+
+
 def _count(name: str) -> Column:
     return F.coalesce(whole_number(F.col(name)), F.lit(0)).alias(name)
 
@@ -62,7 +73,7 @@ def model_rows(listings: DataFrame, *keep: str) -> DataFrame:
         _count("downloads"),
         "pipeline_tag",
         *(parse_iso(F.col(c)).alias(c) for c in ("created_at", "last_modified")),
-        *keep,
+        *_kept(keep),
     )
 
 
@@ -92,8 +103,8 @@ def discussion_rows(listings: DataFrame, *keep: str, fold_status: bool = False)
         F.coalesce(whole_number(F.col("num")), F.lit(0)).alias("hf_discussion_num"),
         F.coalesce(F.col("title"), F.lit("")).alias("title"),
         "author",
-        F.coalesce(F.col("is_pull_request"), F.lit(False)).alias("is_pull_request"),
+        F.coalesce(_flag("is_pull_request"), F.lit(False)).alias("is_pull_request"),
         (listed_status(status) if fold_status else status).alias("status"),
         *(parse_iso(F.col(c)).alias(c) for c in ("created_at", "closed_at")),
-        *keep,
+        *_kept(keep),
     )

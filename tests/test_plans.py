@@ -95,3 +95,24 @@ def test_a_large_batch_falls_back_to_shuffled_joins(spark, rows):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert large == small and len(large) == 250
+
+
+def test_engagement_has_one_subquery(spark):
+    frame = metrics.engagement(sparse_repos(spark, FOLDER), event_discussions(spark, FOLDER))
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("scalar-subquery") == 1
+
+
+def test_upsert_reads_the_batch_once_and_the_table_twice(spark, tmp_path):
+    stored, batch = tmp_path / "stored", tmp_path / "batch"
+    frame = main_repos(spark, FOLDER)
+    frame.write.parquet(str(stored))
+    frame.selectExpr("model_id", "tag", "author", "likes + 1 AS likes", "downloads", "pipeline_tag", "created_at", "last_modified", "id AS seq").write.parquet(str(batch))
+    table = spark.read.schema(frame.schema).parquet(str(stored))
+    text = plan(upsert.upsert_models(table, spark.read.parquet(str(batch)), ["seq"], top_id=10**6))
+    text = text[text.index("Initial Plan") :] if "Initial Plan" in text else text
+    assert text.count(f"Location: InMemoryFileIndex(1 paths)[file:{stored}") <= 2 and str(batch) not in text
+
+
+def test_weekday_trend_has_no_window(spark):
+    text = plan(entry.all_queries.RUNS["j02_weekday_trend_created"](spark, FOLDER))
+    assert "Window" not in text

@@ -11,6 +11,7 @@ from repopulse.plans.ingest import load
 from repopulse.schemas import DISCUSSIONS, MODEL_REPOS, empty_table
 from repopulse.session import shared_folder
 from repopulse.sources import csv_files, landing, run_log, tables
+from repopulse.sources.buckets import open_table
 
 DAY = dt.datetime(2025, 1, 6, 10, 30)
 
@@ -75,9 +76,10 @@ def test_numbers_in_any_spelling_count_and_others_are_reported(spark, tmp_path,
     path.write_text("".join(json.dumps(r) + "\n" for r in good + bad) + '{"id": "m10", "ta\n')
     listings = landing.read_model_listings(spark, str(path))
     usable, messages = landing.split_unreadable(listings, landing.MODEL_COUNTS)
-    assert rows(landing.model_rows(usable, "seq").filter("seq >= 0 OR seq IS NULL"), "model_id", "likes") == [("m0", 12), ("m1", 1), ("m2", 3), ("m3", 0), ("m4", -1)]
+    assert rows(landing.model_rows(usable), "model_id", "likes") == [("m0", 12), ("m1", 1), ("m2", 3), ("m3", 0), ("m4", -1)]
     found = [m for _, m in rows(messages, "model_id", "message")]
-    assert sum(m.startswith("unusable likes") for m in found) == 2 and sum(m.startswith("unreadable record") for m in found) == 2
+    assert sum(m.startswith("unusable likes") for m in found) == 2 and sum(m.startswith("unusable seq: x") for m in found) == 1
+    assert sum(m.startswith("unreadable record") for m in found) == 1
     threads = landing.read_discussion_listings(spark, write_lines(tmp_path / "threads.json", [{"model_id": "m0", "num": "x"}]))
     loaded = load(listings, threads, folder("run"), fold_status=True)
     counts = {r.item: int(r.value) for r in loaded.summary.filter("section = 'count'").collect()}
@@ -195,3 +197,19 @@ def test_shared_folder_is_below_the_configured_one(spark):
 def test_landing_reads_only_needed_columns(spark, tmp_path):
     listings = landing.read_discussion_listings(spark, write_lines(tmp_path / "threads.json", THREADS))
     assert listings.select("model_id").agg(F.count("model_id").alias("n")).collect()[0].n == 5
+
+
+def test_a_load_rewrites_only_the_buckets_it_touches(spark, tmp_path, folder, rows):
+    models = [{"id": f"m{i}", "tag": "t", "likes": i, "seq": i} for i in range(200)]
+    none = landing.read_discussion_listings(spark, write_lines(tmp_path / "threads.json", []))
+    first, second = folder("run"), folder("run")
+    listings = landing.read_model_listings(spark, write_lines(tmp_path / "all.json", models))
+    load(listings, none, first, buckets=16)
+    changed = [{"id": "m7", "tag": "t", "likes": 1000, "seq": 1}, {"id": "new", "tag": "t", "seq": 2}]
+    loaded = load(landing.read_model_listings(spark, write_lines(tmp_path / "few.json", changed)), none, second, current=first)
+    before, after = (open_table(spark, f"{f}/model_repos", MODEL_REPOS, ("model_id",), 1) for f in (first, second))
+    assert before.buckets == after.buckets == 16 and len(after.paths) == 16
+    assert sum(before.paths[b] != after.paths[b] for b in after.paths) in (1, 2)
+    found = {r.model_id: (r.id, r.likes) for r in loaded.repos.collect()}
+    old = {r.model_id: (r.id, r.likes) for r in before.read().collect()}
+    assert found == old | {"m7": (old["m7"][0], 1000), "new": (201, 0)}
