@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"))
-        larger = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")).distinct()
+        larger = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
         low = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = larger.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         found = settle(smaller.unionByName(low.select("a", F.col("m").alias("b"))).distinct())

@@ -5,8 +5,9 @@
    size, and enters one bucket per token; the sampling hash is shared, so similar sets meet. Small
    buckets are compared in full, on short sketches, and give a spanning forest of the pairs that may
    be similar. A bucket that is too large (a passage that very many texts share) is compared in
-   blocks, and unless that joined all its members it is split again on tokens sampled under its
-   own path. What is still large after the last level is compared block by block.
+   blocks. If that joined most of its members, the others are compared with those and go on as a
+   bucket; else it is split again on tokens sampled under its own path. What is still large after
+   the last level is compared block by block.
 3. Candidate components are made from the forests. Within them all pairs are compared exactly, in
    blocks, which gives each set's number of links and the links that form the final classes.
 
@@ -22,7 +23,7 @@ each is a class of its own. Ids may be null or repeat; copies of a row are membe
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,12 @@ SHINGLE = 5
 RUNS = 10
 #: Tokens that a set samples on average in each run and level.
 SAMPLED = 2.0
-#: Sets that are compared with each other in one task at a time.
-BLOCK = 1024
+#: Sets whose sketches, and whose tokens, are compared with each other at a time.
+BLOCK = 2048
+EXACT_BLOCK = 512
 LEVELS = 6
+#: The side of members that are compared within their own block.
+WITHIN = 2
 #: Sketch bins, and the estimate from which a pair is a candidate: five deviations below the threshold of 0.8.
 BINS = 128
 MARGIN = 0.2
@@ -144,17 +148,15 @@ def _forest(alike: np.ndarray) -> np.ndarray:
     return root
 
 
-def _alike(sketches: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of sketches may reach the threshold."""
-    n = len(sketches)
-    out = np.zeros((n, n), bool)
-    filled = sketches != 0
-    empty = (~filled).astype(np.float32)
+def _alike(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of a left and a right sketch may reach the threshold."""
     # Bins that one of both fills.
-    used = BINS - empty @ empty.T
-    for low in range(0, n, 64):
-        same = ((sketches[low : low + 64, None, :] == sketches[None, :, :]) & filled[None, :, :]).sum(axis=2)
-        out[low : low + 64] = same >= (threshold - MARGIN) * used[low : low + 64]
+    used = BINS - (left == 0).astype(np.float32) @ (right == 0).astype(np.float32).T
+    out = np.zeros((len(left), len(right)), bool)
+    filled = right != 0
+    for low in range(0, len(left), 32):
+        same = ((left[low : low + 32, None, :] == right[None, :, :]) & filled[None, :, :]).sum(axis=2)
+        out[low : low + 32] = same >= (threshold - MARGIN) * used[low : low + 32]
     return out
 
 
@@ -170,7 +172,7 @@ def _edges(pairs: list[tuple[str, str]]) -> pa.RecordBatch:
 def _link_groups(members: DataFrame, threshold: float) -> DataFrame:
     """Forests of candidate pairs within the groups of (place, side, set_key, sketch).
 
-    Groups hold up to two blocks. Where both sides are there, only pairs across them are compared.
+    A group is one block, or two blocks with sides 0 and 1 of which only pairs across are compared.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +182,14 @@ def _link_groups(members: DataFrame, threshold: float) -> DataFrame:
                 continue
             keys = group.column("set_key").to_pylist()
             sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(keys), BINS)
-            alike = _alike(sketches, threshold)
             side = group.column("side").to_numpy()
-            if side.min() != side.max():
-                alike &= side[:, None] != side[None, :]
+            if side[0] == WITHIN:
+                alike = _alike(sketches, sketches, threshold)
+            else:
+                alike = np.zeros((len(keys), len(keys)), bool)
+                across = np.ix_(side == 0, side == 1)
+                alike[across] = _alike(sketches[side == 0], sketches[side == 1], threshold)
+                alike |= alike.T
             out += [(keys[i], keys[r]) for i, r in enumerate(_forest(alike).tolist()) if i != r]
             if len(out) > 5000:
                 yield _edges(out)
@@ -193,22 +199,62 @@ def _link_groups(members: DataFrame, threshold: float) -> DataFrame:
     return members.repartition("place").sortWithinPartitions("place").select("place", "side", "set_key", "sketch").mapInArrow(run, EDGES)
 
 
-def _blocks(size: Column) -> Column:
-    return F.ceil(size / F.lit(BLOCK)).cast("int")
+def _blocks(size: Column, most: int) -> Column:
+    return F.ceil(size / F.lit(most)).cast("int")
+
 
+def _block_of(size: Column, most: int) -> Column:
+    """A member's block; each bucket deals its members differently."""
+    return F.pmod(F.xxhash64("set_key", "bucket"), _blocks(size, most)).cast("int")
 
-def _block_pairs(members: DataFrame) -> DataFrame:
+
+def _block_pairs(members: DataFrame, most: int) -> DataFrame:
     """(place, side, ...) for every pair of blocks of a bucket of (bucket, size, set_key, ...)."""
-    block = F.pmod(F.xxhash64("set_key", "bucket"), _blocks(F.col("size"))).cast("int")
     return (
-        members.withColumn("_block", block)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), _blocks(F.col("size")) - 1)))
+        members.withColumn("_block", _block_of(F.col("size"), most))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), _blocks(F.col("size"), most) - 1)))
         .withColumn("place", F.xxhash64("bucket", F.least("_block", "_other"), F.greatest("_block", "_other")))
-        .withColumn("side", F.when(F.col("_block") < F.col("_other"), 0).when(F.col("_block") > F.col("_other"), 1).otherwise(0))
+        .withColumn("side", F.when(F.col("_block") < F.col("_other"), 0).when(F.col("_block") > F.col("_other"), 1).otherwise(WITHIN))
         .drop("_block", "_other")
     )
 
 
+def _across(members: DataFrame, most: int) -> DataFrame:
+    """(place, side, ...) for blocks of outsiders with blocks of the main group of (bucket, size, main, outside, set_key, ...)."""
+    main = F.col("size") - F.col("outside_size")
+    own = F.when(F.col("outside"), _block_of(F.col("outside_size"), most)).otherwise(_block_of(main, most))
+    others = F.when(F.col("outside"), _blocks(main, most)).otherwise(_blocks(F.col("outside_size"), most))
+    return (
+        members.withColumns({"_own": own, "_other": F.explode(F.sequence(F.lit(0), others - 1)), "side": F.when(F.col("outside"), 0).otherwise(1)})
+        .withColumn("_first", F.when(F.col("outside"), F.col("_own")).otherwise(F.col("_other")))
+        .withColumn("_second", F.when(F.col("outside"), F.col("_other")).otherwise(F.col("_own")))
+        .withColumn("place", F.xxhash64(F.lit("across"), "bucket", "_first", "_second"))
+        .drop("_own", "_other", "_first", "_second")
+    )
+
+
+def _unfinished(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """Large buckets whose members are not one component: (bucket, size, set_key, outside, outside_size).
+
+    outside tells the members that are not in the bucket's largest component.
+    """
+    labelled = large.join(roots, F.col("set_key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_key"))
+    main = (
+        labelled.groupBy("bucket", "size", "root")
+        .agg(F.count("*").alias("_n"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("_n", "root")).alias("_main"), F.first("size").alias("_size"))
+        .where(F.col("_main._n") < F.col("_size"))
+    )
+    return labelled.join(main, "bucket").select(
+        "bucket",
+        "size",
+        "set_key",
+        (F.col("root") != F.col("_main.root")).alias("outside"),
+        (F.col("size") - F.col("_main._n")).alias("outside_size"),
+    )
+
+
 def _split(unfinished: DataFrame, texts: DataFrame) -> DataFrame:
     """(bucket, set_key) one level below the buckets of (bucket, set_key)."""
     of_set = unfinished.groupBy("set_key").agg(F.collect_set("bucket").alias("buckets"))
@@ -229,43 +275,35 @@ def _split(unfinished: DataFrame, texts: DataFrame) -> DataFrame:
     return texts(of_set).select("set_key", "text", "buckets").mapInArrow(run, "bucket bigint, set_key string").distinct()
 
 
-def candidate_edges(sets: DataFrame, texts, threshold: float) -> DataFrame:
-    """Forests of the pairs that may be similar. ``texts`` adds a text to a frame of set keys."""
+def candidate_components(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+    """(node, root) of the pairs that may be similar. ``texts`` adds a text to a frame of set keys."""
     sketches = sets.select("set_key", "sketch")
     entries = sets.select("set_key", F.explode("buckets").alias("bucket"))
-    found: list[DataFrame] = []
+    edges = None
     for level in range(LEVELS + 1):
         sizes = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
         shared = settle(entries.join(sizes, "bucket").select("bucket", "size", "set_key"))
-        # Members of a large bucket are dealt into blocks; each bucket deals them differently.
-        block = F.pmod(F.xxhash64("set_key", "bucket"), _blocks(F.col("size")))
-        first = shared.withColumns({"place": F.xxhash64("bucket", block), "side": F.lit(0)}).join(sketches, "set_key")
-        found.append(settle(_link_groups(first, threshold)))
-        large = settle(shared.where(F.col("size") > BLOCK))
-        if large.isEmpty():
-            break
-        roots = components(_union(found))
-        labelled = large.join(roots, F.col("set_key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_key"))
-        several = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-        unfinished = settle(large.join(several, "bucket"))
+        # Members of a large bucket are dealt into blocks.
+        dealt = shared.withColumns({"place": F.xxhash64("bucket", _block_of(F.col("size"), BLOCK)), "side": F.lit(WITHIN)})
+        found = _link_groups(dealt.join(sketches, "set_key"), threshold)
+        roots = components(found if edges is None else edges.unionByName(found))
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        unfinished = settle(_unfinished(shared.where(F.col("size") > BLOCK), roots))
         if unfinished.isEmpty():
-            break
+            return roots
         if level == LEVELS:
-            found.append(settle(_link_groups(_block_pairs(unfinished.join(sketches, "set_key")), threshold)))
-        else:
-            entries = settle(_split(unfinished.select("bucket", "set_key"), texts))
-    return _union(found)
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+            rest = _link_groups(_block_pairs(unfinished.join(sketches, "set_key"), BLOCK), threshold)
+            return components(edges.unionByName(rest))
+        # Where one component has most of a bucket, the others are compared with it, and stay together as a bucket.
+        one_main = F.col("outside_size") * 2 <= F.col("size")
+        main = unfinished.where(one_main)
+        edges = edges.unionByName(settle(_link_groups(_across(main.join(sketches, "set_key"), BLOCK), threshold)))
+        rest = main.where("outside").select(F.xxhash64(F.lit("outside"), "bucket").alias("bucket"), "set_key")
+        entries = settle(rest.unionByName(_split(unfinished.where(~one_main).select("bucket", "set_key"), texts)))
 
 
 def _exact_groups(members: DataFrame, threshold_percent: int) -> DataFrame:
-    """Links within the groups of (place, side, set_key, tokens): a count for each set, and a forest of links."""
+    """Links within the groups of (place, side, whole, set_key, tokens): a count for each set, and a forest of links."""
 
     def overlaps(arrays: list[np.ndarray]) -> np.ndarray:
         n = len(arrays)
@@ -285,7 +323,7 @@ def _exact_groups(members: DataFrame, threshold_percent: int) -> DataFrame:
         return total.astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, links = [], [], []
+        a, b, links, whole = [], [], [], []
         for group in runs(batches, "place"):
             keys = group.column("set_key").to_pylist()
             arrays = [x.values.to_numpy() for x in group.column("tokens")]
@@ -294,22 +332,24 @@ def _exact_groups(members: DataFrame, threshold_percent: int) -> DataFrame:
             alike = 100 * shared >= threshold_percent * (sizes[:, None] + sizes[None, :] - shared)
             np.fill_diagonal(alike, False)
             side = group.column("side").to_numpy()
-            if side.min() != side.max():
+            if side[0] != WITHIN:
                 alike &= side[:, None] != side[None, :]
             root = _forest(alike)
             a += keys
             b += [keys[r] for r in root.tolist()]
             links += alike.sum(axis=1).tolist()
+            whole += group.column("whole").to_pylist()
             if len(a) > 5000:
-                yield batch_of(a, b, links)
-                a, b, links = [], [], []
-        yield batch_of(a, b, links)
+                yield batch_of(a, b, links, whole)
+                a, b, links, whole = [], [], [], []
+        yield batch_of(a, b, links, whole)
 
-    def batch_of(a: list[str], b: list[str], links: list[int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "links": pa.array(links, pa.int64())})
+    def batch_of(a: list[str], b: list[str], links: list[int], whole: list[bool]) -> pa.RecordBatch:
+        columns = [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(links, pa.int64()), pa.array(whole, pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "links", "whole"])
 
-    placed = members.repartition("place").sortWithinPartitions("place").select("place", "side", "set_key", "tokens")
-    return placed.mapInArrow(run, "a string, b string, links bigint")
+    placed = members.withColumn("whole", F.col("size") <= EXACT_BLOCK).repartition("place").sortWithinPartitions("place")
+    return placed.select("place", "side", "whole", "set_key", "tokens").mapInArrow(run, "a string, b string, links bigint, whole boolean")
 
 
 def _with_tokens(frame: DataFrame) -> DataFrame:
@@ -356,12 +396,14 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 80, doc_id: str =
         both = source.alias("s").join(wanted.alias("w"), F.expr("s._id <=> w._id and s._tk = w._tk"))
         return both.select("w.*", "s.text")
 
-    candidates = components(candidate_edges(sets, texts, threshold_percent / 100))
+    candidates = candidate_components(sets, texts, threshold_percent / 100)
     sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
     members = settle(candidates.join(sizes, "root").select(F.col("root").alias("bucket"), "size", F.col("node").alias("set_key")))
-    checked = settle(_exact_groups(_block_pairs(_with_tokens(texts(members))), threshold_percent))
+    checked = settle(_exact_groups(_block_pairs(_with_tokens(texts(members)), EXACT_BLOCK), threshold_percent))
     links = checked.groupBy(F.col("a").alias("set_key")).agg(F.sum("links").alias("n_links"))
-    roots = components(checked.select("a", "b"))
+    # A component of one block has its classes already; the links of several blocks are put together.
+    single = checked.where("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = single.unionByName(components(checked.where("not whole").select("a", "b")))
     of_set = (
         sets.select("set_key", "n_copies", F.col("_one.doc_id").alias("_least"))
         .join(links, "set_key", "left")

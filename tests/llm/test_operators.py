@@ -345,6 +345,7 @@ def test_large_buckets_are_split_and_compared_in_blocks(spark, monkeypatch):
     texts = near_texts()
     for levels in (0, 2):
         monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+        monkeypatch.setattr(jaccard_join, "EXACT_BLOCK", 3)
         monkeypatch.setattr(jaccard_join, "LEVELS", levels)
         got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in jaccard_join.near_duplicates(docs_of(spark, texts)).collect()}
         assert got == plain_classes(texts)
