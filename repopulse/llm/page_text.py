@@ -59,6 +59,10 @@ BOILERPLATE_NAMES = frozenset(
     "sidebar sidebars signup skip social sponsor sponsored subscribe subscription taboola teaser toolbar topbar widget widgets "
     "alert login".split()
 )
+#: Of these, words that may as well describe a layout around the article ("with-sidebar").
+LAYOUT_NAMES = frozenset(
+    "banner footer footers header masthead menu menus modal nav navbar navigation overlay sidebar sidebars toolbar topbar widget widgets".split()
+)
 CONTENT_NAMES = frozenset("article articlebody content entry maincontent main post postbody story storybody text".split())
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
@@ -82,7 +86,7 @@ class _Element:
 
 
 def _named(attrs: list[tuple[str, str | None]]) -> int:
-    """-1 if an element calls itself boilerplate, 1 if content, else 0."""
+    """-1 if an element calls itself boilerplate, -2 if by words of a layout only, 1 if content, else 0."""
     found = 0
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -92,12 +96,21 @@ def _named(attrs: list[tuple[str, str | None]]) -> int:
         if name in ("class", "id", "role", "itemprop") and value:
             words = {w.lower() for w in _NAME_PARTS.findall(value)} | {value.lower().replace("-", "").replace("_", "")}
             if words & CONTENT_NAMES and not words & {"comment", "comments", "related", "sidebar", "ad", "ads", "footer", "nav"}:
-                found = max(found, 1)
+                found = found or 1
             elif words & BOILERPLATE_NAMES:
-                return -1
+                if words & (BOILERPLATE_NAMES - LAYOUT_NAMES):
+                    return -1
+                found = -2
     return found
 
 
+def _summed(elements: list[_Element]) -> int:
+    """What a block's elements call themselves. Words of a layout count from the innermost article on."""
+    inner = max((k for k, e in enumerate(elements) if e.tag in ("article", "main")), default=-1)
+    names = [e.named for k, e in enumerate(elements) if e.tag not in ("html", "body") and not (e.named == -2 and k < inner)]
+    return -1 if min(names, default=0) < 0 else max(names, default=0)
+
+
 class _Parser(HTMLParser):
     """Collects text blocks."""
 
@@ -114,7 +127,7 @@ class _Parser(HTMLParser):
         if self._pieces:
             text = _SPACE.sub(" ", "".join(self._pieces)).strip()
             if text:
-                named = min((e.named for e in self.open), default=0) or max((e.named for e in self.open), default=0)
+                named = _summed(self.open)
                 path, tags = tuple(e.number for e in self.open), tuple(e.tag for e in self.open)
                 self.blocks.append(Block(text, path, tags, named, self._linked / len(text)))
             self._pieces, self._linked = [], 0
@@ -182,9 +195,12 @@ def leaning(block: Block) -> int:
     """The classifier: what a block's tags, names, links and length say, summed up."""
     score = 0
     inside_article = False
-    for tag in block.tags:
+    inner = max((k for k, tag in enumerate(block.tags) if tag in ("article", "main")), default=-1)
+    for k, tag in enumerate(block.tags):
         if tag == "header" and inside_article:
             continue  # an article's own head
+        if tag == "form" and k < inner:
+            continue  # a form around the whole page
         score += BOILERPLATE_TAGS.get(tag, 0)
         inside_article = inside_article or tag in ("article", "main")
     score += max((CONTENT_TAGS[t] for t in block.tags if t in CONTENT_TAGS), default=0)

@@ -169,6 +169,13 @@ def test_pages_keep_rows(spark):
     assert sorted(r.n_chars for r in rows) == [0] + [len(page_text.extract(PAGE))] * 2
 
 
+def test_layouts_around_the_article():
+    text = "The article itself has a paragraph with enough words in it to be taken for the main text of the page by anyone."
+    comment = "<section id='comments'><article class='comment'><p>A reader's remark of some length that is not part of the article at all.</p></article></section>"
+    page = f"<body class='no-sidebar'><form><div class='page with-sidebar header-fixed'><article><header><h1>Head</h1></header><p>{text}</p></article>{comment}<div class='sidebar'><p>{text}</p></div></div></form></body>"
+    assert page_text.extract(page) == f"Head\n{text}"
+
+
 def test_minimum_cut_is_minimal():
     random = np.random.default_rng(3)
     for _ in range(60):
