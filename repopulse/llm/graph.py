@@ -2,37 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repopulse.session import settle
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Tells apart two edge tables of which one was made from the other."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written out, and what tells them apart from others, seen while they were written."""
+    seen = Observation()
+    kept = settle(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")))
+    return kept, (seen.get["n"], seen.get["s"])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of an edge (a, b); root is the smallest node of its component.
+    """(node, root) for every node of an edge (a, b) but the roots; root is the smallest node of its component.
 
     Each round ties the larger neighbours of every node to the smallest one, then the smaller ones
     likewise, until nothing changes; the number of rounds grows with the logarithm of the longest
     chain. Rounds are written to the shared folder. Neighbours are reduced by a grouped minimum, so a
     node with very many of them is one row per task; the joins are plain equi-joins.
     """
-    found = settle(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
-    before = _mark(found)
+    found, before = _settled(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     while before[0]:
         both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"))
         larger = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
         low = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = larger.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        found = settle(smaller.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
-        now = _mark(found)
+        found, now = _settled(smaller.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
         if now == before:
             break
         before = now
-    roots = found.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return found.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    return found.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def with_roots(found: DataFrame) -> DataFrame:
+    """The same with every root as a node of its own."""
+    return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repopulse.llm.arrow_rows import pieces, runs
-from repopulse.llm.graph import components
+from repopulse.llm.graph import components, with_roots
 from repopulse.session import settle, small_side
 
 WORD = re.compile(r"\w+")
@@ -160,23 +160,23 @@ def _alike(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
     return out
 
 
-EDGES = "a string, b string"
+EDGES = "bucket bigint, a string, b string"
 
 
-def _edges(pairs: list[tuple[str, str]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {"a": pa.array([p[0] for p in pairs], pa.string()), "b": pa.array([p[1] for p in pairs], pa.string())}
-    )
+def _edges(found: list[tuple[int, str, str]]) -> pa.RecordBatch:
+    columns = list(zip(*found, strict=True)) or [(), (), ()]
+    kinds = (pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "a", "b"])
 
 
 def _link_groups(members: DataFrame, threshold: float) -> DataFrame:
-    """Forests of candidate pairs within the groups of (place, side, set_key, sketch).
+    """(bucket, a, b): forests of candidate pairs within the groups of (bucket, place, side, set_key, sketch).
 
     A group is one block, or two blocks with sides 0 and 1 of which only pairs across are compared.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[str, str]] = []
+        out: list[tuple[int, str, str]] = []
         for group in runs(batches, "place"):
             if group.num_rows < 2:
                 continue
@@ -190,13 +190,15 @@ def _link_groups(members: DataFrame, threshold: float) -> DataFrame:
                 across = np.ix_(side == 0, side == 1)
                 alike[across] = _alike(sketches[side == 0], sketches[side == 1], threshold)
                 alike |= alike.T
-            out += [(keys[i], keys[r]) for i, r in enumerate(_forest(alike).tolist()) if i != r]
+            bucket = group.column("bucket")[0].as_py()
+            out += [(bucket, keys[i], keys[r]) for i, r in enumerate(_forest(alike).tolist()) if i != r]
             if len(out) > 5000:
                 yield _edges(out)
                 out = []
         yield _edges(out)
 
-    return members.repartition("place").sortWithinPartitions("place").select("place", "side", "set_key", "sketch").mapInArrow(run, EDGES)
+    placed = members.repartition("place").sortWithinPartitions("place")
+    return placed.select("bucket", "place", "side", "set_key", "sketch").mapInArrow(run, EDGES)
 
 
 def _blocks(size: Column, most: int) -> Column:
@@ -276,7 +278,7 @@ def _split(unfinished: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def candidate_components(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
-    """(node, root) of the pairs that may be similar. ``texts`` adds a text to a frame of set keys."""
+    """(node, root), without the roots themselves, of the pairs that may be similar. ``texts`` adds a text to a frame of set keys."""
     sketches = sets.select("set_key", "sketch")
     entries = sets.select("set_key", F.explode("buckets").alias("bucket"))
     edges = None
@@ -285,21 +287,34 @@ def candidate_components(sets: DataFrame, texts: Callable[[DataFrame], DataFrame
         shared = settle(entries.join(sizes, "bucket").select("bucket", "size", "set_key"))
         # Members of a large bucket are dealt into blocks.
         dealt = shared.withColumns({"place": F.xxhash64("bucket", _block_of(F.col("size"), BLOCK)), "side": F.lit(WITHIN)})
-        found = _link_groups(dealt.join(sketches, "set_key"), threshold)
-        roots = components(found if edges is None else edges.unionByName(found))
+        found = settle(_link_groups(dealt.join(sketches, "set_key"), threshold))
+        new = found.select("a", "b")
+        roots = components(new if edges is None else edges.unionByName(new))
         edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        unfinished = settle(_unfinished(shared.where(F.col("size") > BLOCK), roots))
-        if unfinished.isEmpty():
+        large = shared.where(F.col("size") > BLOCK)
+        tied = found.groupBy("bucket").agg(F.count("*").alias("tied"))
+        kinds = settle(
+            large.groupBy("bucket").agg(F.min("size").alias("size")).join(tied, "bucket", "left")
+            .select("bucket", (F.coalesce("tied", F.lit(0)) * 2 >= F.col("size")).alias("tied"))
+        )
+        if kinds.isEmpty():
             return roots
-        if level == LEVELS:
-            rest = _link_groups(_block_pairs(unfinished.join(sketches, "set_key"), BLOCK), threshold)
-            return components(edges.unionByName(rest))
-        # Where one component has most of a bucket, the others are compared with it, and stay together as a bucket.
+        # Where hardly anything was joined, the bucket is split. Else one component may have most of it already.
+        open_members = large.join(kinds.where("not tied"), "bucket").select("bucket", "size", "set_key")
+        unfinished = settle(_unfinished(large.join(kinds.where("tied"), "bucket").drop("tied"), roots))
         one_main = F.col("outside_size") * 2 <= F.col("size")
+        open_members = settle(open_members.unionByName(unfinished.where(~one_main).select("bucket", "size", "set_key")))
         main = unfinished.where(one_main)
-        edges = edges.unionByName(settle(_link_groups(_across(main.join(sketches, "set_key"), BLOCK), threshold)))
+        if open_members.isEmpty() and main.isEmpty():
+            return roots
+        if level == LEVELS:
+            rest = open_members.unionByName(main.select("bucket", "size", "set_key")).join(sketches, "set_key")
+            return components(edges.unionByName(_link_groups(_block_pairs(rest, BLOCK), threshold).select("a", "b")))
+        # The others are compared with the main component, and stay together as a bucket.
+        across = settle(_link_groups(_across(main.join(sketches, "set_key"), BLOCK), threshold))
+        edges = edges.unionByName(across.select("a", "b"))
         rest = main.where("outside").select(F.xxhash64(F.lit("outside"), "bucket").alias("bucket"), "set_key")
-        entries = settle(rest.unionByName(_split(unfinished.where(~one_main).select("bucket", "set_key"), texts)))
+        entries = settle(rest.unionByName(_split(open_members.select("bucket", "set_key"), texts)))
 
 
 def _exact_groups(members: DataFrame, threshold_percent: int) -> DataFrame:
@@ -396,13 +411,13 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 80, doc_id: str =
         both = source.alias("s").join(wanted.alias("w"), F.expr("s._id <=> w._id and s._tk = w._tk"))
         return both.select("w.*", "s.text")
 
-    candidates = candidate_components(sets, texts, threshold_percent / 100)
+    candidates = with_roots(candidate_components(sets, texts, threshold_percent / 100))
     sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
     members = settle(candidates.join(sizes, "root").select(F.col("root").alias("bucket"), "size", F.col("node").alias("set_key")))
     checked = settle(_exact_groups(_block_pairs(_with_tokens(texts(members)), EXACT_BLOCK), threshold_percent))
     links = checked.groupBy(F.col("a").alias("set_key")).agg(F.sum("links").alias("n_links"))
     # A component of one block has its classes already; the links of several blocks are put together.
-    single = checked.where("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    single = checked.where("whole and a != b").select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = single.unionByName(components(checked.where("not whole").select("a", "b")))
     of_set = (
         sets.select("set_key", "n_copies", F.col("_one.doc_id").alias("_least"))
@@ -412,7 +427,8 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 80, doc_id: str =
     )
     of_set = settle(of_set)
     classes = of_set.groupBy("root").agg(F.min("_least").alias("class_id"))
-    of_set = of_set.join(classes, "root")
+    # Written out, so that the join below reads two plain tables and Spark can split a set with very many copies.
+    of_set = settle(of_set.join(classes, "root"))
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     return (
         worded.select("doc_id", "text_key", "set_key")
