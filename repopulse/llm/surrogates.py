@@ -123,26 +123,34 @@ def _pick(letters: str | tuple[str, ...], *what: Column) -> Column:
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _same_shape() -> Column:
-    """A digit for each digit and a letter for each letter of ``canon``; what tells the type stays.
+def _shape() -> dict[str, Column]:
+    """What of ``canon`` stays, and whether its letters are hexadecimal digits.
 
-    Kept: separators, the last label of a mail domain, a phone's country code, a card's first digit,
-    a bank account's country, the prefix of a known kind of secret.
+    Kept: the last label of a mail domain, a phone's country code, a card's first digit, a bank
+    account's country, the prefix of a known kind of secret.
     """
     canon, kind = F.col("canon"), F.col("kind")
     head = (
-        F.when(kind == "phone", F.col("_code"))
+        F.when(kind == "phone", F.col("code"))
         .when(kind == "card", 1)
         .when(kind == "iban", 2)
         .when(kind == "secret", F.length(F.regexp_extract(canon, r"\A(AKIA|gh[pousr]_|sk-|xox[abprs]-)?", 0)))
         .otherwise(0)
     )
-    tail = F.when(kind == "email", F.length(F.regexp_extract(canon, r"\.[^.]*\z", 0))).otherwise(0)
-    only_hex, upper_hex = canon.rlike(r"\A[0-9a-f]+\z") & (kind == "secret"), canon.rlike(r"\A[0-9A-F]+\z") & (kind == "secret")
+    return {
+        "_head": head,
+        "_tail": F.when(kind == "email", F.length(F.regexp_extract(canon, r"\.[^.]*\z", 0))).otherwise(0),
+        "_hex": (kind == "secret") & canon.rlike(r"\A[0-9a-f]+\z"),
+        "_upper_hex": (kind == "secret") & canon.rlike(r"\A[0-9A-F]+\z"),
+    }
+
+
+def _same_shape() -> Column:
+    """A digit for each digit and a letter for each letter of ``canon``, by the columns of ``_shape``; separators stay."""
 
     def one(c: Column, i: Column) -> Column:
         return (
-            F.when((i < F.col("_head")) | (i >= F.length(canon) - F.col("_tail")), c)
+            F.when((i < F.col("_head")) | (i >= F.length("canon") - F.col("_tail")), c)
             .when(F.col("_hex"), _pick("0123456789abcdef", i))
             .when(F.col("_upper_hex"), _pick("0123456789ABCDEF", i))
             .when(c.rlike("[0-9]"), _pick(_DIGITS, i))
@@ -151,9 +159,7 @@ def _same_shape() -> Column:
             .otherwise(c)
         )
 
-    return F.struct(
-        head.alias("_head"), tail.alias("_tail"), only_hex.alias("_hex"), upper_hex.alias("_upper_hex")
-    ), lambda: F.array_join(F.transform(F.split(canon, ""), one), "")
+    return F.array_join(F.transform(F.split("canon", ""), one), "")
 
 
 def _octets() -> Column:
@@ -170,14 +176,11 @@ def _luhn(digits: Column) -> Column:
     """Sum of a card number's digits, every second one from the right doubled."""
     last = F.length(digits) - 1
 
-    def add(total: Column, x: Column) -> Column:
-        return total + x
-
     def one(c: Column, i: Column) -> Column:
         d = c.cast("int") * F.when((last - i) % 2 == 1, 2).otherwise(1)
         return F.when(d > 9, d - 9).otherwise(d)
 
-    return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), add)
+    return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), lambda total, x: total + x)
 
 
 def _name() -> Column:
@@ -201,14 +204,8 @@ def _name() -> Column:
 
 def draw(units: DataFrame, key: str) -> DataFrame:
     """Add ``sur`` to (kind, canon, code, attempt): a surrogate from the keyed digest."""
-    shape, build = _same_shape()
-    drawn = (
-        units.withColumn("_digest", F.sha2(F.concat_ws("\n", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 256))
-        .withColumn("_code", F.col("code"))
-        .withColumn("_shape", shape)
-        .withColumns({c: F.col(f"_shape.{c}") for c in ("_head", "_tail", "_hex", "_upper_hex")})
-        .withColumn("_plain", build())
-    )
+    digest = F.sha2(F.concat_ws("\n", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 256)
+    drawn = units.withColumn("_digest", digest).withColumns(_shape()).withColumn("_plain", _same_shape())
     names = F.col("kind").isin("given_f", "given_m", "surname")
     # A valid card number gets a valid one: the last digit completes the sum.
     bare = F.expr("substring(_plain, 1, length(_plain) - 1)")
@@ -290,6 +287,8 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
         .groupBy("_key")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "part", "new", "kind"))).alias("_new"))
     )
+    # Written out, so that the join below reads two plain tables and Spark can split a text with very many copies.
+    new = settle(new)
     gaps = F.split("_marked", ENTITY, -1)
     joined = F.concat(
         F.array_join(
