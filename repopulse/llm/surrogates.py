@@ -60,8 +60,10 @@ ENDINGS = {
     "cyrillic": {"f": "лия", "m": "рин", "s": "сен"},
     "greek": {"f": "λια", "m": "ρος", "s": "δης"},
 }
-#: Draws per unit before the space of its format counts as full.
-MOST_ROUNDS = 40
+#: Draws per unit in its own format; from then on the format widens with each draw, so that some draw always is free.
+NARROW_ROUNDS = 6
+#: A secret with fewer letters and digits than this has its symbols drawn too.
+FEW_DRAWN = 6
 
 
 def _marked(text: Column) -> Column:
@@ -121,6 +123,13 @@ def _pick(letters: str | tuple[str, ...], *what: Column) -> Column:
 
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SYMBOLS = "!#$%&*+-?^_~"
+#: Letters beyond ASCII by script, in lower and upper case; those of other scripts become Latin.
+_LETTERS = {
+    r"\p{IsCyrillic}": ("абвгдежзиклмнопрстуфхцчшщэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ"),
+    r"\p{IsGreek}": ("αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
+    r"\p{L}": (_LOWER, _UPPER),
+}
 
 
 def _shape() -> dict[str, Column]:
@@ -142,11 +151,23 @@ def _shape() -> dict[str, Column]:
         "_tail": F.when(kind == "email", F.length(F.regexp_extract(canon, r"\.[^.]*\z", 0))).otherwise(0),
         "_hex": (kind == "secret") & canon.rlike(r"\A[0-9a-f]+\z"),
         "_upper_hex": (kind == "secret") & canon.rlike(r"\A[0-9A-F]+\z"),
+        "_symbols": (kind == "secret") & (F.length(F.regexp_replace(canon, r"[^\p{L}\p{N}]", "")) < FEW_DRAWN),
     }
 
 
 def _same_shape() -> Column:
-    """A digit for each digit and a letter for each letter of ``canon``, by the columns of ``_shape``; separators stay."""
+    """A digit for each digit and a letter for each letter of ``canon``, by the columns of ``_shape``; separators stay.
+
+    Letters are drawn in their script and case. Symbols are drawn where little else would be. After
+    ``NARROW_ROUNDS`` draws each further one adds a character.
+    """
+
+    def beyond_ascii(c: Column, i: Column) -> Column:
+        out = F.when(c.rlike(r"\p{N}"), _pick(_DIGITS, i))
+        for script, (lower, upper) in _LETTERS.items():
+            out = out.when(c.rlike(rf"(?=\p{{Lu}}){script}"), _pick(upper, i)).when(c.rlike(script), _pick(lower, i))
+        # Marks and symbols such as emoji tell as much as letters do.
+        return out.otherwise(_pick(_SYMBOLS, i))
 
     def one(c: Column, i: Column) -> Column:
         return (
@@ -156,20 +177,38 @@ def _same_shape() -> Column:
             .when(c.rlike("[0-9]"), _pick(_DIGITS, i))
             .when(c.rlike("[a-z]"), _pick(_LOWER, i))
             .when(c.rlike("[A-Z]"), _pick(_UPPER, i))
+            .when(c.rlike(r"[^\x00-\x7F]"), beyond_ascii(c, i))
+            .when(F.col("_symbols"), _pick(_SYMBOLS, i))
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.split("canon", ""), one), "")
+    same = F.array_join(F.transform(F.split("canon", ""), one), "")
+    more = _more(F.when(F.col("kind") == "email", "a").otherwise("0"))
+    return F.when(F.col("kind") == "email", F.concat(more, same)).otherwise(F.concat(same, more))
+
+
+def _more(first: Column) -> Column:
+    """Drawn characters, ten from ``first`` on: none in the first rounds, then one more for each."""
+    n = F.greatest(F.col("attempt") - (NARROW_ROUNDS - 1), F.lit(0))
+    return F.array_join(
+        F.transform(F.slice(F.sequence(F.lit(0), n), 2, n), lambda i: F.char(F.ascii(first) + F.pmod(_draw(F.lit("more"), i), F.lit(10)))), ""
+    )
 
 
 def _octets() -> Column:
-    """An address part with as many digits for each part."""
+    """An address part with as many digits for each part; then any address, at last one with a part more than any has."""
 
     def one(octet: Column, i: Column) -> Column:
         pick = lambda low, n: (F.pmod(_draw(i), F.lit(n)) + low).cast("string")
-        return F.when(F.length(octet) == 1, pick(1, 9)).when(F.length(octet) == 2, pick(10, 90)).otherwise(pick(100, 156))
+        return (
+            F.when(F.col("attempt") >= NARROW_ROUNDS, pick(0, 256))
+            .when(F.length(octet) == 1, pick(1, 9))
+            .when(F.length(octet) == 2, pick(10, 90))
+            .otherwise(pick(100, 156))
+        )
 
-    return F.array_join(F.transform(F.split("canon", r"\."), one), ".")
+    address = F.array_join(F.transform(F.split("canon", r"\."), one), ".")
+    return F.when(F.col("attempt") < 2 * NARROW_ROUNDS, address).otherwise(F.concat(address, F.lit("."), _more(F.lit("0"))))
 
 
 def _luhn(digits: Column) -> Column:
@@ -223,12 +262,13 @@ def draw(units: DataFrame, key: str) -> DataFrame:
 def assign(units: DataFrame, key: str) -> DataFrame:
     """(kind, canon, code, sur) with distinct surrogates none of which is a unit itself.
 
-    Each round settles its table. A unit whose surrogate is taken, or shared with a smaller unit, draws again.
+    Each round settles its table. A unit whose surrogate is taken, or shared with a smaller unit, draws again;
+    after ``NARROW_ROUNDS`` rounds from a space that grows tenfold each time, so the rounds end.
     """
     units = settle(units.withColumn("attempt", F.lit(0)))
     originals = units.select("kind", F.col("canon").alias("sur")).distinct()
     accepted, open_units = None, units
-    for _ in range(MOST_ROUNDS):
+    while True:
         drawn = settle(draw(open_units, key))
         first = drawn.groupBy("kind", "sur").agg(F.min("canon").alias("canon"))
         good = first.join(originals, ["kind", "sur"], "left_anti")
@@ -242,7 +282,6 @@ def assign(units: DataFrame, key: str) -> DataFrame:
         if again.isEmpty():
             return accepted.drop("attempt")
         open_units = again
-    raise ValueError("the space of some format is too full for distinct surrogates")
 
 
 def _spelled() -> Column:
@@ -252,12 +291,21 @@ def _spelled() -> Column:
     name = F.when((F.upper(surface) == surface) & (F.length(surface) > 1), F.upper(sur)).otherwise(F.initcap(sur))
     alnum = F.split(F.regexp_replace(sur, "[^0-9A-Za-z]", ""), "")
 
+    # Characters beyond the format's own stand before an address and after a number.
+    more = F.size(alnum) - F.length(F.regexp_replace(surface, "[^0-9A-Za-z]", ""))
+    ahead = F.when(F.col("kind") == "email", more).otherwise(0)
+    behind = F.when(F.col("kind") == "email", 0).otherwise(more)
+
     def one(c: Column, i: Column) -> Column:
         before = F.length(F.regexp_replace(F.substring(surface, F.lit(1), i), "[^0-9A-Za-z]", ""))
-        new = F.get(alnum, before)
+        new = F.get(alnum, before + ahead)
         return F.when(~c.rlike("[0-9A-Za-z]"), c).when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
 
-    overlaid = F.array_join(F.transform(F.split(surface, ""), one), "")
+    overlaid = F.concat(
+        F.array_join(F.slice(alnum, 1, ahead), ""),
+        F.array_join(F.transform(F.split(surface, ""), one), ""),
+        F.array_join(F.slice(alnum, F.size(alnum) - behind + 1, behind), ""),
+    )
     # Only these differ from their canonical form; the other kinds are replaced as they are.
     spelled = F.when(F.col("kind").isin("email", "phone", "card", "iban", "ssn"), overlaid).otherwise(sur)
     return F.when(names, name).otherwise(spelled)

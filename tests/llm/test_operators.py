@@ -236,6 +236,27 @@ def test_surrogates_stay_distinct_where_draws_collide(spark):
     assert len({r.text for r in names.values()}) == 676
 
 
+def test_secrets_of_symbols_and_other_scripts_are_replaced(spark):
+    secrets = ["********", "......", "пароль", "Γεια-σου", "密码密码密码", "ab*****", "😀😀😀😀😀😀", "-_-_-_-"]
+    got = replaced(spark, [f"password: {x} end" for x in secrets])
+    new = [re.fullmatch(r"password: (\S+) end", got[i].text)[1] for i in range(len(secrets))]
+    assert all(got[i].n_entities == 1 and got[i].entity_kinds == ["secret"] for i in got)
+    assert not set(new) & set(secrets) and len(set(new)) == len(secrets)
+    assert re.fullmatch("[а-я]{6}", new[2]) and re.fullmatch("[Α-Ω][α-ω]{3}-[α-ω]{3}", new[3]) and re.fullmatch("[a-z]{6}", new[4])
+
+
+def test_full_formats_are_widened(spark):
+    quads = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    phones = [f"+1 {a} {b}" for a in range(10, 100) for b in range(10, 100)] + [f"+1 0{a} {b:02}" for a in range(10) for b in range(100)]
+    phones += [f"+1 {a} 0{b}" for a in range(10, 100) for b in range(10)]
+    mails = [f"{a}@{b}.de" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    got = replaced(spark, [" ; ".join(x) for x in (quads, phones, mails)])
+    for i, (olds, form) in enumerate([(quads, r"(?:\d{1,3}\.){3}\d{1,3}"), (phones, r"\+1 \d\d \d{3,}"), (mails, r"[a-j]+[a-z]@[a-z]\.de")]):
+        new = got[i].text.split(" ; ")
+        assert len(set(new)) == len(new) == len(olds) and not set(new) & set(olds)
+        assert all(re.fullmatch(form, x) for x in new)
+
+
 def test_surrogates_depend_on_the_key_alone(spark):
     texts = ["mail me@example.org", "mail me@example.org"]
     one, same, other = replaced(spark, texts), replaced(spark, texts[:1]), replaced(spark, texts, "other")
