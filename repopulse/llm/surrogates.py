@@ -10,6 +10,9 @@ Units are made distinct before they are shuffled, by text and over the corpus, a
 equi-joins whose hot partitions Spark can split: an address that fills a third of the corpus is one
 unit. What is gathered for one text is bounded by that text.
 
+A name is found behind a title. Its words are then replaced wherever they stand capitalised in the
+same text, with the title or without; such mentions count as entities.
+
 Null texts stay null; texts without entities come back byte for byte. Copies of a text get equal
 results. Columns other than the text are kept; n_entities and entity_kinds are replaced.
 """
@@ -30,7 +33,23 @@ TITLES = {
 #: Not characters; they mark where a name of known gender begins while a text is cut.
 MARKS = {"f": "﷐", "m": "﷑"}
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"\p{Lu}[\p{L}\p{M}]*(?:['’-]\p{Lu}[\p{L}\p{M}]*)*"
+_ALL_TITLES = "|".join(" ".join(TITLES.values()).split())
+#: Degrees that may stand between a title and the name.
+_DEGREES = "Dr|Prof|Professor|Professorin|Professeur|Profesor|Profesora|Doktor|Doctor|Docteur|Doctora|Ing|Mag|Dipl|Доктор|доктор|Профессор|профессор"
+_STACKED = rf"(?:(?:(?:{_DEGREES})(?:\.[ -]?|[ -])(?:(?:\p{{Ll}}{{1,4}}\.)+ ?)*|(?:{_ALL_TITLES})\.? ))*"
+_PARTICLES = (
+    r"(?:(?:van(?: de[rnt]?| het)?|von(?: und zu| zu[rm]?| de[rnm])?|vom|de(?: la| las| los)?|del|della|di|da|do|dos|du|la|le|te[rn]|af|av"
+    r"|bin|ibn|al|el|фон|ван|де) |[dl]['’])*+"
+)
+#: A part of a name that is replaced by itself.
+NAME_WORD = r"\p{Lu}[\p{L}\p{M}]*+(?:['’]\p{Lu}[\p{L}\p{M}]*+)*+"
+_NO_TITLE = rf"(?!(?:{_ALL_TITLES}|{_DEGREES})(?![\p{{L}}\p{{M}}]))"
+#: Between two words of a name; a point stands behind initials only.
+_BETWEEN = r"(?:(?<=[^\p{L}\p{M}]\p{Lu})\. ?| |-)"
+#: Repeats are possessive: Java matches these in a loop, others by recursion, which a very long name would overflow.
+_NAME = rf"{_PARTICLES}{_NO_TITLE}{NAME_WORD}(?:{_BETWEEN}{_PARTICLES}{_NO_TITLE}{NAME_WORD})*+"
+#: A word of a text that may repeat one of its names.
+MENTION = rf"(?<![\p{{L}}\p{{M}}\p{{N}}]){NAME_WORD}(?![\p{{N}}_])"
 #: In order of precedence where two could start at the same place.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]*[A-Za-z0-9]@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+",
@@ -43,7 +62,7 @@ PATTERNS = {
     "card": r"(?<![\d-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
     "phone": r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?!\d)"
     r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
-    "person": rf"[{MARKS['f']}{MARKS['m']}]{_NAME}(?: {_NAME}){{0,2}}",
+    "person": rf"[{MARKS['f']}{MARKS['m']}]{_NAME}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these holds no entity; most texts are not searched further.
@@ -71,7 +90,8 @@ def _marked(text: Column) -> Column:
     marked = text
     for gender, mark in MARKS.items():
         titles = "|".join(TITLES[gender].split())
-        marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{titles})\.? (?=\p{{Lu}}\p{{L}})", f"$0{mark}")
+        begins = rf"(?={_PARTICLES}{_NO_TITLE}\p{{Lu}}(?:[\p{{L}}\p{{M}}]|['’-]\p{{Lu}}|\. ?\p{{Lu}}))"
+        marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{titles})\.? {_STACKED}{begins}", f"$0{mark}")
     return F.when(text.rlike(f"[{''.join(MARKS.values())}]"), text).otherwise(marked)
 
 
@@ -84,16 +104,21 @@ def _kind(entity: Column) -> Column:
 
 
 def _units(text: Column) -> Column:
-    """pos, part, kind, canon and surface of every unit of a text; a name gives one unit per word."""
+    """pos, part, kind, canon, surface and the text before it in its entity, of every unit of a text; a name gives one unit per word."""
 
     def of_entity(entity: Column, pos: Column) -> Column:
         def of_kind(kind: Column) -> Column:
-            words = F.when(kind == "person", F.split(F.translate(entity, "".join(MARKS.values()), ""), " ")).otherwise(F.array(entity))
+            # Bound once: a lambda would cut the entity anew for each of its words.
+            cut = F.struct(
+                F.when(kind == "person", F.regexp_extract_all(entity, F.lit(NAME_WORD), 0)).otherwise(F.array(entity)).alias("words"),
+                F.when(kind == "person", F.split(entity, NAME_WORD, -1)).otherwise(F.array(F.lit(""))).alias("between"),
+            )
             gender = F.when(F.startswith(entity, F.lit(MARKS["f"])), "f").otherwise("m")
 
-            def of_word(word: Column, part: Column) -> Column:
+            def of_word(cut: Column, word: Column, part: Column) -> Column:
+                n_words = F.size(cut["words"])
                 role = F.when(kind != "person", kind).otherwise(
-                    F.when((F.size(words) > 1) & (part < F.size(words) - 1), F.concat(F.lit("given_"), gender)).otherwise("surname")
+                    F.when((n_words > 1) & (part < n_words - 1), F.concat(F.lit("given_"), gender)).otherwise("surname")
                 )
                 canon = (
                     F.when(kind.isin("email", "person"), F.lower(word))
@@ -101,10 +126,15 @@ def _units(text: Column) -> Column:
                     .otherwise(word)
                 )
                 return F.struct(
-                    pos.alias("pos"), part.alias("part"), role.alias("kind"), canon.alias("canon"), word.alias("surface")
+                    pos.alias("pos"),
+                    part.alias("part"),
+                    role.alias("kind"),
+                    canon.alias("canon"),
+                    word.alias("surface"),
+                    F.get(cut["between"], part).alias("before"),
                 )
 
-            return F.transform(words, of_word)
+            return let(cut, lambda c: F.transform(c["words"], lambda word, part: of_word(c, word, part)))
 
         return let(_kind(entity), of_kind)
 
@@ -284,11 +314,47 @@ def assign(units: DataFrame, key: str) -> DataFrame:
         open_units = again
 
 
+def _name_spelled(surface: Column, sur: Column) -> Column:
+    """The surrogate of a word of a name in the case of ``surface``, or its initial."""
+    return (
+        F.when(F.length(surface) == 1, F.upper(F.substring(sur, 1, 1)))
+        .when(F.upper(surface) == surface, F.upper(sur))
+        .otherwise(F.initcap(sur))
+    )
+
+
+def _with_mentions(gap: Column, tables: Column) -> Column:
+    """The pieces (text, found) of a text between entities, with surrogates for words that ``tables`` hold."""
+    others = F.split(gap, MENTION, -1)
+
+    def replaced(word: Column) -> Column:
+        sur = let(F.lower(word), lambda w: F.get(tables, F.pmod(F.xxhash64(w), F.size(tables)).cast("int"))[w])
+        return let(sur, lambda x: F.when(x.isNotNull(), _name_spelled(word, x)))
+
+    def piece(other: Column, word: Column) -> Column:
+        return let(replaced(word), lambda new: F.struct(F.concat(other, F.coalesce(new, word, F.lit(""))).alias("text"), new.isNotNull().alias("found")))
+
+    # There is one word fewer than there are texts between words.
+    return F.zip_with(others, F.regexp_extract_all(gap, F.lit(MENTION), 0), piece)
+
+
+def _name_tables(names: Column) -> Column:
+    """A text's (canon, kind, sur) as maps from canon to sur, about as many as each has entries: Spark searches a map from its start."""
+    unique = lambda x: F.filter(x, lambda e, j: F.coalesce(F.get(x, j + 1)["canon"] != e["canon"], F.lit(True)))
+    n = lambda x: F.ceil(F.sqrt(F.size(x))).cast("int")
+
+    def table(entries: Column, k: Column) -> Column:
+        fitting = F.filter(entries, lambda e: F.pmod(F.xxhash64(e["canon"]), n(entries)) == k)
+        return F.map_from_entries(F.transform(fitting, lambda e: F.struct(e["canon"], e["sur"])))
+
+    return let(let(F.sort_array(names), unique), lambda x: F.transform(F.sequence(F.lit(0), n(x) - 1), lambda k: table(x, k)))
+
+
 def _spelled() -> Column:
     """The surrogate in the spelling of ``surface``: its separators and its case."""
     surface, sur = F.col("surface"), F.col("sur")
     names = F.col("kind").isin("given_f", "given_m", "surname")
-    name = F.when((F.upper(surface) == surface) & (F.length(surface) > 1), F.upper(sur)).otherwise(F.initcap(sur))
+    name = _name_spelled(surface, sur)
     alnum = F.split(F.regexp_replace(sur, "[^0-9A-Za-z]", ""), "")
 
     # Characters beyond the format's own stand before an address and after a number.
@@ -329,18 +395,26 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     # Spellings of one number may show its country code or not; the most that any shows is kept.
     distinct = units.groupBy("kind", "canon").agg(F.max("code").alias("code"))
     surrogates = assign(distinct, key).drop("code")
+    is_name = F.col("kind").isin("given_f", "given_m", "surname")
     new = (
         units.join(surrogates, ["kind", "canon"])
-        .withColumn("new", _spelled())
+        .withColumn("new", F.concat("before", _spelled()))
         .groupBy("_key")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "part", "new", "kind"))).alias("_new"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("pos", "part", "new", "kind"))).alias("_new"),
+            # An initial alone is no mention.
+            F.collect_set(F.when(is_name & (F.length("canon") > 1), F.struct("canon", "kind", "sur"))).alias("_names"),
+        )
     )
     # Written out, so that the join below reads two plain tables and Spark can split a text with very many copies.
     new = settle(new)
     gaps = F.split("_marked", ENTITY, -1)
+    named = F.size("_names") > 0
+    pieces = F.when(named, let(_name_tables(F.col("_names")), lambda tables: F.transform(gaps, lambda gap: _with_mentions(gap, tables))))
+    mentions = F.aggregate("_pieces", F.lit(0), lambda total, x: total + F.size(F.filter(x, lambda piece: piece["found"])))
     joined = F.concat(
         F.array_join(
-            F.transform(F.col("_new"), lambda u: F.concat(F.when(u["part"] == 0, F.get(F.col("_gaps"), u["pos"])).otherwise(" "), u["new"])), ""
+            F.transform(F.col("_new"), lambda u: F.concat(F.when(u["part"] == 0, F.get(F.col("_gaps"), u["pos"])).otherwise(""), u["new"])), ""
         ),
         F.get(F.col("_gaps"), F.size("_gaps") - 1),
     )
@@ -348,13 +422,20 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     found = F.col("_new").isNotNull()
     return (
         keyed.join(new, "_key", "left")
-        .withColumn("_gaps", F.when(found, gaps))
+        .withColumn("_pieces", pieces)
+        .withColumn(
+            "_gaps",
+            F.when(F.col("_pieces").isNotNull(), F.transform("_pieces", lambda x: F.array_join(F.transform(x, lambda piece: piece["text"]), "")))
+            .when(found, gaps),
+        )
         .withColumns(
             {
                 text: F.when(found, unmarked).otherwise(F.col(text)),
-                "n_entities": F.coalesce(F.size(F.filter("_new", lambda u: u["part"] == 0)), F.lit(0)).cast("bigint"),
+                "n_entities": (
+                    F.coalesce(F.size(F.filter("_new", lambda u: u["part"] == 0)), F.lit(0)) + F.coalesce(mentions, F.lit(0))
+                ).cast("bigint"),
                 "entity_kinds": F.coalesce(F.array_sort(F.array_distinct(F.transform("_new", lambda u: u["kind"]))), F.array().cast("array<string>")),
             }
         )
-        .drop("_marked", "_key", "_new", "_gaps")
+        .drop("_marked", "_key", "_new", "_names", "_pieces", "_gaps")
     )

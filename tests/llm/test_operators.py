@@ -245,6 +245,32 @@ def test_secrets_of_symbols_and_other_scripts_are_replaced(spark):
     assert re.fullmatch("[а-я]{6}", new[2]) and re.fullmatch("[Α-Ω][α-ω]{3}-[α-ω]{3}", new[3]) and re.fullmatch("[a-z]{6}", new[4])
 
 
+def test_names_are_replaced_whole_and_wherever_they_stand(spark):
+    texts = [
+        "Señor Juan Carlos García López vino. García no.",
+        "Frau Dr. Müller und Herr Prof. Dr. med. Karl-Heinz Bauer; MÜLLER sagte, Heinz kam.",
+        "Smith came. Mr Jan van Berg met Mr. John Smith. Then Smith's dog, Smith-Berg and John left. A smith is no Smithy.",
+        "Monsieur de Gaulle, Mrs O'Brien, Mr. J. R. Tolkien. Mr J came; O'Brien and Tolkien too. J is a letter.",
+        "Mr " + " ".join(["Aa Bb Cc"] * 1_000) + " end",
+        "Smith is named by another text only.",
+    ]
+    got = replaced(spark, texts)
+    new = [got[i].text for i in range(len(texts))]
+    found = re.fullmatch(r"Señor (\w+) (\w+) (\w+) (\w+) vino\. (\w+) no\.", new[0]).groups()
+    assert not set(found) & set(texts[0].replace(".", "").split()) and found[2] == found[4] and got[0].n_entities == 2
+    found = re.fullmatch(r"Frau Dr\. (\w+) und Herr Prof\. Dr\. med\. (\w+)-(\w+) (\w+); ([A-Z]+) sagte, (\w+) kam\.", new[1]).groups()
+    assert found[0].upper() == found[4] and found[2] == found[5] and not re.search("Müller|MÜLLER|Karl|Heinz|Bauer", new[1])
+    form = r"(\w+) came\. Mr (\w+) van (\w+) met Mr\. (\w+) (\w+)\. Then (\w+)'s dog, (\w+)-(\w+) and (\w+) left\. A smith is no Smithy\."
+    smith, jan, berg, john, *rest = re.fullmatch(form, new[2]).groups()
+    assert rest == [smith, smith, smith, berg, john] and not {smith, jan, berg, john} & {"Smith", "Jan", "Berg", "John"}
+    assert got[2].n_entities == 7
+    form = r"Monsieur de (\w+), Mrs (\w+), Mr\. ([A-Z])\. ([A-Z])\. (\w+)\. Mr J came; (\w+) and (\w+) too\. J is a letter\."
+    found = re.fullmatch(form, new[3]).groups()
+    assert found[0] != "Gaulle" and (found[1], found[4]) == found[5:] and not re.search("Brien|Tolkien", new[3])
+    assert not re.search("Aa|Bb|Cc", new[4]) and len(new[4].split()) == 3_002
+    assert new[5] == texts[5]
+
+
 def test_full_formats_are_widened(spark):
     quads = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
     phones = [f"+1 {a} {b}" for a in range(10, 100) for b in range(10, 100)] + [f"+1 0{a} {b:02}" for a in range(10) for b in range(100)]
