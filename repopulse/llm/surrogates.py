@@ -65,8 +65,11 @@ PATTERNS = {
     "person": rf"[{MARKS['f']}{MARKS['m']}]{_NAME}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these holds no entity; most texts are not searched further.
-HINT = rf"[0-9@{MARKS['f']}{MARKS['m']}]|(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:]"
+#: A text without any of these holds no entity; most texts are not searched further. Secrets of letters alone hold no digit.
+HINT = (
+    rf"[0-9@{MARKS['f']}{MARKS['m']}]|(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:]"
+    r"|AKIA[A-Z]{16}|gh[pousr]_[A-Za-z]{20}|sk-[A-Za-z]{20}|xox[abprs]-[A-Za-z-]{10}|[a-f]{32}|[A-F]{32}"
+)
 
 #: Syllables of made-up names by script, and the endings that tell a gender.
 SYLLABLES = {

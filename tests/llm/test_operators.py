@@ -271,6 +271,13 @@ def test_names_are_replaced_whole_and_wherever_they_stand(spark):
     assert new[5] == texts[5]
 
 
+def test_every_pattern_passes_the_hint(spark):
+    entities = ["AKIA" + "Q" * 16, "ghp_" + "a" * 20, "sk-" + "Ab" * 10, "xoxb-" + "c-" * 5, "abcdef" * 6, "ABCDEF" * 6, "password=qwerty"]
+    entities += ["a@b.de", "DE44 5001 0517 5407 3249 31", "10.2.3.4", "123-45-6789", "4532 0151 1283 0366", "+49 30 123456", "Mr Smith"]
+    got = replaced(spark, entities)
+    assert all(got[i].n_entities == 1 and got[i].text != e for i, e in enumerate(entities))
+
+
 def test_full_formats_are_widened(spark):
     quads = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
     phones = [f"+1 {a} {b}" for a in range(10, 100) for b in range(10, 100)] + [f"+1 0{a} {b:02}" for a in range(10) for b in range(100)]
