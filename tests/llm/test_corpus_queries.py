@@ -8,7 +8,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
-from test_operators import TOKENIZER, plain_classes, plain_digests, plain_repeats
+from .test_operators import TOKENIZER, plain_classes, plain_digests, plain_repeats
 from tokenizers import Tokenizer
 
 import corpus_pipeline
