@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,7 +53,23 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
-    """A settled frame of narrow rows, marked for broadcast if its counted rows are at most ``most_rows``."""
-    kept = settle(df)
-    return F.broadcast(kept) if kept.count() <= most_rows else kept
+def _row_bytes(field: T.StructField) -> Column:
+    """About the bytes of a value in memory: eight for a number, lengths for texts and lists."""
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(8 * F.size(column), F.lit(0)) + 32
+    return F.lit(8)
+
+
+def small_side(df: DataFrame, most_rows: int = 100_000, most_bytes: int = 32 << 20) -> DataFrame:
+    """A settled frame, marked for broadcast if its counted rows and their measured bytes are within both bounds.
+
+    Beyond them it is a plain frame, and Spark joins it by a shuffle. Lists count eight bytes an entry.
+    """
+    seen = Observation()
+    size = sum((_row_bytes(f) for f in df.schema), F.lit(0).cast("bigint"))
+    kept = settle(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")))
+    small = seen.get["rows"] <= most_rows and (seen.get["bytes"] or 0) <= most_bytes
+    return F.broadcast(kept) if small else kept
