@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import bpe_lexicon, chat_format, decontaminate, jaccard_join, page_text, quality_rules, suffix_dedup, surrogates, url_rules, weak_labels
+from repopulse.llm import bpe_lexicon, centroids, chat_format, decontaminate, filter_audit, jaccard_join, page_text, quality_rules, source_mix
+from repopulse.llm import suffix_dedup, surrogates, url_rules, weak_labels
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -193,3 +194,149 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query(
+    "op11_filter_audit",
+    r"""
+    with docs as (
+        select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+        from documents
+    ),
+    marks as (
+        select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic
+        from labels where doc_id is not null group by doc_id
+    ),
+    flagged as (
+        select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+               (len(words) < 200)::int as a,
+               (100 * len(list_distinct(words)) < 50 * len(words))::int as b,
+               (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text))::int as c,
+               regexp_matches(text, '[#$%&*|]')::int as d,
+               coalesce(doc_id > min(doc_id) over (partition by text), false)::int as e
+        from docs left join marks using (doc_id)
+    ),
+    masks as (
+        select part, a + 2 * b + 4 * c + 8 * d + 16 * e as mask, count(*) as n, sum(good) as n_good, sum(toxic) as n_toxic
+        from flagged group by all
+    ),
+    letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x, unnest([1, 2, 4, 8, 16]) as bit),
+    orders as (
+        select f.x || g.x || h.x || i.x || j.x as filter_order
+        from letters f, letters g, letters h, letters i, letters j
+        where f.bit + g.bit + h.bit + i.bit + j.bit = 31
+          and f.bit | g.bit | h.bit | i.bit | j.bit = 31
+    ),
+    steps as (
+        select filter_order, step::int as step, substr(filter_order, step, 1) as letter,
+               (select bit from letters where x = substr(filter_order, step, 1)) as bit,
+               (select coalesce(sum(bit), 0) from letters where contains(substr(filter_order, 1, step - 1), x))::int as before
+        from orders, unnest([1, 2, 3, 4, 5]) as s(step)
+    ),
+    counted as (
+        select part, filter_order, step, letter,
+               coalesce(sum(n) filter (where mask & (before | bit) = 0), 0)::bigint as kept,
+               coalesce(sum(n) filter (where mask & bit > 0 and mask & before = 0), 0)::bigint as removed,
+               coalesce(sum(n) filter (where mask & bit > 0 and mask & before > 0), 0)::bigint as redundant,
+               coalesce(sum(n) filter (where mask = bit), 0)::bigint as unique_fails,
+               coalesce(sum(n_good) filter (where mask & bit > 0 and mask & before = 0), 0)::bigint as good_lost,
+               coalesce(sum(n_toxic) filter (where mask & bit > 0 and mask & before = 0), 0)::bigint as toxic_lost
+        from masks, steps group by part, filter_order, step, letter
+    )
+    select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           sum(removed) over (partition by part, letter)::bigint as shapley
+    from counted
+    """,
+)
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _assign(vectors: str, centroids: str) -> str:
+    """SQL for the nearest of ``centroids`` (c, i, y) of each of ``vectors`` (n, i, x)."""
+    return f"""
+        select n, arg_min(c, (d, c)) as c, min(d) as d from (
+            select n, c, sum((x - y) * (x - y))::bigint as d from {vectors} join {centroids} using (i) group by n, c
+        ) group by n
+    """
+
+
+def _round(k: int) -> str:
+    return f"""
+    near{k} as ({_assign("parts", f"centroids{k}")}),
+    centroids{k + 1} as (
+        select c, i, coalesce(m, y) as y from centroids{k}
+        left join (select c, i, floor(sum(x)::double / count(*))::bigint as m from near{k} join parts using (n) group by c, i) using (c, i)
+    )"""
+
+
+@query(
+    "op12_centroids",
+    rf"""
+    with kept as (
+        select row_number() over () as n, vec_id, list_transform(embedding, lambda e: floor(64 * e::double)::bigint) as v
+        from embeddings
+        where len(embedding) = 64 and len(list_filter(embedding, lambda e: isfinite(e))) = 64
+    ),
+    parts as (select n, unnest(v) as x, generate_subscripts(v, 1) as i from kept),
+    firsts as (
+        select v, row_number() over (order by sha256('1:' || vec_id) nulls last, v) - 1 as c
+        from kept qualify c < 16
+    ),
+    centroids0 as (select c, unnest(v) as y, generate_subscripts(v, 1) as i from firsts),
+    {_round(0)}, {_round(1)}, {_round(2)},
+    final as ({_assign("parts", "centroids3")}),
+    digests as (select c, sha256(string_agg(y::varchar, ',' order by i)) as centroid_sha256 from centroids3 group by c)
+    select vec_id, c::int as cluster, d as distance, sum(d) over (partition by c)::bigint as cluster_inertia,
+           sum(d) over ()::bigint as inertia, centroid_sha256
+    from final join kept using (n) join digests using (c)
+    """,
+)
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.report(centroids.cluster(table(spark, folder, "embeddings")))
+
+
+@query(
+    "op13_source_mix",
+    r"""
+    with sized as (
+        select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::bigint as size,
+               sha256(coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')) as h, row_number() over () as n
+        from documents
+    ),
+    sources as (
+        select source, sum(size)::hugeint as s, 3 * sum(size)::hugeint as stop,
+               [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::hugeint as w
+        from sized group by source
+    ),
+    -- A source stops if, shared among it and those with more room for their weight, its part is above its stop.
+    stops as (
+        select *, stop * sum(w) over later < (sum(s) over () - coalesce(sum(stop) over earlier, 0)) * w as over
+        from sources
+        window later as (order by stop::double / w, source rows between current row and unbounded following),
+               earlier as (order by stop::double / w, source rows between unbounded preceding and 1 preceding)
+    ),
+    level as (
+        select (sum(s) - coalesce(sum(stop) filter (where over), 0))::hugeint as rest,
+               coalesce(sum(w) filter (where not over), 1)::hugeint as free from stops
+    ),
+    placed as (
+        select *, coalesce(sum(if(over, stop, 0)) over line, 0) + coalesce(sum(if(over, 0, w)) over line, 0) * rest // free as upper,
+               if(over, stop::double, (rest * w)::bigint::double / free::bigint::double) as target
+        from stops, level window line as (order by source nulls last)
+    ),
+    takes as (select *, (upper - coalesce(lag(upper) over (order by source nulls last), 0))::bigint as words from placed),
+    starts as (
+        select doc_id, sized.size, s::bigint as source_size, target, words,
+               (sum(size) over (partition by sized.source order by h, size, n) - size)::bigint as start
+        from sized join takes on sized.source is not distinct from takes.source
+    )
+    select doc_id, size, source_size, target,
+           case when size = 0 then 0
+                else (words // source_size) * size + least(greatest(words % source_size - start, 0), size) end::bigint as taken
+    from starts
+    """,
+)
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.taken(source_mix.mix(table(spark, folder, "documents")))
