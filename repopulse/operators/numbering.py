@@ -18,8 +18,8 @@ def _laid_out(df: DataFrame, order: tuple[Column | str, ...]) -> DataFrame:
     return settle(ranged.select("*", F.spark_partition_id().alias(PART), place.alias(PLACE)))
 
 
-def _with_offsets(rows: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """Add the sums over all earlier partitions: a table of one row for each partition, which bounds its size."""
+def with_offsets(rows: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Add the sums over all earlier partitions (column ``_part``): a table of one row for each, which bounds its size."""
     before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(PART).agg(*(total.alias(name) for name, total in sums.items()))
     offsets = totals.select(PART, *(F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums))
@@ -31,7 +31,7 @@ def numbered(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
 
     Rows that tie in the order get numbers in no stated order.
     """
-    rows = _with_offsets(_laid_out(df, order), {"_offset": F.count(F.lit(1))})
+    rows = with_offsets(_laid_out(df, order), {"_offset": F.count(F.lit(1))})
     return rows.withColumn(name, F.col("_offset") + F.col(PLACE)).drop(PART, PLACE, "_offset")
 
 
@@ -40,6 +40,6 @@ def running_totals(df: DataFrame, totals: dict[str, Column], *order: Column | st
     earlier = Window.partitionBy(PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)
     values = {f"_value_{name}": value for name, value in totals.items()}
     rows = _laid_out(df.withColumns(values), order)
-    rows = _with_offsets(rows, {f"_offset_{name}": F.sum(f"_value_{name}") for name in totals})
+    rows = with_offsets(rows, {f"_offset_{name}": F.sum(f"_value_{name}") for name in totals})
     found = {name: F.coalesce(F.sum(f"_value_{name}").over(earlier), F.lit(0)) + F.col(f"_offset_{name}") for name in totals}
     return rows.withColumns(found).drop(PART, PLACE, *values, *(f"_offset_{name}" for name in totals))
