@@ -19,133 +19,172 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from repopulse.operators.numbering import numbered
+from repopulse.operators.numbering import PART, with_offsets
 from repopulse.session import settle
 
 FILTERS = "ABCDE"
 #: A shard is closed once it holds so many bytes of text; one longer text is a shard of its own.
-SHARD_BYTES = 16 << 20
-#: Identity of a shard: partition and number within it. Shards are written before they are read again.
-SHARD_KEY = "shard"
-
-
-def _numbers() -> defaultdict:
-    """A number for each new key, from 0."""
-    ids: defaultdict = defaultdict()
-    ids.default_factory = ids.__len__
-    return ids
-
-
-def _shards(kept: list[str], shard_bytes: int):
-    """A function over Arrow batches (text, kept columns) that yields one row for each shard."""
-    arrow = pa.schema(
-        [
-            (SHARD_KEY, pa.int64()),
-            ("words", pa.list_(pa.binary())),
-            ("indptr", pa.binary()),
-            ("indices", pa.binary()),
-            ("data", pa.binary()),
-        ]
-    )
+SHARD_BYTES = 64 << 20
+#: Rows of a shard are cut into blocks of about so many entries; a longer row is a block of its own.
+BLOCK_ENTRIES = 1 << 20
+#: Words of several shards are numbered in runs of so many.
+RUN = 1 << 18
+
+#: A block of rows. ``words`` is the shard's vocabulary, on the shard's last block only.
+BLOCK = pa.schema(
+    [("shard", pa.int64()), ("words", pa.list_(pa.binary())), ("indptr", pa.binary()), ("indices", pa.binary()), ("data", pa.binary())]
+)
+#: Numbers of one shard's words in one run (shard, places, ids), or the words that the run saw first (shard null), from number first_id on.
+NUMBERED = pa.schema(
+    [("shard", pa.int64()), ("places", pa.binary()), ("ids", pa.binary()), ("words", pa.list_(pa.binary())), ("first_id", pa.int64()), ("n_new", pa.int64()), (PART, pa.int32())]
+)
+
+
+class _Block:
+    """Rows of the matrix under way, in the shard's own word numbers."""
+
+    def __init__(self) -> None:
+        self.starts, self.indices, self.data, self.rows = [0], [], [], []
+
+    def add(self, codes: np.ndarray) -> None:
+        found, counts = np.unique(codes, return_counts=True)
+        self.indices.append(found.astype("<u4"))
+        self.data.append(counts.astype("<u4"))
+        self.starts.append(self.starts[-1] + len(found))
+
+    def batch(self, shard: int, words: list[bytes] | None, kept: list[str]) -> pa.RecordBatch:
+        arrays = (np.asarray(self.starts, "<i8"), np.concatenate(self.indices), np.concatenate(self.data))
+        fixed = pa.RecordBatch.from_arrays([pa.array([v], f.type) for f, v in zip(BLOCK, (shard, words, *(x.tobytes() for x in arrays)), strict=True)], schema=BLOCK)
+        held = pa.Table.from_batches(self.rows).combine_chunks()
+        lists = [pa.ListArray.from_arrays(pa.array([0, held.num_rows], pa.int32()), held.column(name).combine_chunks()) for name in kept]
+        return pa.RecordBatch.from_arrays([*fixed.columns, *lists], names=[*BLOCK.names, *kept])
+
+
+def _copied(batch: pa.RecordBatch, kept: list[str], begin: int, end: int) -> pa.RecordBatch:
+    """Some rows of the kept columns, copied so that the batch with its texts can go."""
+    places = pa.array(np.arange(begin, end))
+    return pa.RecordBatch.from_arrays([batch.column(name).take(places) for name in kept], names=kept)
+
 
-    def close(number: int, ids: dict, starts: list[int], indices: list, data: list, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        key = (TaskContext.get().partitionId() << 32) | number
-        csr = [np.asarray(starts, "<i8"), np.concatenate(indices), np.concatenate(data)]
-        fixed = pa.RecordBatch.from_pylist([dict(zip(arrow.names, (key, list(ids), *(x.tobytes() for x in csr)), strict=True))], schema=arrow)
-        held = pa.Table.from_batches(rows).combine_chunks()
-        lists = [
-            pa.LargeListArray.from_arrays(pa.array([0, held.num_rows], pa.int64()), held.column(name).combine_chunks()) for name in kept
-        ]
-        lists = [x.cast(pa.list_(x.type.value_type)) for x in lists]
-        return pa.RecordBatch.from_arrays([*fixed.columns, *lists], names=[*arrow.names, *kept])
+def _shards(kept: list[str], shard_bytes: int, block_entries: int):
+    """A function over Arrow batches (text, kept columns) that yields the blocks of the task's shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size = 0, 0
-        ids, starts, indices, data, rows = _numbers(), [0], [], [], []
+        number, size, block = TaskContext.get().partitionId() << 32, 0, _Block()
+        ids: defaultdict = defaultdict()
+        ids.default_factory = ids.__len__
         for batch in batches:
-            texts = batch.column(0).cast(pa.large_binary())
             begun = 0
-            for place, text in enumerate(texts):
-                words = text.as_py().split() if text.is_valid else []
-                codes = np.fromiter(map(ids.__getitem__, words), np.uint32, len(words))
-                found, counts = np.unique(codes, return_counts=True)
-                indices.append(found.astype("<u4"))
-                data.append(counts.astype("<u4"))
-                starts.append(starts[-1] + len(found))
-                size += len(text.as_py()) if text.is_valid else 0
-                if size >= shard_bytes:
-                    rows.append(batch.slice(begun, place + 1 - begun).select(kept))
-                    yield close(number, ids, starts, indices, data, rows)
-                    number, size, begun = number + 1, 0, place + 1
-                    ids, starts, indices, data, rows = _numbers(), [0], [], [], []
+            for place, text in enumerate(batch.column(0)):
+                words = text.as_buffer().to_pybytes().split() if text.is_valid else []
+                block.add(np.fromiter(map(ids.__getitem__, words), np.uint32, len(words)))
+                size += text.as_buffer().size if text.is_valid else 0
+                full = size >= shard_bytes
+                if full or block.starts[-1] >= block_entries:
+                    block.rows.append(_copied(batch, kept, begun, place + 1))
+                    yield block.batch(number, list(ids) if full else None, kept)
+                    block, begun = _Block(), place + 1
+                    if full:
+                        number, size = number + 1, 0
+                        ids.clear()
             if begun < batch.num_rows:
-                rows.append(batch.slice(begun).select(kept))
-        if rows:
-            yield close(number, ids, starts, indices, data, rows)
+                block.rows.append(_copied(batch, kept, begun, batch.num_rows))
+        if block.rows or ids:
+            if not block.rows:
+                block.add(np.zeros(0, np.uint32))
+            yield block.batch(number, list(ids), kept)
 
     return run
 
 
-def document_terms(docs: DataFrame, text: str, kept: list[str], shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the sorted words of a partition from 0, in runs; the same word of another shard has the same number."""
+    part, last, next_id = TaskContext.get().partitionId(), None, 0
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    fresh: list[bytes] = []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        shards, places, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(shards, kind="stable")
+        found, cuts = np.unique(shards[order], return_index=True)
+        spans = zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True)
+        rows = [(places[order[a:b]].astype("<u4").tobytes(), ids[order[a:b]].astype("<u8").tobytes()) for a, b in spans]
+        columns = [[*found.tolist(), None], [*(r[0] for r in rows), None], [*(r[1] for r in rows), None]]
+        columns += [[None] * len(rows) + [fresh], [next_id - len(fresh)] * (len(rows) + 1), [0] * len(rows) + [len(fresh)], [part] * (len(rows) + 1)]
+        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for f, v in zip(NUMBERED, columns, strict=True)], schema=NUMBERED)
+
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        coded = batch.column("word").dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        again = int(words[0] == last)
+        held.append((batch.column("shard").to_numpy(), batch.column("place").to_numpy(), codes + (next_id - again)))
+        fresh += words[again:]
+        next_id, last, n = next_id + len(words) - again, words[-1], n + batch.num_rows
+        if n >= RUN:
+            yield from close()
+            held, fresh, n = [], [], 0
+    if held:
+        yield from close()
+
+
+def document_terms(
+    docs: DataFrame, text: str, kept: list[str], shard_bytes: int = SHARD_BYTES, block_entries: int = BLOCK_ENTRIES
+) -> tuple[DataFrame, DataFrame]:
     """(dictionary, shards) of the sparse document-term matrix of whole texts; null texts are empty rows.
 
-    dictionary: word (UTF-8), word_id, dense and in byte order of the words. shards: shard, indptr
-    (64-bit), indices (64-bit word ids, in no order within a row), data (32-bit counts), all
-    little-endian, and the ``kept`` columns as lists with one entry for each row. Words are runs of
-    characters other than blanks (space, tab to carriage return), case-sensitive.
+    dictionary: word (UTF-8), word_id, dense from 0 in no stated order. shards: blocks of rows with
+    shard, indptr (64-bit), indices (64-bit word ids, in no order within a row), data (32-bit counts),
+    all little-endian, and as lists with one entry for each row: the ``kept`` columns, n_words (row sum)
+    and n_distinct (number of entries). Words are runs of characters other than blanks (space, tab to
+    carriage return), case-sensitive.
 
-    A shard's words are joined to the dictionary once for each shard that holds them, not once for
-    each document; a word in every document is one row for each shard. A shard holds at most
-    ``shard_bytes`` of text and one more document.
+    A shard sends each of its words to be numbered once, however many of its documents hold it, and
+    gets their numbers back; a word of every document is one row for each shard. Words are sorted by
+    Spark, and numbered as they stream past, so no task holds a vocabulary beyond one shard's.
     """
     chosen = docs.select(F.col(text).cast("binary").alias("_text"), *kept)
-    schema = T.StructType(
-        [
-            T.StructField(SHARD_KEY, T.LongType()),
-            T.StructField("words", T.ArrayType(T.BinaryType())),
-            *(T.StructField(name, T.BinaryType()) for name in ("indptr", "indices", "data")),
-            *(T.StructField(name, T.ArrayType(docs.schema[name].dataType)) for name in kept),
-        ]
-    )
-    local = settle(chosen.mapInArrow(_shards(kept, shard_bytes), schema))
-    held = local.select(SHARD_KEY, F.posexplode("words").alias("place", "word"))
-    dictionary = numbered(held.select("word").distinct(), "word_id", "word")
-    dictionary = settle(dictionary.select("word", "word_id"))
-    ids = held.join(dictionary, "word").groupBy(SHARD_KEY).agg(F.sort_array(F.collect_list(F.struct("place", "word_id"))).alias("_ids"))
-    mapped = local.drop("words").join(ids.select(SHARD_KEY, F.col("_ids.word_id").alias("_ids")), SHARD_KEY, "left")
-    final = T.StructType([f for f in schema.fields if f.name != "words"])
+    held = [T.StructField(name, T.ArrayType(docs.schema[name].dataType)) for name in kept]
+    local = settle(chosen.mapInArrow(_shards(kept, shard_bytes, block_entries), T.StructType([*from_arrow_schema(BLOCK).fields, *held])))
+    words = local.select("shard", F.posexplode("words").alias("place", "word")).repartition("word").sortWithinPartitions("word")
+    numbers = with_offsets(settle(words.mapInArrow(_number, from_arrow_schema(NUMBERED))), {"_offset": F.sum("n_new")})
+    dictionary = numbers.where("shard is null").select(F.posexplode("words").alias("_place", "word"), (F.col("_offset") + F.col("first_id")).alias("_first"))
+    dictionary = dictionary.select("word", (F.col("_first") + F.col("_place")).alias("word_id"))
+    ids = numbers.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("places", "ids", F.col("_offset").alias("offset"))).alias("_numbers"))
+    margins = [T.StructField(name, T.ArrayType(T.LongType())) for name in ("n_words", "n_distinct")]
+    final = T.StructType([*(f for f in local.schema.fields if f.name != "words"), *margins])
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                ids = row.column("_ids")[0].values
-                ids = np.zeros(0, "<i8") if ids is None else ids.to_numpy(zero_copy_only=False).astype("<i8")
-                old = np.frombuffer(row.column("indices")[0].as_py(), "<u4")
-                columns = [pa.array([ids[old].tobytes()], pa.binary()) if n == "indices" else row.column(n) for n in final.names]
+                starts, old, data = (
+                    np.frombuffer(row.column(n)[0].as_buffer(), kind) for n, kind in (("indptr", "<i8"), ("indices", "<u4"), ("data", "<u4"))
+                )
+                new = np.zeros(int(old.max()) + 1 if len(old) else 0, "<i8")
+                for part in row.column("_numbers")[0] or ():
+                    places = np.frombuffer(part["places"].as_buffer(), "<u4")
+                    seen = places < len(new)
+                    new[places[seen]] = np.frombuffer(part["ids"].as_buffer(), "<i8")[seen] + part["offset"].as_py()
+                sums = np.concatenate(([0], np.cumsum(data, dtype=np.int64)))
+                changed = {
+                    "indices": pa.array([new[old].tobytes()], pa.binary()),
+                    "n_words": pa.array([np.diff(sums[starts])], pa.list_(pa.int64())),
+                    "n_distinct": pa.array([np.diff(starts)], pa.list_(pa.int64())),
+                }
+                columns = [changed[n] if n in changed else row.column(n) for n in final.names]
                 yield pa.RecordBatch.from_arrays(columns, names=final.names)
 
-    return dictionary, mapped.mapInArrow(rewrite, final)
+    return dictionary, local.drop("words").join(ids, "shard", "left").mapInArrow(rewrite, final)
 
 
 def row_counts(shards: DataFrame, kept: list[str]) -> DataFrame:
-    """One row for each row of the matrix: the ``kept`` columns, n_words (row sum), n_distinct (number of entries)."""
-    fields = [T.StructField(n, shards.schema[n].dataType.elementType) for n in kept]
-    schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_distinct", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                starts = np.frombuffer(row.column("indptr")[0].as_py(), "<i8")
-                data = np.frombuffer(row.column("data")[0].as_py(), "<u4")
-                sums = np.concatenate(([0], np.cumsum(data, dtype=np.int64)))
-                columns = [row.column(n)[0].values for n in kept]
-                columns += [pa.array(np.diff(sums[starts]), pa.int64()), pa.array(np.diff(starts), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return shards.select(*kept, "indptr", "data").mapInArrow(run, schema)
+    """One row for each row of the matrix: the ``kept`` columns, n_words and n_distinct."""
+    return shards.select(F.inline(F.arrays_zip(*kept, "n_words", "n_distinct")))
 
 
 def flag_counts(docs: DataFrame, labels: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
