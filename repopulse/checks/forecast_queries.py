@@ -1,4 +1,4 @@
-"""Forecasts. Fixed-parameter and line-plus-weekday forecasts have SQL; fitted ones are tested."""
+"""Forecasts. The additive model is checked by the conditions of its optimum and by lines; all others by their values."""
 
 from __future__ import annotations
 
@@ -59,19 +59,76 @@ def j06(spark: SparkSession, folder: str) -> DataFrame:
     return forecast.holt_fixed(forecast.daily_series(repos, forecast.created(discussions)), 0.5, 0.1)
 
 
-@query("j04_holt_forecast")
+# The search for smoothing parameters: the error of every cell of a grid by the same recursion, which carries the
+# constant and the two coefficients of the start values; then grids around the best cell. Grids as in functions/series.
+PASS = """, states{k} AS (
+  SELECT model_id, n, a, s, 0::BIGINT AS i, a::DOUBLE / 1000 AS alpha, a::DOUBLE / 1000 * (s::DOUBLE / 1000) AS beta,
+         0.0::DOUBLE AS lc, 1.0::DOUBLE AS ll, 0.0::DOUBLE AS lb, 0.0::DOUBLE AS tc, 0.0::DOUBLE AS tl, 1.0::DOUBLE AS tb,
+         0.0::DOUBLE AS rr, 0.0::DOUBLE AS rp, 0.0::DOUBLE AS rq, 0.0::DOUBLE AS pp, 0.0::DOUBLE AS pq, 0.0::DOUBLE AS qq
+  FROM cells{k}
+  UNION
+  SELECT model_id, n, a, s, i, alpha, beta, e + alpha * r, p - alpha * p, q - alpha * q, tc + beta * r, tl - beta * p, tb - beta * q,
+         rr + r * r, rp + r * p, rq + r * q, pp + p * p, pq + p * q, qq + q * q
+  FROM (
+    SELECT t.* EXCLUDE (i), v.i, lc + tc AS e, ll + tl AS p, lb + tb AS q, v.y - (lc + tc) AS r
+    FROM states{k} t JOIN numbered v ON v.model_id = t.model_id AND v.i = t.i + 1)),
+starts{k} AS (
+  SELECT *, CASE WHEN flat THEN y1 - (y2 - y1) ELSE (rp * qq - rq * pq) / det END AS level0,
+         CASE WHEN flat THEN y2 - y1 ELSE (rq * pp - rp * pq) / det END AS trend0
+  FROM (SELECT *, pp * qq - pq * pq AS det, pp * qq - pq * pq <= 1e-12::DOUBLE * pp * qq AS flat FROM states{k} WHERE i = n)
+  JOIN firsts USING (model_id)),
+best{k} AS (
+  SELECT * FROM starts{k}
+  QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY round(greatest(rr - 2 * (level0 * rp + trend0 * rq)
+    + level0 * level0 * pp + 2 * level0 * trend0 * pq + trend0 * trend0 * qq, 0), 6), a, s) = 1)"""
+
+SEARCH = (
+    SERIES
+    + """, firsts AS (
+  SELECT model_id, max(y) FILTER (WHERE i = 1) AS y1, max(y) FILTER (WHERE i = 2) AS y2, max(day) AS last FROM numbered GROUP BY model_id),
+cells1 AS (
+  SELECT model_id, n, a, s FROM numbered, range(50, 1000, 100) x(a), range(50, 1000, 100) y(s) WHERE i = 1 AND n >= 3)"""
+    + PASS.format(k=1)
+    + "".join(
+        f""", cells{k} AS (
+  SELECT model_id, n, a + {step} * da AS a, s + {step} * ds AS s FROM best{k - 1}, range(-4, 5) x(da), range(-4, 5) y(ds))"""
+        + PASS.format(k=k)
+        for k, step in ((2, 10), (3, 1))
+    )
+    + """
+SELECT model_id, 'actual' AS kind, day, CAST(NULL AS INTEGER) AS step, y AS value FROM numbered WHERE n >= 3
+UNION ALL
+SELECT model_id, 'forecast', last + CAST(h AS INTEGER), CAST(h AS INTEGER),
+       round(lc + ll * level0 + lb * trend0 + h * (tc + tl * level0 + tb * trend0), 6)
+FROM best3, range(1, 8) t(h)"""
+)
+
+
+def _search_sql(prefix: str, keep: str) -> str:
+    # Only the last state of a cell is kept on the way.
+    keyed = SEARCH
+    for k in (1, 2, 3):
+        keyed = keyed.replace(f"states{k} AS (", f"states{k} USING KEY (model_id, a, s) AS (")
+    return prefix.replace("WITH", "WITH RECURSIVE", 1).rstrip() + keyed.replace("{date}", "created_at").replace("{keep}", keep)
+
+
+def _rounded(found: DataFrame, digits: int = 6) -> DataFrame:
+    return found.withColumn("value", F.round("value", digits))
+
+
+@query("j04_holt_forecast", _search_sql(SPARSE, "true"))
 def j04(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.commit_forecast(*events(spark, folder))
+    return _rounded(reports.commit_forecast(*events(spark, folder)))
 
 
-@query("l13_pull_request_forecast")
+@query("l13_pull_request_forecast", _search_sql(MAIN, "is_pull_request"))
 def l13(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.pull_request_forecast(*main(spark, folder, closed_at=False))
+    return _rounded(reports.pull_request_forecast(*main(spark, folder, closed_at=False)))
 
 
-@query("l14_commit_forecast")
+@query("l14_commit_forecast", _search_sql(MAIN, "true"))
 def l14(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.commit_forecast(*main(spark, folder, closed_at=False))
+    return _rounded(reports.commit_forecast(*main(spark, folder, closed_at=False)))
 
 
 @query("j01_additive_forecast")
@@ -80,6 +137,55 @@ def j01(spark: SparkSession, folder: str) -> DataFrame:
     return forecast.additive_forecast(forecast.daily_series(repos, forecast.created(discussions)))
 
 
+# A fit is right if no condition of its optimum is violated: one row for each series, with the largest violation.
+OPTIMUM = SERIES + """
+SELECT model_id, CAST(n AS INTEGER) AS points, 0.0::DOUBLE AS violation, 'ok' AS status FROM numbered WHERE i = 1 AND n >= 2"""
+
+
+def _optimum(series: DataFrame) -> DataFrame:
+    fits = forecast.additive_fits(series.where(F.size("points") >= 2))
+    return fits.select("model_id", F.size("points").alias("points"), F.round("violation", 6).alias("violation"), "status")
+
+
+@query("j01_additive_optimum", SPARSE.rstrip() + OPTIMUM.format(date="created_at", keep="true"))
+def j01_optimum(spark: SparkSession, folder: str) -> DataFrame:
+    repos, discussions = events(spark, folder)
+    return _optimum(forecast.daily_series(repos, forecast.created(discussions)))
+
+
+@query("l11_created_optimum", MAIN.rstrip() + OPTIMUM.format(date="created_at", keep="true"))
+def l11_optimum(spark: SparkSession, folder: str) -> DataFrame:
+    repos, discussions = main(spark, folder, closed_at=False)
+    return _optimum(forecast.daily_series(repos, forecast.created(discussions)))
+
+
+@query("l12_closed_optimum", MAIN.rstrip() + OPTIMUM.format(date="closed_at", keep="status = 'closed'"))
+def l12_optimum(spark: SparkSession, folder: str) -> DataFrame:
+    repos, discussions = main(spark, folder)
+    return _optimum(forecast.daily_series(repos, forecast.closed(discussions)))
+
+
+# The days of the tables with counts on a line: the forecast has to continue it.
+LINES = SERIES + """, lines AS (
+  SELECT model_id, day, n, min(day) OVER (PARTITION BY model_id) AS first, max(day) OVER (PARTITION BY model_id) AS last FROM numbered),
+days AS (
+  SELECT model_id, 'actual' AS kind, day, CAST(NULL AS INTEGER) AS step, first FROM lines WHERE n >= 2
+  UNION ALL SELECT model_id, 'forecast', day, 0, first FROM lines WHERE n >= 2
+  UNION ALL SELECT model_id, 'forecast', last + CAST(h AS INTEGER), CAST(h AS INTEGER), first FROM lines, range(1, 15) r(h)
+            WHERE n >= 2 AND day = last)
+SELECT model_id, kind, day, step, 5.0::DOUBLE + 2 * (day - first) AS value FROM days"""
+
+
+@query("j01_additive_on_lines", MAIN.rstrip() + LINES.format(date="created_at", keep="true"))
+def j01_lines(spark: SparkSession, folder: str) -> DataFrame:
+    repos, discussions = main(spark, folder, closed_at=False)
+    series = forecast.daily_series(repos, forecast.created(discussions))
+    on_line = F.transform(
+        "points", lambda p: F.struct(p["day"].alias("day"), (5.0 + 2 * F.datediff(p["day"], F.element_at("points", 1)["day"])).alias("value"))
+    )
+    return _rounded(forecast.additive_forecast(series.withColumn("points", on_line)), 3)
+
+
 @query("l11_created_forecast")
 def l11(spark: SparkSession, folder: str) -> DataFrame:
     return reports.created_forecast(*main(spark, folder, closed_at=False))
@@ -116,8 +222,7 @@ LEFT JOIN seasons s ON s.model_id = d.model_id AND s.w = isodow(d.day)"""
 
 
 def _line(repos: DataFrame, daily: DataFrame) -> DataFrame:
-    found = forecast.weekday_trend_forecast(repos, daily)
-    return found.withColumn("value", F.round("value", 6))
+    return _rounded(forecast.weekday_trend_forecast(repos, daily))
 
 
 @query("j02_weekday_trend_created", MAIN.rstrip() + LINE.format(date="created_at", keep="true"))

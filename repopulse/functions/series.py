@@ -37,8 +37,11 @@ def holt_fold(values: Column, alpha: Column, beta: Column, level: Column, trend:
 
 
 HOLT_FIT = T.StructType([T.StructField(name, T.DoubleType()) for name in ("alpha", "beta", "level", "trend")])
-_EDGE = 1e-4  # smoothing parameters stay this far away from 0 and 1
-_COARSE = 13  # values per parameter in the first grid
+#: The grids, in thousandths: both parameters from 50 to 950 by 100, then around the best cell by 10, then by 1.
+#: The second parameter is the share of ``alpha`` that ``beta`` is, which keeps it at or below ``alpha``.
+HOLT_FIRST = tuple(range(50, 1000, 100))
+HOLT_FINER = (10, 1)
+HOLT_STEPS = (-4, -3, -2, -1, 0, 1, 2, 3, 4)
 _CELLS = 200_000  # series x grid points held at once per task
 
 
@@ -87,31 +90,27 @@ def _holt_sse(values: np.ndarray, lengths: np.ndarray, alpha: np.ndarray, beta:
 
 
 def _holt_search(series: list[np.ndarray]) -> np.ndarray:
-    """Rows of alpha, beta, level, trend: a coarse grid, then grids around the best cell.
+    """Rows of alpha, beta, level, trend of the cell of least squared error on each grid in turn.
 
-    ``beta = alpha * share``, which keeps it at or below ``alpha``.
+    Errors are compared to six digits behind the point; ties go to the smaller alpha, then to the
+    smaller share.
     """
     lengths = np.array([len(s) for s in series])
     values = np.zeros((len(series), lengths.max()))
     for row, s in zip(values, series, strict=True):
         row[: len(s)] = s
-    axis = np.linspace(_EDGE, 1 - _EDGE, _COARSE)
-    a, s = (np.broadcast_to(g.ravel(), (len(series), g.size)) for g in np.meshgrid(axis, axis))
-    width = axis[1] - axis[0]
     rows = np.arange(len(series))
-    while True:
-        sse, level, trend = _holt_sse(values, lengths, a, a * s)
-        best = sse.argmin(axis=1)
-        chosen = [m[rows, best] for m in (a, s, level, trend)]
-        if width < 2e-4:
-            break
-        offsets = np.linspace(-width, width, 7)
-        da, ds = (g.ravel()[None, :] for g in np.meshgrid(offsets, offsets))
-        a = np.clip(chosen[0][:, None] + da, _EDGE, 1 - _EDGE)
-        s = np.clip(chosen[1][:, None] + ds, _EDGE, 1 - _EDGE)
-        width = offsets[1] - offsets[0]
+    alpha, share = (np.broadcast_to(g.ravel(), (len(series), g.size)) for g in np.meshgrid(HOLT_FIRST, HOLT_FIRST, indexing="ij"))
+    for step in (*HOLT_FINER, None):
+        sse, level, trend = _holt_sse(values, lengths, alpha / 1000, alpha / 1000 * (share / 1000))
+        best = np.round(sse, 6).argmin(axis=1)
+        chosen = [m[rows, best] for m in (alpha, share, level, trend)]
+        if step:
+            near = np.array(HOLT_STEPS) * step
+            da, ds = (g.ravel()[None, :] for g in np.meshgrid(near, near, indexing="ij"))
+            alpha, share = chosen[0][:, None] + da, chosen[1][:, None] + ds
     alpha, share, level, trend = chosen
-    return np.column_stack([alpha, alpha * share, level, trend])
+    return np.column_stack([alpha / 1000, alpha / 1000 * (share / 1000), level, trend])
 
 
 @pandas_udf(HOLT_FIT)
@@ -121,7 +120,7 @@ def holt_fit(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         values = [np.asarray(v, dtype=float) for v in batch]
         fitted = np.full((len(values), 4), np.nan)
         order = sorted((i for i, v in enumerate(values) if len(v) >= 3), key=lambda i: -len(values[i]))
-        chunk = _CELLS // _COARSE**2
+        chunk = _CELLS // len(HOLT_FIRST) ** 2
         for start in range(0, len(order), chunk):
             part = order[start : start + chunk]
             fitted[part] = _holt_search([values[i] for i in part])
@@ -137,7 +136,8 @@ OFFSET_SCALE = 5.0
 CHANGE_SCALE = 0.05
 SEASON_SCALE = 10.0
 NOISE_SCALE = 0.5
-ROUNDS = 3000  # regressions after which a fit counts as not settled
+LEAST_NOISE = 1e-10  # variance, in units of the largest value squared
+SETTLED = 1e-6  # relative violation of the optimality conditions beyond which a fit is not used
 CHANGE_POINTS = 25
 CHANGE_RANGE = 0.8
 DAILY_ORDER = 4
@@ -156,15 +156,81 @@ def _seasons(days: np.ndarray) -> list[tuple[float, int]]:
     return cycles
 
 
-def additive_fit(days: np.ndarray, values: np.ndarray, periods: int, rounds: int = ROUNDS) -> tuple[np.ndarray, bool]:
-    """Fitted value on every day of the history and on the ``periods`` days after it, and whether the fit settled.
+def _slope_changes(hessian: np.ndarray, moment: np.ndarray, changes: slice, penalty: float, start: np.ndarray) -> np.ndarray:
+    """Minimum of w'Hw/2 - m'w + penalty * |w[changes]|_1, by an active set of slope changes and their signs.
+
+    One change of slope that violates its condition most enters at a time; the free weights then move
+    towards the minimum under the present signs, as far as the objective falls and no sign turns, and
+    changes that reach zero leave. Every step lowers the objective, so no set of signs comes twice and the
+    search ends, with all conditions met.
+    """
+    weights = start.copy()
+    penalised = np.zeros(len(weights), bool)
+    penalised[changes] = True
+    signs = np.where(penalised, np.sign(weights), 0.0)
+    free = ~penalised | (signs != 0)
+
+    def objective(w: np.ndarray) -> float:
+        return w @ (hessian @ w) / 2 - moment @ w + penalty * np.abs(w[changes]).sum()
 
-    Piecewise linear trend with Laplace-distributed slope changes plus Fourier seasons, at the
-    posterior mode. The mode is found by iterated ridge regressions: the Laplace term is replaced
-    by the quadratic that touches it at the last estimate, and the noise scale has a closed form.
-    Days carry no clock time, so every cosine of the daily cycle is constant: it only widens the
-    prior of the offset.
+    lowest = np.inf
+    while True:
+        while True:
+            goal = np.zeros_like(weights)
+            goal[free] = np.linalg.solve(hessian[np.ix_(free, free)], moment[free] - penalty * signs[free])
+            turned = np.flatnonzero(free & penalised & (np.sign(goal) != signs))
+            if not len(turned):
+                weights = goal
+                break
+            # Where a sign would turn: the lowest point among the goal and all crossings of zero on the way.
+            with np.errstate(divide="ignore", invalid="ignore"):
+                crossings = weights[turned] / (weights[turned] - goal[turned])
+            points = [(goal, -1)]
+            for place, share in zip(turned, crossings, strict=True):
+                if 0 <= share < 1:
+                    point = weights + share * (goal - weights)
+                    point[place] = 0.0
+                    points.append((point, place))
+            best, place = min(points, key=lambda p: objective(p[0]))
+            if place < 0 and objective(best) >= objective(weights):
+                break
+            weights = best
+            signs = np.where(penalised, np.sign(weights), 0.0)
+            free = ~penalised | (signs != 0)
+        slack = np.where(penalised & ~free, np.abs(moment - hessian @ weights) - penalty, 0.0)
+        worst, before = int(slack.argmax()), lowest
+        lowest = objective(weights)
+        # Where the objective no longer falls in double precision, the rest of the slack is rounding.
+        if slack[worst] <= 1e-9 * penalty or lowest >= before:
+            return weights
+        free[worst] = True
+        signs[worst] = np.sign(moment[worst] - hessian[worst] @ weights)
+
+
+def _violation(hessian: np.ndarray, moment: np.ndarray, changes: slice, penalty: float, weights: np.ndarray) -> float:
+    """The largest violation of a weight's condition, relative to the sizes of the terms in it."""
+    gradient = hessian @ weights - moment
+    size = np.abs(hessian) @ np.abs(weights) + np.abs(moment)
+    size[changes] += penalty
+    off = np.abs(gradient)
+    moved = weights[changes] != 0
+    off[changes] = np.where(moved, np.abs(gradient[changes] + penalty * np.sign(weights[changes])), np.maximum(off[changes] - penalty, 0.0))
+    return float((off / np.where(size > 0, size, 1.0)).max())
+
+
+def additive_fit(days: np.ndarray, values: np.ndarray, periods: int) -> tuple[np.ndarray, float]:
+    """Fitted value on every day of the history and on the ``periods`` days after it, and the largest
+    relative violation of the optimality conditions.
+
+    Piecewise linear trend with Laplace-distributed slope changes plus Fourier seasons, at a posterior
+    mode. For a given noise variance the weights have one optimum, found by an active set
+    (:func:`_slope_changes`). The variance that is best for a sum of squares has a closed form, and
+    both grow together, so their common point lies between known bounds and is found by bisection with
+    secant steps. Days carry no clock time, so every cosine of the daily cycle is constant: it only
+    widens the prior of the offset.
     """
+    if not np.isfinite(values).all():
+        raise np.linalg.LinAlgError("a value is no number")
     scale = np.abs(values).max() or 1.0
     y = values / scale
     every = np.concatenate([days, days[-1] + 1 + np.arange(periods)]).astype(float)
@@ -176,7 +242,7 @@ def additive_fit(days: np.ndarray, values: np.ndarray, periods: int, rounds: int
     places = np.linspace(0, head - 1, changes + 1).round().astype(int)[1:] if changes > 0 else []
     columns = [np.ones_like(t), t, *(np.maximum(t - c, 0.0) for c in t[places])]
     variance = [OFFSET_SCALE**2 + DAILY_ORDER * SEASON_SCALE**2, SLOPE_SCALE**2]
-    variance += [CHANGE_SCALE] * len(places)
+    variance += [np.inf] * len(places)
     for period, order in _seasons(days):
         for k in range(1, order + 1):
             angle = 2 * np.pi * k * every / period
@@ -184,42 +250,66 @@ def additive_fit(days: np.ndarray, values: np.ndarray, periods: int, rounds: int
             variance += [SEASON_SCALE**2] * 2
     design = np.column_stack(columns)
     history = design[:n]
-    gram, moment, energy = history.T @ history, history.T @ y, y @ y
+    gram, moment, energy = history.T @ history, history.T @ y, float(y @ y)
     laplace = slice(2, 2 + len(places))
-    prior = np.array(variance)
-    size = np.ones(len(places))
-    noise = 0.25
+    ridge = np.diag(1 / np.array(variance))
     weights = np.zeros(design.shape[1])
-    moved = np.inf
-    for _ in range(rounds):
-        root = np.sqrt(np.concatenate([prior[:2], CHANGE_SCALE * size, prior[laplace.stop :]]))
-        system = root[:, None] * gram * root / noise + np.eye(len(root))
-        update = root * np.linalg.solve(system, root * moment / noise)
-        rss = max(energy - 2 * update @ moment + update @ gram @ update, 0.0)
-        # Minimum of rss / (2 v) + n log(v) / 2 + v / (2 NOISE_SCALE ** 2) over the variance v.
-        curve = 1 / NOISE_SCALE**2
-        noise = max(2 * rss / (n + np.sqrt(n * n + 4 * curve * rss)), 1e-10)
-        size = np.maximum(np.abs(update[laplace]), 1e-9)
-        moved = np.abs(update - weights).max()
-        weights = update
-        if moved < 1e-5:
+    curve = 1 / NOISE_SCALE**2
+
+    def likely(rss: float) -> float:
+        """Minimum of rss / (2 v) + n log(v) / 2 + v / (2 NOISE_SCALE ** 2) over the variance v."""
+        return max(2 * rss / (n + np.sqrt(n * n + 4 * curve * rss)), LEAST_NOISE)
+
+    def excess(noise: float) -> float:
+        """By how much the best variance for the best weights exceeds the variance that they are for."""
+        nonlocal weights
+        # All in units of the noise, so that a tiny variance does not blow up the numbers.
+        weights = _slope_changes(gram + noise * ridge, moment, laplace, noise / CHANGE_SCALE, weights)
+        rest = y - history @ weights
+        return likely(float(rest @ rest)) - noise
+
+    low, high = LEAST_NOISE, likely(energy)
+    guess = min(0.25, high)
+    at_guess = excess(guess)
+    low, high, at_low, at_high = (low, guess, None, at_guess) if at_guess <= 0 else (guess, high, at_guess, None)
+    noise, turn = guess, 0
+    while at_guess and high - low > 1e-12 * high:
+        turn += 1
+        noise = np.sqrt(low * high)
+        if turn % 3 and at_low is not None and at_high is not None:
+            noise = low + (high - low) * at_low / (at_low - at_high)
+        elif turn % 3 == 1:
+            # One step of alternation stays on its side of the common point, as both sizes grow together.
+            noise = guess + at_guess
+        noise = min(max(noise, low), high)
+        if noise in (low, high) and turn % 3:
+            continue
+        guess, at_guess = noise, excess(noise)
+        if at_guess > 0:
+            low, at_low = noise, at_guess
+        else:
+            high, at_high = noise, at_guess
+        if noise in (low, high) and noise == LEAST_NOISE:
             break
-    return design @ weights * scale, bool(moved < 1e-5)
+    at_end = abs(excess(noise)) / noise
+    off = _violation(gram + noise * ridge, moment, laplace, noise / CHANGE_SCALE, weights)
+    return design @ weights * scale, max(off, at_end)
 
 
 def additive_fit_udf(periods: int):
-    """Fitted values, and whether the fit settled, for array columns of day numbers and values; null values where no fit exists."""
+    """Fitted values and the violation of the optimality conditions for array columns of day numbers and values; nulls where no fit exists."""
 
-    @pandas_udf("fitted array<double>, settled boolean")
+    @pandas_udf("fitted array<double>, violation double")
     def fit(days: pd.Series, values: pd.Series) -> pd.DataFrame:
         out = []
         for d, v in zip(days, values, strict=True):
             d, v = np.asarray(d, dtype=float), np.asarray(v, dtype=float)
             try:
-                fitted, settled = additive_fit(d, v, periods) if len(d) > 1 else (None, False)
+                fitted, off = additive_fit(d, v, periods) if len(d) > 1 else (None, None)
             except np.linalg.LinAlgError:
-                fitted, settled = None, False
-            out.append((fitted if fitted is not None and np.isfinite(fitted).all() else None, settled))
-        return pd.DataFrame(out, columns=["fitted", "settled"])
+                fitted, off = None, None
+            usable = fitted is not None and np.isfinite(fitted).all()
+            out.append((fitted, off) if usable else (None, None))
+        return pd.DataFrame(out, columns=["fitted", "violation"])
 
     return fit

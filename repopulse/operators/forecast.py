@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.functions.series import additive_fit_udf, holt_fit, holt_fold
+from repopulse.functions.series import SETTLED, additive_fit_udf, holt_fit, holt_fold
 from repopulse.operators.activity import daily_by_repo_id
 
 CREATED_DAYS = 14
@@ -111,7 +111,8 @@ def holt_fits(series: DataFrame) -> DataFrame:
 
 
 def holt_forecast(series: DataFrame, periods: int = SMOOTHED_DAYS) -> DataFrame:
-    """Forecast with parameters and start values of least squared error; three points are needed."""
+    """Forecast with the parameters of least squared error on stated grids, and the start values that are
+    best for them; three points are needed."""
     usable = series.filter(F.size("points") >= 3)
     return _smoothed(holt_fits(usable), F.col("status") == "ok", periods)
 
@@ -120,23 +121,23 @@ def holt_forecast(series: DataFrame, periods: int = SMOOTHED_DAYS) -> DataFrame:
 
 
 def additive_fits(series: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
-    """Series with fitted values over history and horizon, and status.
+    """Series with fitted values over history and horizon, status, and the violation of the optimality conditions.
 
-    A fit that still moved after the last round is kept out of forecasts and named in the report.
+    A fit that is no optimum to six digits is kept out of forecasts and named in the report.
     """
     days = F.transform("points", lambda p: F.unix_date(p["day"]))
     values = F.transform("points", lambda p: p["value"])
     return (
         series.withColumn("_fit", additive_fit_udf(periods)(days, values))
-        .withColumns({"fitted": F.col("_fit.fitted"), "settled": F.col("_fit.settled")})
+        .withColumns({"fitted": F.col("_fit.fitted"), "violation": F.col("_fit.violation")})
         .withColumn(
             "status",
             F.when(F.size("points") < 2, "too short")
             .when(F.col("fitted").isNull(), "failed")
-            .when(~F.col("settled"), "not converged")
+            .when(F.col("violation") > SETTLED, "not converged")
             .otherwise("ok"),
         )
-        .drop("_fit", "settled")
+        .drop("_fit")
     )
 
 

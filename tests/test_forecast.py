@@ -5,7 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 
-from repopulse.functions.series import _holt_search, additive_fit
+from repopulse.functions.series import _holt_search, _slope_changes, _violation, additive_fit
 from repopulse.operators import forecast
 
 DAY0 = dt.date(2024, 1, 1)
@@ -164,6 +164,36 @@ def test_additive_survives_degenerate_series(course):
     assert np.isfinite(additive_fit(np.arange(len(course)), np.array(course), 14)[0]).all()
 
 
+def test_slope_changes_reach_the_optimum_of_a_slow_descent():
+    rng = np.random.default_rng(3)
+    for trial in range(10):
+        t = np.linspace(0, 1, 80)
+        columns = [np.ones(80), t, *(np.maximum(t - c, 0) for c in np.linspace(0.05, 0.8, 12))]
+        history = np.column_stack(columns)
+        y = np.abs(t - 0.4) * (trial % 3) + rng.normal(0, 0.05, 80)
+        hessian, moment = history.T @ history + np.diag([1e-4, 1e-4, *[0.0] * 12]), history.T @ y
+        for penalty in (0.01, 0.2, 5.0):
+            found = _slope_changes(hessian, moment, slice(2, 14), penalty, np.zeros(14))
+            assert _violation(hessian, moment, slice(2, 14), penalty, found) < 1e-9
+            # Coordinate descent with soft thresholds, from the found point and from zero, finds nothing lower.
+            goal = lambda w: w @ hessian @ w / 2 - moment @ w + penalty * np.abs(w[2:]).sum()  # noqa: E731, B023
+            slow = np.zeros(14)
+            for _ in range(3000):
+                for k in range(14):
+                    rest = moment[k] - hessian[k] @ slow + hessian[k, k] * slow[k]
+                    slow[k] = (np.sign(rest) * max(abs(rest) - penalty, 0) if k >= 2 else rest) / hessian[k, k]
+            assert goal(found) <= goal(slow) + 1e-9
+
+
+def test_every_fit_settles_whatever_the_series():
+    rng = np.random.default_rng(4)
+    for n in (2, 3, 5, 8, 30, 90, 400, 900):
+        days = np.sort(rng.choice(3 * n, n, replace=False))
+        for course in (rng.poisson(2, n) + 1.0, np.ones(n), 3.0 + days, rng.normal(0, 1e6, n), np.where(days > n, 1e6, 1.0)):
+            fitted, off = additive_fit(days, np.asarray(course, float), 14)
+            assert len(fitted) == n + 14 and np.isfinite(fitted).all() and off < 1e-9
+
+
 def test_additive_leaves_the_noise():
     rng = np.random.default_rng(9)
     days = np.sort(rng.choice(200, 120, replace=False))
