@@ -169,3 +169,21 @@ def test_iso_times_become_utc(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [expected(v) for v in data]
+
+
+def test_iso_forms_of_both_tiers_equal_the_parser_of_python(spark):
+    """Some hundred forms: every date by every clock by every zone, and years at the ends of the range."""
+    dates = ["2024-02-29", "2023-02-29", "0001-01-01", "9999-12-31", "20240131", "2024-W09-4", "2024W094", "2023-W53-1", "2024-1-01", "0000-05-05"]
+    clocks = ["", "T00:00:00", "T23:59:59.999999", " 12:34:56.7", "T24:00:00", "T12:60:00", "T0102", "T01", "t05:06:07", "T05:06:07,25", "T05:06:07.1234567"]
+    zones = ["", "Z", "+00:00", "+02:00", "-23:59", "-0130", "+14:59", "+15:00", "+05", "+01:02:03", "z", "+1:00"]
+    data = [d + c + z for d in dates for c in clocks for z in zones if c or not z]
+
+    def plain(text):
+        try:
+            moment = dt.datetime.fromisoformat(text)
+            return moment if moment.tzinfo is None else moment.astimezone(dt.UTC).replace(tzinfo=None)
+        except (ValueError, OverflowError):
+            return None
+
+    got = values(spark, time.parse_iso, data)
+    assert len(data) > 1000 and [(t, g) for t, g in zip(data, got, strict=True) if g != plain(t)] == []
