@@ -42,7 +42,9 @@ URL_RULES = [
 
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    # What is left of a text; a character that a cut splits becomes the replacement character here, and stays whole in the digest.
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 PLAIN_WORDS = r"list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+', ' ', 'g')), ' '), lambda x: x != '')"
@@ -301,7 +303,8 @@ def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     "op13_source_mix",
     r"""
     with sized as (
-        select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::bigint as size,
+        select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::bigint as size,
                sha256(coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')) as h, row_number() over () as n
         from documents
     ),

@@ -152,11 +152,13 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def _cores(contexts: DataFrame, width: int) -> DataFrame:
-    """(suffix, run, block, core): the hash of what all windows of a block of neighbouring windows share.
+def _block_hashes(contexts: DataFrame, width: int) -> DataFrame:
+    """(suffix, run, block, start, core, hull): hashes of a block of neighbouring windows.
 
-    Blocks are counted from the anchor, so equal windows lie in equal blocks.
+    The core is what all windows of the block share, the hull is all that they cover; it is null where the
+    run ends within the block. Blocks are counted from the anchor, so equal windows lie in equal blocks.
     """
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -164,19 +166,38 @@ def _cores(contexts: DataFrame, width: int) -> DataFrame:
             for suffix, key, count, place, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rolling = Rolling(np.frombuffer(data, np.uint8))
                 blocks = np.arange(-place // TOGETHER, (count - 1 - place) // TOGETHER + 1)
-                first = place + blocks * TOGETHER + TOGETHER - 1
-                cores = rolling.some(first, np.full(len(first), width - TOGETHER + 1)).view(np.int64)
-                out += [(suffix, key, b, c) for b, c in zip(blocks.tolist(), cores.tolist(), strict=True)]
-            yield _batch(out, ["suffix", "run", "block", "core"], [pa.int64(), pa.int64(), pa.int32(), pa.int64()])
-
-    return contexts.select("suffix", "run", "count", "place", "data").mapInArrow(run, "suffix bigint, run bigint, block int, core bigint")
+                start = place + blocks * TOGETHER
+                cores = rolling.some(start + TOGETHER - 1, np.full(len(start), width - TOGETHER + 1)).view(np.int64)
+                inside = (start >= 0) & (start + TOGETHER <= count)
+                hulls = np.zeros(len(start), np.int64)
+                hulls[inside] = rolling.some(start[inside], np.full(int(inside.sum()), width + TOGETHER - 1)).view(np.int64)
+                hulls = [h if i else None for h, i in zip(hulls.tolist(), inside.tolist(), strict=True)]
+                out += [(suffix, key, *x) for x in zip(blocks.tolist(), start.tolist(), cores.tolist(), hulls, strict=True)]
+            yield _batch(out, ["suffix", "run", "block", "start", "core", "hull"], kinds)
+
+    return contexts.select("suffix", "run", "count", "place", "data").mapInArrow(
+        run, "suffix bigint, run bigint, block int, start int, core bigint, hull bigint"
+    )
 
 
 def _repeated_windows(contexts: DataFrame, width: int) -> DataFrame:
-    """(suffix, run, spans): the repeated windows of each run, as first and last distance from its start."""
-    cores = settle(_cores(contexts, width))
-    twice = cores.groupBy("suffix", "block", "core").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    blocks = cores.join(twice, ["suffix", "block", "core"], "left_semi").groupBy("suffix", "run").agg(F.collect_list("block").alias("blocks"))
+    """(suffix, run, spans): the repeated windows of each run, as first and last distance from its start.
+
+    Where the hull of a block occurs again, all its windows do; where the core does not, none does. What
+    lies between, blocks at the ends of repeats, is compared window by window, with each other and with
+    one block for each repeated hull of the same core.
+    """
+    hashed = settle(_block_hashes(contexts, width))
+    cores = hashed.groupBy("suffix", "block", "core").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    hulls = hashed.where("hull is not null").groupBy("suffix", "block", "hull").agg(F.count("*").alias("h")).where("h > 1")
+    near = hashed.join(cores, ["suffix", "block", "core"], "left_semi").join(hulls, ["suffix", "block", "hull"], "left")
+    near = settle(near.select("suffix", "run", "block", "start", "core", "hull", F.col("h").isNotNull().alias("whole")))
+    full = near.where("whole").select("suffix", "run", F.struct(F.col("start").alias("first"), (F.col("start") + TOGETHER - 1).alias("last")).alias("s"))
+    group = ["suffix", "block", "core"]
+    ends = near.where("not whole")
+    others = near.where("whole").groupBy(*group, "hull").agg(F.min("run").alias("run")).join(ends.select(*group).distinct(), group, "left_semi")
+    wanted = ends.select("suffix", "run", "block").unionByName(others.select("suffix", "run", "block"))
+    blocks = wanted.groupBy("suffix", "run").agg(F.collect_list("block").alias("blocks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 64):
@@ -206,7 +227,8 @@ def _repeated_windows(contexts: DataFrame, width: int) -> DataFrame:
     )
     twice = windows.groupBy("suffix", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     places = windows.join(twice, ["suffix", "window"], "left_semi").groupBy("suffix", "run").agg(F.sort_array(F.collect_list("at")).alias("at"))
-    return places.select("suffix", "run", _spans(F.col("at")).alias("spans"))
+    single = places.select("suffix", "run", F.explode(_spans(F.col("at"))).alias("s"))
+    return full.unionByName(single).groupBy("suffix", "run").agg(F.collect_list("s").alias("spans"))
 
 
 def _spans(at: Column) -> Column:
