@@ -148,3 +148,14 @@ def judge(
         .withColumns({"base_failed": base, "failed_rules": failed})
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
     )
+
+
+def keep(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents that are kept, with their own columns.
+
+    The verdict passes through a generator before the filter. A filter right on the projection would take in
+    the whole measuring expression once for each time that the verdict names a measure.
+    """
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(text).alias("text"))
+    judged = judge(held, "text", **options).select(F.inline(F.array(F.struct("_row", "kept"))))
+    return judged.where("kept").select("_row.*")

@@ -491,3 +491,39 @@ def test_quality_measures(spark):
     assert [rows[i].n_repeat_words for i in range(6)] == [27, 10, 6, 0, 0, 0]
     assert [rows[i].n_symbols for i in range(6)] == [0, 0, 0, 0, 0, 4]
     assert rows[3].base_failed and not rows[3].kept
+
+
+# --- repairs of the third round ------------------------------------------------------------------
+
+
+def test_repeats_across_whole_and_open_blocks(spark):
+    """Long passages shared by three texts to different ends: blocks repeated as a whole meet blocks repeated in part."""
+    a, b = " ".join(words(21, 300)), " ".join(words(22, 300))
+    texts = [a + b, a + "!" + b[:500], "x" + a[37:700] + "?" + a[700:1200], b[100:900] + a[:333], a[:45], b[200:245] + "." + a[5:46]]
+    for width, prefix in ((40, 20), (120, 60)):
+        found = suffix_dedup.remove_repeats(docs_of(spark, texts), width=width, prefix=prefix)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.collect()}
+        assert got == dict(enumerate(plain_repeats(texts, width)))
+
+
+def test_lexicon_of_a_sample_changes_no_id_and_leaves_long_words_out(spark):
+    long = "z" * 300_000
+    texts = [f"the cat {long} w{k} {long[:65]}" if k == 0 else f"the cat w{k} and {long[:64]}" for k in range(40)]
+    docs = docs_of(spark, texts)
+    bpe = bpe_lexicon.Bpe.from_file(TOKENIZER)
+    counted = {r.word: r.n for r in bpe_lexicon.count_words(docs, bpe).collect()}
+    assert max(map(len, counted)) == 64 and counted["the"] == 40
+    assert sum(r.n for r in bpe_lexicon.count_words(docs, bpe, most_docs=10).where("word = 'the'").collect()) < 40
+    library = Tokenizer.from_file(TOKENIZER)
+    for row in bpe_lexicon.encode(docs, TOKENIZER, lexicon_size=5).collect():
+        assert np.frombuffer(row.ids, "<u4").tolist() == library.encode(texts[row.doc_id], add_special_tokens=False).ids
+
+
+def test_kept_documents_are_measured_once_and_keep_clashing_columns(spark):
+    good = "the quick brown fox and the lazy dog went to the old mill in the valley of the moon with a friend"
+    docs = spark.createDataFrame([(1, good, "k", 7), (2, "too short", "k", 8), (None, None, None, None)], "doc_id bigint, text string, kept string, n_words int")
+    kept = quality_rules.keep(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, good, "k", 7)]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" not in next(line for line in plan.splitlines() if "Filter" in line)
+    assert quality_rules.keep(docs.limit(0)).collect() == []
