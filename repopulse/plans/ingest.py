@@ -25,7 +25,7 @@ from repopulse.operators.upsert import (
 )
 from repopulse.schemas import DISCUSSIONS, MODEL_REPOS
 from repopulse.session import settle
-from repopulse.sources.buckets import open_table
+from repopulse.sources.buckets import BUCKET_ROWS, open_table
 from repopulse.sources.landing import (
     DISCUSSION_COUNTS,
     MODEL_COUNTS,
@@ -36,7 +36,7 @@ from repopulse.sources.landing import (
     top_listings,
 )
 
-#: Key buckets of a new table; rows of one bucket should fit into a few hundred megabytes.
+#: Key buckets of a new table; they split as it grows.
 BUCKETS = 64
 
 MESSAGES = "model_id string, message string"
@@ -71,6 +71,7 @@ def load(
     fold_status: bool = False,
     notes: Sequence[str] = (),
     buckets: int = BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> Loaded:
     """Bring ``model_repos`` and ``discussions`` below ``current`` up to date in the new folder ``target``.
 
@@ -78,8 +79,9 @@ def load(
     writes, so a failure in the second leaves the first. ``top_n`` keeps the most downloaded
     repositories per tag, of ``tags`` or of all. ``fold_status`` reduces the status before cleaning, as
     ``discussion_rows`` does. Records that cannot be read are counted and listed, and load nothing.
-    ``notes`` go into the summary. New tables get ``buckets`` key buckets; a load rewrites those that its
-    batch touches, and the new version points to the files of the others.
+    ``notes`` go into the summary. New tables get ``buckets`` key buckets, a power of two, which split where
+    they may exceed ``bucket_rows`` rows; a load rewrites those that its batch touches, and the new version
+    points to the files of the others.
     """
     spark = model_listings.sparkSession
     model_listings, bad_models = split_unreadable(model_listings, MODEL_COUNTS)
@@ -90,20 +92,21 @@ def load(
     if tags is not None or top_n is not None:
         models = top_listings(models, tags, top_n) if top_n is not None else models.filter(F.col("tag").isin(*tags))
     batch, models_seen, models_cleaned = _stage(models, clean_models, "models", f"{target}/clean_models")
-    stored = open_table(spark, current and f"{current}/model_repos", MODEL_REPOS, MODEL_KEYS, buckets)
-    part = stored.read(stored.touched(batch))
-    repos = stored.replace(upsert_models(part, batch, ["seq"], top_id=stored.top_id), f"{target}/model_repos").read()
+    stored = open_table(spark, current and f"{current}/model_repos", MODEL_REPOS, MODEL_KEYS, buckets, bucket_rows)
+    touched = stored.touched(batch)
+    updated = upsert_models(stored.read(touched), batch, ["seq"], top_id=stored.top_id)
+    repos = stored.replace(updated, touched, f"{target}/model_repos").read()
 
     delivered, errors = split_errors(discussion_listings)
     threads, threads_seen, threads_cleaned = _stage(
         discussion_rows(delivered, "seq", fold_status=fold_status), clean_discussions, "discussions", f"{target}/clean_discussions"
     )
     errors.write.mode("errorifexists").parquet(f"{target}/fetch_errors")
-    stored = open_table(spark, current and f"{current}/discussions", DISCUSSIONS, DISCUSSION_KEYS, buckets)
+    stored = open_table(spark, current and f"{current}/discussions", DISCUSSIONS, DISCUSSION_KEYS, buckets, bucket_rows)
     known = settle(resolve_repo(threads, repos))
-    part = stored.read(stored.touched(known))
-    updated = upsert(part, known, list(DISCUSSION_KEYS), DISCUSSION_FIELDS, ["seq"], top_id=stored.top_id)
-    discussions = stored.replace(updated, f"{target}/discussions").read()
+    touched = stored.touched(known)
+    updated = upsert(stored.read(touched), known, list(DISCUSSION_KEYS), DISCUSSION_FIELDS, ["seq"], top_id=stored.top_id)
+    discussions = stored.replace(updated, touched, f"{target}/discussions").read()
 
     counts = {
         "models_seen": models_seen,

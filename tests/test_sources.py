@@ -208,8 +208,37 @@ def test_a_load_rewrites_only_the_buckets_it_touches(spark, tmp_path, folder, ro
     changed = [{"id": "m7", "tag": "t", "likes": 1000, "seq": 1}, {"id": "new", "tag": "t", "seq": 2}]
     loaded = load(landing.read_model_listings(spark, write_lines(tmp_path / "few.json", changed)), none, second, current=first)
     before, after = (open_table(spark, f"{f}/model_repos", MODEL_REPOS, ("model_id",), 1) for f in (first, second))
-    assert before.buckets == after.buckets == 16 and len(after.paths) == 16
-    assert sum(before.paths[b] != after.paths[b] for b in after.paths) in (1, 2)
+    assert len(before.buckets) == len(after.buckets) == 16
+    assert sum(before.buckets[b] != after.buckets[b] for b in after.buckets) in (1, 2)
     found = {r.model_id: (r.id, r.likes) for r in loaded.repos.collect()}
     old = {r.model_id: (r.id, r.likes) for r in before.read().collect()}
     assert found == old | {"m7": (old["m7"][0], 1000), "new": (201, 0)}
+
+
+def test_buckets_split_as_the_table_grows_and_others_keep_their_files(spark, tmp_path, folder):
+    none = landing.read_discussion_listings(spark, write_lines(tmp_path / "threads.json", []))
+    current, versions, want = None, [], {}
+    for load_number, keys in enumerate((range(40), range(40, 160), range(160, 400), [3, 500])):
+        lines = [{"id": f"m{i}", "tag": "t", "likes": load_number, "seq": i} for i in keys]
+        target = folder("run")
+        listings = landing.read_model_listings(spark, write_lines(tmp_path / f"{load_number}.json", lines))
+        load(listings, none, target, current=current, buckets=4, bucket_rows=30)
+        current = target
+        versions.append(open_table(spark, f"{target}/model_repos", MODEL_REPOS, ("model_id",), 1))
+        want |= {f"m{i}": load_number for i in keys}
+    assert len(versions[0].buckets) >= 4 and len(versions[2].buckets) >= 16
+    for version in versions:
+        # Labels cover every hash once: the buckets' shares of all hashes add up to one.
+        assert sum(2.0 ** (1 - label.bit_length()) for label in version.buckets) == 1
+        # Splits go by the average of the halves, so a bucket may hold somewhat more.
+        assert all(b.n_rows <= 60 for b in version.buckets.values())
+        assert sum(b.n_rows for b in version.buckets.values()) == version.read().count()
+    changed = {label for label, b in versions[3].buckets.items() if versions[2].buckets.get(label) != b}
+    assert len(versions[3].buckets.keys() & versions[2].buckets.keys()) >= len(versions[2].buckets) - 2 and len(changed) <= 4
+    found = versions[3].read().collect()
+    assert {r.model_id: r.likes for r in found} == want and sorted(r.id for r in found) == list(range(1, 402))
+
+
+def test_a_table_starts_with_a_power_of_two_of_buckets(spark):
+    with pytest.raises(ValueError, match="power of two"):
+        open_table(spark, None, MODEL_REPOS, ("model_id",), 12)
