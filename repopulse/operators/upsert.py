@@ -13,11 +13,11 @@ shuffled by key, and keys are unique on both sides, so no partition can be hot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from repopulse.operators.joins import resolve_repo
+from repopulse.operators.numbering import numbered
 from repopulse.operators.ranking import latest_per_key
 from repopulse.session import settle
 
@@ -25,39 +25,19 @@ MODEL_KEYS, DISCUSSION_KEYS = ("model_id",), ("repo_id", "hf_discussion_num")
 MODEL_FIELDS = ("tag", "author", "likes", "downloads", "pipeline_tag", "created_at", "last_modified")
 DISCUSSION_FIELDS = ("title", "author", "is_pull_request", "status", "created_at", "closed_at")
 
-# Hexadecimal digits of the key hash that choose the numbering group: 16 ** 3 groups.
-GROUP_DIGITS = 3
 
-
-def _key_hash(keys: list[str]) -> Column:
-    return F.md5(F.concat_ws("/", *(F.col(k).cast("string") for k in keys)))
-
-
-def with_new_ids(
-    rows: DataFrame, keys: list[str], current: DataFrame, top_id: int | None = None, digits: int = GROUP_DIGITS
-) -> DataFrame:
+def with_new_ids(rows: DataFrame, keys: list[str], current: DataFrame, top_id: int | None = None) -> DataFrame:
     """Number rows with unique keys from the greatest stored id on, without gaps.
 
-    The order is by key hash, so the numbers depend on the keys alone. The leading ``digits`` of the
-    hash split the rows into 16 ** digits even groups (at most 4 digits) that are numbered
-    independently; a running sum over the group sizes gives each group its start. Only keys and hashes
-    are sorted; no step sorts them in one task, and a lost task recomputes the same numbers.
-    ``top_id`` is the greatest stored id where it is known.
+    The order is by key hash, so the numbers depend on the keys alone. Rows are dealt into ranges of
+    the hash, sorted and written once; a number is a row's place in its range behind the counts of the
+    ranges before it, so nothing is joined back and no step sorts all rows in one task. ``top_id`` is
+    the greatest stored id where it is known.
     """
-    if not 1 <= digits <= 4:
-        raise ValueError("digits is 1 to 4")
-    hashed = rows.select(*keys, _key_hash(keys).alias("_hash")).withColumn("_group", F.substring("_hash", 1, digits))
-    within = F.row_number().over(Window.partitionBy("_group").orderBy("_hash", *keys))
-    sizes = hashed.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     top = F.lit(top_id) if top_id is not None else current.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    numbered = (
-        hashed.withColumn("_rank", within)
-        .join(F.broadcast(starts), "_group")  # at most 16 ** 4 rows by construction
-        .select(*keys, (top + F.col("_start") + F.col("_rank")).cast("long").alias("id"))
-    )
-    return rows.join(numbered, keys)
+    hashed = rows.withColumn("_hash", F.md5(F.concat_ws("/", *(F.col(k).cast("string") for k in keys))))
+    placed = numbered(hashed, "_number", "_hash", *keys)
+    return placed.withColumn("id", (top + F.col("_number") + 1).cast("long")).drop("_hash", "_number")
 
 
 def _checked_latest(batch: DataFrame, keys: list[str], sequence: list[str], current: DataFrame) -> DataFrame:
@@ -109,7 +89,7 @@ def upsert(
         *(F.when(F.col("_new").isNotNull(), F.col(f"_new.{f}")).otherwise(F.col(f)).alias(f) for f in fields),
     )
     stored_keys = current.select(*keys).join(latest.select(*keys), keys, "left_semi")
-    added = with_new_ids(settle(latest.join(stored_keys, keys, "left_anti")), keys, current, top_id)
+    added = with_new_ids(latest.join(stored_keys, keys, "left_anti"), keys, current, top_id)
     return kept.unionByName(added.select("id", *keys, *fields))
 
 
