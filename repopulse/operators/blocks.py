@@ -29,6 +29,7 @@ _RECORD = rf'((?:{_AT_START}{_QUOTED}|[^",\r\n]++|[",])++)'
 _CELL = rf",((?:{_QUOTED})?+[^,]*+)"
 _OPEN_QUOTE = rf'{_AT_START}"'
 
+_JSON_STRING = r'"(?:[^"\\]++|\\.)*+"'
 _JSON_OPTIONS = {"allowNonNumericNumbers": "true", "allowSingleQuotes": "false", "maxStringLen": "2147483647"}
 
 
@@ -51,9 +52,13 @@ def no_data(text: Column) -> Column:
 
 
 def valid_json(text: Column) -> Column:
-    """Exactly one JSON value of any size. Nesting beyond about a thousand levels counts as invalid."""
+    """Exactly one JSON value of any size. Nesting beyond about a thousand levels counts as invalid.
+
+    Spark's parser knows more infinities than ``Infinity`` and ``-Infinity``; the others are refused.
+    """
     one = F.from_json(F.concat(F.lit('{"c":['), text, F.lit("]}")), "c array<string>, _corrupt_record string", _JSON_OPTIONS)
-    return F.coalesce((F.size(one["c"]) == 1) & one["_corrupt_record"].isNull(), F.lit(False))
+    other_infinity = F.regexp_replace(text, _JSON_STRING, "").rlike(r"(?:\A|[^eE])\+|INF")
+    return F.coalesce((F.size(one["c"]) == 1) & one["_corrupt_record"].isNull() & ~other_infinity, F.lit(False))
 
 
 def outputs(df: DataFrame, text: str, *keys: str) -> DataFrame:
@@ -147,6 +152,7 @@ def table_cells(df: DataFrame, text: str, *keys: str) -> DataFrame:
     form the rows' index: they have positions below 0 and no column. Short rows are filled with nulls.
     """
     blocks = df.select(*keys, F.posexplode(table_blocks(F.col(text))).alias("block", "_raw"))
+    blocks = blocks.withColumn("_raw", F.regexp_replace("_raw", r"\A\x{FEFF}", ""))  # a byte order mark is no text
     # Each step goes through a generator. Its output is a plain column to the optimizer, which would
     # otherwise copy the parsing expression into every later use, once per row of the block.
     texts = _materialised(blocks, [*keys, "block"], _text=strip(F.col("_raw")))

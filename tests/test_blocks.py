@@ -146,3 +146,19 @@ def test_long_blocks_do_not_overflow(spark):
     assert cells.count() == 6000 and cells.filter("value IS NULL").count() == 0
     wide = TABLE.format(",".join(f'"c{i}"' for i in range(5000)) + "\n" + ",".join(f'"v {i}"' for i in range(5000)))
     assert blocks.table_cells(frame(spark, wide), "stdout", "n").count() == 5000
+
+
+def test_infinities_and_byte_order_marks(spark):
+    texts = ["Infinity", "[-Infinity, NaN]", "[+Infinity]", "[+INF]", "-INF", "INF", '["+INF", "a\\"+b"]', "1e+5", "[1E+2,-3]", "+1"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.ok for r in frame.select(blocks.valid_json(F.col("t")).alias("ok")).collect()] == [_loads(t) for t in texts]
+    marked = spark.createDataFrame([(1, TABLE.format("\ufeffa,b\n1,2\n"))], "k int, t string")
+    assert {r.column for r in blocks.table_cells(marked, "t", "k").collect()} == {"a", "b"}
+
+
+def _loads(text):
+    try:
+        json.loads(text)
+        return True
+    except ValueError:
+        return False
