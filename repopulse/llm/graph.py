@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from repopulse.session import settle
+from repopulse.session import settle, small_side
+
+#: Edges that a task contracts at a time.
+CHUNK = 100_000
 
 
 def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -15,22 +21,63 @@ def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return kept, (seen.get["n"], seen.get["s"])
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Stars in place of the edges of each chunk that a task reads: the same components, fewer and shorter chains."""
+
+    def stars(parent: dict[str, str]) -> pa.RecordBatch:
+        a, b = [], []
+        for node in parent:
+            root = node
+            while parent[root] != root:
+                root = parent[root]
+            if root != node:
+                a.append(node)
+                b.append(root)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[str, str] = {}
+
+        def find(node: str) -> str:
+            while (above := parent.setdefault(node, node)) != node:
+                parent[node] = node = parent[above]
+            return node
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                low, high = sorted((find(a), find(b)))
+                parent[high] = low
+            if len(parent) > CHUNK:
+                yield stars(parent)
+                parent.clear()
+        yield stars(parent)
+
+    return edges.mapInArrow(run, "a string, b string")
+
+
+def _lowest(edges: DataFrame) -> DataFrame:
+    """(a, m): the smallest b of every a, settled, so that the join with the edges is by broadcast or can be split."""
+    return small_side(edges.groupBy("a").agg(F.min("b").alias("m")), 200_000)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge (a, b) but the roots; root is the smallest node of its component.
 
-    Each round ties the larger neighbours of every node to the smallest one, then the smaller ones
-    likewise, until nothing changes; the number of rounds grows with the logarithm of the longest
-    chain. Rounds are written to the shared folder. Neighbours are reduced by a grouped minimum, so a
-    node with very many of them is one row per task; the joins are plain equi-joins.
+    Edges are contracted within the tasks that read them. Then each round ties the larger neighbours of
+    every node to the smallest one, then the smaller ones likewise, until nothing changes; the number of
+    rounds grows with the logarithm of the longest chain. Edges and grouped minima are written to the
+    shared folder before they are joined. A node with very many neighbours is thus one row per task of
+    the minima; its edges are joined by broadcast within the bound of ``small_side``, and beyond it by a
+    join of two written tables, which Spark can split. Nodes and edges may repeat; nulls are no nodes.
     """
-    found, before = _settled(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    larger_first = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
+    found, before = _settled(_contracted(larger_first))
     while before[0]:
         both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"))
-        larger = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
-        low = larger.groupBy("a").agg(F.min("b").alias("m"))
+        larger = settle(both.join(_lowest(both), "a").where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")))
+        low = _lowest(larger)
         smaller = larger.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        found, now = _settled(smaller.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        found, now = _settled(smaller.unionByName(low.select("a", F.col("m").alias("b"))))
         if now == before:
             break
         before = now

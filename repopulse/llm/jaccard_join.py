@@ -1,8 +1,8 @@
 """Near-duplicate classes by a chosen-path join on five-word shingles.
 
 1. Every text becomes its set of shingles. Texts with equal sets are copies: one set stands for them.
-2. Chosen paths. In each of several runs a set samples a few of its tokens, about two whatever its
-   size, and enters one bucket per token; the sampling hash is shared, so similar sets meet. Small
+2. Chosen paths. In each of several runs a set samples a few of its tokens, two on average at a
+   threshold of 0.8, and enters one bucket per token; the sampling hash is shared, so similar sets meet. Small
    buckets are compared in full, on short sketches, and give a spanning forest of the pairs that may
    be similar. A bucket that is too large (a passage that very many texts share) is compared in
    blocks. If that joined most of its members, the others are compared with those and go on as a
@@ -11,9 +11,11 @@
 3. Candidate components are made from the forests. Within them all pairs are compared exactly, in
    blocks, which gives each set's number of links and the links that form the final classes.
 
-A pair at the threshold misses one bucket level with probability 0.2 at most, a whole run of any
-depth with 0.36, and all ten runs with under 4 in 100,000; a class is only missed if this happens
-to all pairs that would connect it. Nothing is capped: no bucket, partner or component is cut short.
+Two sets at the threshold draw 1.6 tokens in common on average, whatever the threshold (``plan_of``).
+They miss one bucket level with probability 0.2 at most and a whole run of any depth with 0.36; runs
+are repeated until a pair is found with the target recall, ten times for a miss in under 4 in 100,000.
+A class is only missed if this happens to all pairs that would connect it. Nothing is capped: no
+bucket, partner or component is cut short.
 
 Groups are compared in tasks of bounded size, pairs are never emitted, and copies never expanded.
 Texts of one to four words are one shingle. Null and wordless texts are not similar to anything:
@@ -22,8 +24,10 @@ each is a class of its own. Ids may be null or repeat; copies of a row are membe
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +41,10 @@ from repopulse.session import settle, small_side
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
-RUNS = 10
-#: Tokens that a set samples on average in each run and level.
-SAMPLED = 2.0
+#: Tokens that two sets at the threshold draw in common in each run and level, on average.
+IN_COMMON = 1.6
+#: Chance that such a pair is found in some run.
+RECALL = 0.99996
 #: Sets whose sketches, and whose tokens, are compared with each other at a time.
 BLOCK = 2048
 EXACT_BLOCK = 512
@@ -60,7 +65,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_RUN_FACTORS = _mix(np.arange(1, RUNS + 1, dtype=np.uint64)) | np.uint64(1)
+class Plan(NamedTuple):
+    """Tokens that a set samples on average in each run and level, and the number of runs."""
+
+    drawn: float
+    runs: int
+
+
+def plan_of(threshold_percent: int, recall: float = RECALL) -> Plan:
+    """What a threshold and a target recall ask for.
+
+    Of two sets at Jaccard similarity t the larger one shares a part t of its tokens at least, so sets that draw
+    IN_COMMON / t tokens have IN_COMMON in common. A run loses a pair if the chain of shared buckets dies out: the
+    smallest root of q = exp(-IN_COMMON * (1 - q)). Runs are independent, so q ** runs is what all of them lose.
+    """
+    if not 0 < threshold_percent <= 100 or not 0 < recall < 1:
+        raise ValueError("the threshold is above 0 and at most 100 percent, the recall strictly between 0 and 1")
+    lost = 0.0
+    for _ in range(200):
+        lost = math.exp(-IN_COMMON * (1 - lost))
+    return Plan(100 * IN_COMMON / threshold_percent, math.ceil(math.log(1 - recall) / math.log(lost)))
+
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -85,18 +110,22 @@ def sketch_of(tokens: np.ndarray) -> bytes:
     return np.where(filled, 1 + _mix(first) % np.uint64(255), 0).astype(np.uint8).tobytes()
 
 
-def sampled(tokens: np.ndarray, path: np.uint64) -> np.ndarray:
+def _limit(drawn: float, n: int) -> np.uint64:
+    """The hash up to which a token of a set of n is drawn."""
+    return np.uint64(min(min(1.0, drawn / n) * 2.0**64, 2.0**64 - 4096))
+
+
+def sampled(tokens: np.ndarray, path: np.uint64, plan: Plan) -> np.ndarray:
     """Buckets of a set below ``path``: one for each token whose hash under the path is small for the set's size."""
     drawn = _mix(tokens ^ path)
-    share = min(1.0, SAMPLED / len(tokens))
-    return _mix(drawn[drawn <= np.uint64(min(share * 2.0**64, 2.0**64 - 4096))] + path)
+    return _mix(drawn[drawn <= _limit(plan.drawn, len(tokens))] + path)
 
 
-def root_buckets(tokens: np.ndarray) -> np.ndarray:
+def root_buckets(tokens: np.ndarray, plan: Plan) -> np.ndarray:
     """Buckets of all runs. The tokens are hashes already, so a multiplication draws anew for each run."""
-    limit = np.uint64(min(min(1.0, SAMPLED / len(tokens)) * 2.0**64, 2.0**64 - 4096))
+    limit = _limit(plan.drawn, len(tokens))
     found = []
-    for run, factor in enumerate(_RUN_FACTORS):
+    for run, factor in enumerate(_mix(np.arange(1, plan.runs + 1, dtype=np.uint64)) | np.uint64(1)):
         drawn = tokens * factor
         found.append(_mix(drawn[drawn <= limit] + np.uint64(run)))
     return np.concatenate(found)
@@ -105,7 +134,7 @@ def root_buckets(tokens: np.ndarray) -> np.ndarray:
 SETS = "doc_id bigint, text_key bigint, set_key string, n int, sketch binary, buckets array<bigint>"
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, plan: Plan) -> DataFrame:
     """The set of every document of (doc_id, text): its key, size, sketch and buckets; n is 0 without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +145,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 keys.append(xxhash.xxh3_128_hexdigest(tokens.tobytes()))
                 sizes.append(len(tokens))
                 sketches.append(sketch_of(tokens) if len(tokens) else b"")
-                buckets.append(root_buckets(tokens).view(np.int64) if len(tokens) else [])
+                buckets.append(root_buckets(tokens, plan).view(np.int64) if len(tokens) else [])
             columns = [
                 batch.column(0),
                 batch.column(1),
@@ -247,17 +276,14 @@ def _unfinished(large: DataFrame, roots: DataFrame) -> DataFrame:
         .groupBy("bucket")
         .agg(F.max(F.struct("_n", "root")).alias("_main"), F.first("size").alias("_size"))
         .where(F.col("_main._n") < F.col("_size"))
+        .select("bucket", F.col("_main.root").alias("_main"), F.col("_main._n").alias("_n"))
     )
-    return labelled.join(main, "bucket").select(
-        "bucket",
-        "size",
-        "set_key",
-        (F.col("root") != F.col("_main.root")).alias("outside"),
-        (F.col("size") - F.col("_main._n")).alias("outside_size"),
+    return labelled.join(small_side(main), "bucket").select(
+        "bucket", "size", "set_key", (F.col("root") != F.col("_main")).alias("outside"), (F.col("size") - F.col("_n")).alias("outside_size")
     )
 
 
-def _split(unfinished: DataFrame, texts: DataFrame) -> DataFrame:
+def _split(unfinished: DataFrame, texts: Callable[[DataFrame], DataFrame], plan: Plan) -> DataFrame:
     """(bucket, set_key) one level below the buckets of (bucket, set_key)."""
     of_set = unfinished.groupBy("set_key").agg(F.collect_set("bucket").alias("buckets"))
 
@@ -269,7 +295,7 @@ def _split(unfinished: DataFrame, texts: DataFrame) -> DataFrame:
                 if xxhash.xxh3_128_hexdigest(tokens.tobytes()) != key:
                     continue
                 for bucket in buckets:
-                    below = sampled(tokens, np.int64(bucket).astype(np.uint64)).view(np.int64).tolist()
+                    below = sampled(tokens, np.int64(bucket).astype(np.uint64), plan).view(np.int64).tolist()
                     found += below
                     keys += [key] * len(below)
             yield pa.RecordBatch.from_pydict({"bucket": pa.array(found, pa.int64()), "set_key": pa.array(keys, pa.string())})
@@ -277,44 +303,55 @@ def _split(unfinished: DataFrame, texts: DataFrame) -> DataFrame:
     return texts(of_set).select("set_key", "text", "buckets").mapInArrow(run, "bucket bigint, set_key string").distinct()
 
 
-def candidate_components(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
-    """(node, root), without the roots themselves, of the pairs that may be similar. ``texts`` adds a text to a frame of set keys."""
+def candidate_components(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: float, plan: Plan) -> DataFrame:
+    """(node, root), without the roots themselves, of the pairs that may be similar. ``texts`` adds a text to a frame of set keys.
+
+    Counts of buckets are written before entries are joined to them: a bucket that a third of all sets
+    share is joined by broadcast, or by a join of two written tables that Spark can split.
+    """
     sketches = sets.select("set_key", "sketch")
     entries = sets.select("set_key", F.explode("buckets").alias("bucket"))
     edges = None
     for level in range(LEVELS + 1):
-        sizes = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        sizes = small_side(entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), 500_000)
         shared = settle(entries.join(sizes, "bucket").select("bucket", "size", "set_key"))
         # Members of a large bucket are dealt into blocks.
         dealt = shared.withColumns({"place": F.xxhash64("bucket", _block_of(F.col("size"), BLOCK)), "side": F.lit(WITHIN)})
         found = settle(_link_groups(dealt.join(sketches, "set_key"), threshold))
         new = found.select("a", "b")
-        roots = components(new if edges is None else edges.unionByName(new))
-        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        edges = new if edges is None else edges.unionByName(new)
+        large = sizes.where(F.col("size") > BLOCK)
+        if large.isEmpty():
+            return components(edges)
+        tied = found.join(large, "bucket").groupBy("bucket", "size").agg(F.count("*").alias("tied"))
+        tied = small_side(tied.where(F.col("tied") * 2 >= F.col("size")).select("bucket", "size"))
         large = shared.where(F.col("size") > BLOCK)
-        tied = found.groupBy("bucket").agg(F.count("*").alias("tied"))
-        kinds = settle(
-            large.groupBy("bucket").agg(F.min("size").alias("size")).join(tied, "bucket", "left")
-            .select("bucket", (F.coalesce("tied", F.lit(0)) * 2 >= F.col("size")).alias("tied"))
-        )
-        if kinds.isEmpty():
-            return roots
         # Where hardly anything was joined, the bucket is split. Else one component may have most of it already.
-        open_members = large.join(kinds.where("not tied"), "bucket").select("bucket", "size", "set_key")
-        unfinished = settle(_unfinished(large.join(kinds.where("tied"), "bucket").drop("tied"), roots))
-        one_main = F.col("outside_size") * 2 <= F.col("size")
-        open_members = settle(open_members.unionByName(unfinished.where(~one_main).select("bucket", "size", "set_key")))
-        main = unfinished.where(one_main)
-        if open_members.isEmpty() and main.isEmpty():
-            return roots
+        open_members = large.join(tied, "bucket", "left_anti").select("bucket", "size", "set_key")
+        main = None
+        if not tied.isEmpty():
+            roots = components(edges)
+            edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            unfinished = settle(_unfinished(large.join(tied.select("bucket"), "bucket"), roots))
+            one_main = F.col("outside_size") * 2 <= F.col("size")
+            open_members = open_members.unionByName(unfinished.where(~one_main).select("bucket", "size", "set_key"))
+            main = unfinished.where(one_main)
+            main = None if main.isEmpty() else main
+        open_members = settle(open_members)
+        if main is None and open_members.isEmpty():
+            return components(edges)
         if level == LEVELS:
-            rest = open_members.unionByName(main.select("bucket", "size", "set_key")).join(sketches, "set_key")
-            return components(edges.unionByName(_link_groups(_block_pairs(rest, BLOCK), threshold).select("a", "b")))
-        # The others are compared with the main component, and stay together as a bucket.
-        across = settle(_link_groups(_across(main.join(sketches, "set_key"), BLOCK), threshold))
-        edges = edges.unionByName(across.select("a", "b"))
-        rest = main.where("outside").select(F.xxhash64(F.lit("outside"), "bucket").alias("bucket"), "set_key")
-        entries = settle(rest.unionByName(_split(open_members.select("bucket", "set_key"), texts)))
+            rest = open_members if main is None else open_members.unionByName(main.select("bucket", "size", "set_key"))
+            pairs = _link_groups(_block_pairs(rest.join(sketches, "set_key"), BLOCK), threshold)
+            return components(edges.unionByName(pairs.select("a", "b")))
+        entries = _split(open_members.select("bucket", "set_key"), texts, plan)
+        if main is not None:
+            # The others are compared with the main component, and stay together as a bucket.
+            across = settle(_link_groups(_across(main.join(sketches, "set_key"), BLOCK), threshold))
+            edges = edges.unionByName(across.select("a", "b"))
+            rest = main.where("outside").select(F.xxhash64(F.lit("outside"), "bucket").alias("bucket"), "set_key")
+            entries = rest.unionByName(entries)
+        entries = settle(entries)
 
 
 def _exact_groups(members: DataFrame, threshold_percent: int) -> DataFrame:
@@ -388,8 +425,9 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 80, doc_id: str =
     root names the class, null without words; class_id is the smallest doc_id of the class; n_links counts the other sets at or above the
     threshold, n_copies the documents with the same set. text_key is a hash of the text.
     """
+    plan = plan_of(threshold_percent)
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    every = settle(shingle_sets(plain))
+    every = settle(shingle_sets(plain, plan))
     worded = every.where("n > 0")
     # One document for each set; the rest of its row follows from the set.
     sets = settle(
@@ -411,24 +449,27 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 80, doc_id: str =
         both = source.alias("s").join(wanted.alias("w"), F.expr("s._id <=> w._id and s._tk = w._tk"))
         return both.select("w.*", "s.text")
 
-    candidates = with_roots(candidate_components(sets, texts, threshold_percent / 100))
-    sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
+    candidates = with_roots(candidate_components(sets, texts, threshold_percent / 100, plan))
+    sizes = small_side(candidates.groupBy("root").agg(F.count("*").alias("size")), 500_000)
     members = settle(candidates.join(sizes, "root").select(F.col("root").alias("bucket"), "size", F.col("node").alias("set_key")))
     checked = settle(_exact_groups(_block_pairs(_with_tokens(texts(members)), EXACT_BLOCK), threshold_percent))
     links = checked.groupBy(F.col("a").alias("set_key")).agg(F.sum("links").alias("n_links"))
     # A component of one block has its classes already; the links of several blocks are put together.
     single = checked.where("whole and a != b").select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = single.unionByName(components(checked.where("not whole").select("a", "b")))
-    of_set = (
+    roots = settle(roots)
+    joined = (
         sets.select("set_key", "n_copies", F.col("_one.doc_id").alias("_least"))
         .join(links, "set_key", "left")
-        .join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
-        .withColumn("root", F.coalesce("root", "set_key"))
+        .join(with_roots(roots).withColumnRenamed("node", "set_key"), "set_key", "left")
+    )
+    joined = settle(joined)
+    # Classes of several sets; the others are their own. What is joined is written out, so that Spark can split a hot class or set.
+    least = small_side(joined.where("root is not null").groupBy("root").agg(F.min("_least").alias("_class")), 500_000)
+    known = joined.join(least, "root", "left")
+    of_set = settle(
+        known.select("set_key", "n_copies", "n_links", F.coalesce("root", "set_key").alias("root"), F.coalesce("_class", "_least").alias("class_id"))
     )
-    of_set = settle(of_set)
-    classes = of_set.groupBy("root").agg(F.min("_least").alias("class_id"))
-    # Written out, so that the join below reads two plain tables and Spark can split a set with very many copies.
-    of_set = settle(of_set.join(classes, "root"))
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     return (
         worded.select("doc_id", "text_key", "set_key")

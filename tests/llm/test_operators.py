@@ -358,7 +358,7 @@ def test_classifier_on_odd_tables(spark):
 # --- Jaccard join --------------------------------------------------------------------------------
 
 
-def plain_classes(texts):
+def plain_classes(texts, percent=80):
     sets = [frozenset(jaccard_join.shingle_set(t).tolist()) for t in texts]
     distinct = sorted({s for s in sets if s}, key=sorted)
     links, root = collections.Counter(), {s: s for s in distinct}
@@ -370,7 +370,7 @@ def plain_classes(texts):
 
     for i, a in enumerate(distinct):
         for b in distinct[i + 1 :]:
-            if 5 * len(a & b) >= 4 * len(a | b):
+            if 100 * len(a & b) >= percent * len(a | b):
                 links[a] += 1
                 links[b] += 1
                 root[find(a)] = find(b)
@@ -402,6 +402,22 @@ def test_classes_equal_all_pairs(spark):
     assert got == plain_classes(texts)
 
 
+@pytest.mark.parametrize("percent", [50, 95])
+def test_classes_equal_all_pairs_at_other_thresholds(spark, percent):
+    texts = near_texts()
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in jaccard_join.near_duplicates(docs_of(spark, texts), percent).collect()}
+    assert got == plain_classes(texts, percent)
+
+
+def test_runs_follow_threshold_and_recall():
+    at_80, at_50 = jaccard_join.plan_of(80), jaccard_join.plan_of(50)
+    assert at_80 == (pytest.approx(2.0), 10) and at_50 == (pytest.approx(3.2), 10)
+    assert jaccard_join.plan_of(80, 0.9).runs < 10 < jaccard_join.plan_of(80, 0.9999999).runs
+    for percent, recall in ((0, 0.9), (101, 0.9), (80, 1.0)):
+        with pytest.raises(ValueError):
+            jaccard_join.plan_of(percent, recall)
+
+
 def test_large_buckets_are_split_and_compared_in_blocks(spark, monkeypatch):
     texts = near_texts()
     for levels in (0, 2):
@@ -425,8 +441,11 @@ def test_one_of_each_class_stays(spark):
 
 def test_components(spark):
     edges = [(f"n{k:03}", f"n{k + 1:03}") for k in range(60) if k % 20 != 19] + [("a", "a"), ("b", "a"), ("a", "b")]
-    got = {r.node: r.root for r in graph.with_roots(graph.components(spark.createDataFrame(edges, "a string, b string"))).collect()}
-    assert got == {f"n{k:03}": f"n{k // 20 * 20:03}" for k in range(60)} | {"a": "a", "b": "a"}
+    # One task contracts all edges; scattered ones need rounds.
+    frame = spark.createDataFrame(edges, "a string, b string")
+    for tasks in (1, 16):
+        got = {r.node: r.root for r in graph.with_roots(graph.components(frame.repartition(tasks))).collect()}
+        assert got == {f"n{k:03}": f"n{k // 20 * 20:03}" for k in range(60)} | {"a": "a", "b": "a"}
     assert graph.components(spark.createDataFrame([], "a string, b string")).collect() == []
 
 
