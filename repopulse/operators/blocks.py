@@ -124,23 +124,80 @@ def _readable(text: Column) -> Column:
     return F.when(_closed(text), _let(_records(text), _fits)).otherwise(False)
 
 
+#: A name that looks like a repeated one: the name before it, and a number without leading zeros.
+_NUMBERED = r"(?s)\A(.*)\.([1-9][0-9]{0,8})\z"
+
+
+def _runs(rows: Column) -> Column:
+    """A sorted array of structs, cut where the field ``name`` changes."""
+
+    def cut(rows: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(rows) - 1), lambda i: (i == 0) | (F.get(rows, i)["name"] != F.get(rows, i - 1)["name"])
+        )
+        return _let(
+            starts,
+            lambda s: F.transform(s, lambda at, j: F.slice(rows, at + 1, F.coalesce(F.get(s, j + 1), F.size(rows)) - at)),
+        )
+
+    return _let(rows, cut)
+
+
+def _numbered(run: Column) -> Column:
+    """(position, name) of all columns of one name, from the numbers that are taken and the columns in order.
+
+    The m-th repetition gets the m-th number that is not taken. If the i-th taken number (from 0) is s, then s - i
+    numbers up to s are free, so it comes before the repetitions m >= s - i: sorted together, the place is the number.
+    """
+    taken = F.transform(F.filter(run, lambda r: r["kind"] == 0), lambda r, i: F.struct((r["number"] - i).alias("at"), F.lit(0), F.lit(-1).alias("position")))
+
+    def name_all(columns: Column) -> Column:
+        repeated = F.transform(
+            F.slice(columns, F.lit(2), F.size(columns)), lambda c, m: F.struct((m + 1).alias("at"), F.lit(1), c["position"].alias("position"))
+        )
+        name = F.get(columns, F.lit(0))["name"]
+        placed = F.transform(
+            F.sort_array(F.concat(taken, repeated)),
+            lambda r, place: F.struct(r["position"].alias("position"), F.concat(name, F.lit("."), (place + 1).cast("string")).alias("name")),
+        )
+        first = F.transform(F.slice(columns, 1, 1), lambda c: F.struct(c["position"].alias("position"), c["name"].alias("name")))
+        return F.concat(first, F.filter(placed, lambda p: p["position"] >= 0))
+
+    return _let(F.filter(run, lambda r: r["kind"] == 1), name_all)
+
+
 def _distinct_names(header: Column) -> Column:
-    """Header names made distinct: empty ones get their place, repeated ones a number that is still free."""
-    named = F.transform(header, lambda name, i: F.when(name == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(name))
-
-    def add(raw: Column):
-        def step(names: Column, name: Column) -> Column:
-            free = F.filter(
-                F.transform(F.sequence(F.lit(1), F.size(raw)), lambda k: F.concat(name, F.lit("."), k.cast("string"))),
-                lambda n: ~F.array_contains(names, n) & ~F.array_contains(raw, n),
-            )
-            return F.concat(names, F.array(F.when(F.array_contains(names, name), free[0]).otherwise(name)))
-
-        return F.when(F.size(F.array_distinct(raw)) == F.size(raw), raw).otherwise(
-            F.aggregate(raw, F.array().cast("array<string>"), step)
+    """Header names made distinct: empty ones get their place, repeated ones a number that is still free.
+
+    Columns that were named in the header keep their names before those that were not. Names are sorted with the
+    numbers that the header itself takes, so the cost is that of two sorts, however often names repeat.
+    """
+
+    def entries(raw: Column) -> Column:
+        columns = F.transform(
+            raw,
+            lambda name, i: F.struct(
+                name.alias("name"), F.lit(1).alias("kind"), (F.get(header, i) == "").cast("int").alias("number"), i.alias("position")
+            ),
+        )
+        taken = F.transform(
+            F.filter(F.array_distinct(raw), lambda name: name.rlike(_NUMBERED)),
+            lambda name: F.struct(
+                F.regexp_extract(name, _NUMBERED, 1).alias("name"),
+                F.lit(0).alias("kind"),
+                F.regexp_extract(name, _NUMBERED, 2).cast("int").alias("number"),
+                F.lit(-1).alias("position"),
+            ),
         )
+        return F.sort_array(F.concat(taken, columns))
 
-    return _let(named, add)
+    def distinct(raw: Column) -> Column:
+        named = F.sort_array(F.flatten(F.transform(_runs(entries(raw)), _numbered)))
+        return F.when(F.size(F.array_distinct(raw)) == F.size(raw), raw).otherwise(F.transform(named, lambda c: c["name"]))
+
+    return _let(
+        F.transform(header, lambda name, i: F.when(name == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(name)), distinct
+    )
 
 
 def table_cells(df: DataFrame, text: str, *keys: str) -> DataFrame:
@@ -157,10 +214,13 @@ def table_cells(df: DataFrame, text: str, *keys: str) -> DataFrame:
     # otherwise copy the parsing expression into every later use, once per row of the block.
     texts = _materialised(blocks, [*keys, "block"], _text=strip(F.col("_raw")))
     parsed = _materialised(texts.filter(_closed(F.col("_text"))), [*keys, "block"], _rows=_records(F.col("_text")))
+    headed = _materialised(
+        parsed.filter(_fits(F.col("_rows"))), [*keys, "block"], _names=F.get("_rows", F.lit(0)), _rows=F.col("_rows")
+    )
     shaped = _materialised(
-        parsed.filter(_fits(F.col("_rows"))),
+        headed,
         [*keys, "block"],
-        _header=_distinct_names(F.get("_rows", F.lit(0))),
+        _header=_distinct_names(F.col("_names")),
         _data=F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0))),
         _skip=_leading(F.col("_rows")),
     )

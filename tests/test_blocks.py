@@ -4,6 +4,7 @@ import io
 import json
 import random
 import re
+import time
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -162,3 +163,30 @@ def _loads(text):
         return True
     except ValueError:
         return False
+
+
+def test_header_names_equal_pandas(spark, rows):
+    draw = random.Random(5)
+    pool = ["a", "a", "b", "", "", "a.1", "a.2", "a.3", "a.1.1", "a.01", "a.0", ".1", "b.2", "Unnamed: 1", "Unnamed: 2.1", "a.99999999999", "é.1", "é"]
+    headers = [[draw.choice(pool) for _ in range(draw.randint(2, 14))] for _ in range(300)]
+    headers += [["", "Unnamed: 0"], ["a.1", "a", "a"], ["a", "a.2", "a", "a", "a"], ["Unnamed: 1", ""]]
+    texts = [TABLE.format(",".join(h) + "\n" + ",".join("x" * len(h))) for h in headers]
+    cells = blocks.table_cells(frame(spark, *texts), "stdout", "n").select("n", "position", "column").collect()
+    got = {}
+    for n, position, column in cells:
+        got.setdefault(n, {})[position] = column
+    for i, header in enumerate(headers):
+        expected = list(pd.read_csv(io.StringIO(",".join(header) + "\n" + ",".join("x" * len(header))), dtype=str).columns)
+        assert [got[i][p] for p in sorted(got[i])] == expected, header
+
+
+def test_header_of_many_equal_names(spark):
+    width = 20_000
+    header = ["a"] * width + [f"a.{2 * k}" for k in range(1, width)]
+    text = TABLE.format(",".join(header) + "\n" + ",".join(["1"] * len(header)))
+    start = time.perf_counter()
+    found = blocks.table_cells(frame(spark, text), "stdout", "n").select("position", "column").collect()
+    assert time.perf_counter() - start < 30
+    names = [column for _, column in sorted(found)]
+    free = [f"a.{k}" for k in range(1, 2 * width) if k % 2 or k >= 2 * width]
+    assert names[:width] == ["a", *free[: width - 1]] and names[width:] == header[width:]
