@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from repopulse.checks.tables import event_discussions, main_discussions, main_repos, sparse_repos
-from repopulse.operators import metrics, ranking, upsert, windows
+from repopulse.operators import metrics, quality, ranking, upsert, windows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -116,3 +116,12 @@ def test_upsert_reads_the_batch_once_and_the_table_twice(spark, tmp_path):
 def test_weekday_trend_has_no_window(spark):
     text = plan(entry.all_queries.RUNS["j02_weekday_trend_created"](spark, FOLDER))
     assert "Window" not in text
+
+
+def test_checks_shuffle_nothing_but_the_keys_of_the_duplicates(spark):
+    frame = quality.table_checks(main_repos(spark, FOLDER), main_discussions(spark, FOLDER))
+    text = final_plan(frame)
+    shuffled = [line for line in text.splitlines() if "Exchange hashpartitioning(repo_id" in line]
+    partial = [line for line in text.splitlines() if "HashAggregate(keys=[repo_id" in line and "partial_" in line]
+    assert len(shuffled) == 1 and len(partial) == 1
+    assert re.search(r"functions=\[partial_count\(1\)\], output=\[repo_id#\d+L, hf_discussion_num#\d+L, count#\d+L\]", partial[0])
