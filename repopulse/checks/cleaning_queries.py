@@ -327,19 +327,22 @@ def a13(spark: SparkSession, folder: str) -> DataFrame:
 BACKENDS = ("local", "container", "hosted", "cloud")
 
 
-def _landed_runs(spark: SparkSession, folder: str) -> DataFrame:
+def _reports(spark: SparkSession, folder: str) -> DataFrame:
     runs = ", ".join(
         f"named_struct('backend', '{b}', 'label', upper('{b}'), 'ok', event_type <> 'error' OR {i} = 0,"
         f" 'elapsed_seconds', value * {i + 1}, 'stdout_len', length(props), 'stderr_len', 0L,"
         f" 'notes', event_type, 'stderr_preview', '')"
         for i, b in enumerate(BACKENDS)
     )
-    reports = table(spark, folder, "events").selectExpr(
+    return table(spark, folder, "events").selectExpr(
         "array(named_struct('prompt', 'event ' || event_id, 'code_generation_seconds', value, 'code_chars',"
         f" length(props), 'runs', array({runs}))) AS prompts"
     )
+
+
+def _landed_runs(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/runs"
-    reports.write.json(path)
+    _reports(spark, folder).write.json(path)
     return run_log.read_run_log(spark, path, multi_line=False)
 
 
@@ -361,6 +364,17 @@ def a14(spark: SparkSession, folder: str) -> DataFrame:
     return run_log.flatten_runs(_landed_runs(spark, folder))
 
 
+@query("a14_indented_reports", RUNS + "SELECT * FROM runs")
+def a14_indented(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports with an indentation, cut by record as they are read."""
+    record = F.to_json(F.get("prompts", F.lit(0)))
+    inner = F.substring(record, F.lit(2), F.length(record) - 2)
+    text = F.concat(F.lit('{\n  "prompts": [\n    {\n      '), inner, F.lit("\n    }\n  ]\n}"))
+    path = f"{shared_folder(spark)}/reports"
+    _reports(spark, folder).select(text).write.text(path)
+    return run_log.runs_of(run_log.read_prompts(spark, path))
+
+
 @query("d15_backend_summary", RUNS + "SELECT backend, count(*) AS runs, count(*) FILTER (WHERE ok) AS ok_runs,"
        " count(*) FILTER (WHERE ok) / count(*) AS ok_rate, round(avg(elapsed_seconds), 3) AS mean_elapsed_seconds"
        " FROM runs GROUP BY backend")

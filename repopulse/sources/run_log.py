@@ -10,13 +10,41 @@ from repopulse.schemas import RUN_LOG
 
 
 def read_run_log(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:
-    """Reports as written, one per file; with ``multi_line=False`` one per line, which splits."""
+    """Reports as written, one per file; with ``multi_line=False`` one per line, which splits. See ``read_prompts`` for long ones."""
     return spark.read.schema(RUN_LOG).option("multiLine", multi_line).json(list(paths))
 
 
+def read_prompts(spark: SparkSession, *paths: str, indent: int = 2) -> DataFrame:
+    """Prompts of reports that were written with an indentation, one row each.
+
+    Files are cut before every record of the list ``prompts``, which begins with a line of its own: no text in
+    JSON holds a line break, and what lies deeper is indented further. So a report of any length is read by as many
+    tasks as its bytes ask for, and files may hold one report after another. A report of another layout,
+    a record that does not end and one that is no JSON fail the job; use ``read_run_log`` for other layouts.
+    """
+    margin = "\n" + " " * (2 * indent)
+    text = spark.read.option("lineSep", margin + "{\n").text(list(paths)).select(F.col("value").alias("_text"))
+    # What comes before the first record of a file starts at the margin; records do not.
+    head = F.col("_text").startswith("{")
+    empty = r'\A(\{\s*"prompts":\s*\[\s*\]\s*\}\s*)*(\{\s*"prompts":\s*\[)?\s*\z'
+    record = F.concat(F.lit("{"), F.substring_index("_text", margin + "}", 1), F.lit("\n}"))
+    checked = (
+        F.when(head & F.col("_text").rlike(empty), F.lit(None))
+        .when(~head & F.contains("_text", F.lit(margin + "}")), record)
+        .otherwise(F.raise_error(F.concat(F.lit("not a record of an indented report: "), F.substring("_text", 1, 80))))
+    )
+    prompt = RUN_LOG["prompts"].dataType.elementType
+    parsed = text.select(F.from_json(checked, prompt, {"mode": "FAILFAST"}).alias("_prompt"))
+    return parsed.where(F.col("_prompt").isNotNull()).select("_prompt.*")
+
+
 def flatten_runs(log: DataFrame) -> DataFrame:
     """One row per run, with the values of its prompt."""
-    prompts = log.select(F.inline("prompts"))
+    return runs_of(log.select(F.inline("prompts")))
+
+
+def runs_of(prompts: DataFrame) -> DataFrame:
+    """One row per run of every prompt, with the values of the prompt."""
     return prompts.select("prompt", "code_generation_seconds", "code_chars", F.inline("runs"))
 
 

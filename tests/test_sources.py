@@ -189,6 +189,41 @@ def test_run_log_with_one_report_per_file(spark, tmp_path, rows):
     assert rows(run_log.backend_summary(runs)) == [("cloud", 2, 1, 0.5, 7.0), ("local", 2, 2, 1.0, 0.375)]
 
 
+def test_long_reports_are_cut_by_record(spark, tmp_path, rows):
+    def prompt(i):
+        runs = [{"backend": b, "label": '}\n    {\n"', "ok": i % 3 > 0, "elapsed_seconds": i / 8, "notes": "é{}]"} for b in ("x", "y")]
+        return {"prompt": f"p{i}\n    }}", "code_generation_seconds": 0.5, "code_chars": i, "runs": runs[: i % 3]}
+
+    folder = tmp_path / "log"
+    folder.mkdir()
+    (folder / "long.json").write_text(json.dumps({"prompts": [prompt(i) for i in range(2000)]}, indent=2))
+    (folder / "none.json").write_text(json.dumps({"prompts": []}, indent=2))
+    (folder / "empty.json").write_text("")
+    several = [{"prompts": [prompt(5000), prompt(5001)]}, {"prompts": []}, {"prompts": [prompt(5002)]}]
+    (folder / "several.json").write_text("\n".join(json.dumps(r, indent=2) for r in several))
+    expected = [prompt(i) for i in [*range(2000), 5000, 5001, 5002]]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20011b")
+    try:
+        found = run_log.read_prompts(spark, str(folder))
+        assert found.rdd.getNumPartitions() > 10
+        assert rows(found, "prompt", "code_chars") == sorted(((p["prompt"], p["code_chars"]) for p in expected), key=repr)
+        runs = rows(run_log.runs_of(found), "prompt", "backend", "label", "ok", "elapsed_seconds", "notes")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert runs == sorted(
+        ((p["prompt"], r["backend"], r["label"], r["ok"], r["elapsed_seconds"], r["notes"]) for p in expected for r in p["runs"]), key=repr
+    )
+
+
+@pytest.mark.parametrize("text", [json.dumps({"prompts": [{"prompt": "p"}]}), '{\n  "prompts": [\n    {\n      "prompt": "p"', '{\n  "prompts": [\n    {\n      "prompt": p\n    }\n  ]\n}'])
+def test_reports_of_another_layout_are_refused(spark, tmp_path, text):
+    path = tmp_path / "other.json"
+    path.write_text(text)
+    with pytest.raises(Exception, match="not a record|MALFORMED"):
+        run_log.read_prompts(spark, str(path)).collect()
+
+
 def test_shared_folder_is_below_the_configured_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(base) and shared_folder(spark) != shared_folder(spark)
