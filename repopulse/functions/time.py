@@ -37,8 +37,9 @@ def week_start(timestamp: Column) -> Column:
     return F.date_sub(day, F.weekday(day))
 
 
-# The common extended shape. Its zone keeps to what any clock on earth shows; wider ones take the general form.
-_COMMON = r"\A(?!0000)\d{4}-\d{2}-\d{2}[T ](?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{1,6})?(?:Z|[+-](?:0\d|1[0-4]):?[0-5]\d)?\z"
+# The common extended shape. Its zone keeps to what any clock on earth shows; wider ones take the general form, and so
+# do the two days from which a zone can lead out of the years 1 to 9999.
+_COMMON = r"\A(?!0000|0001-01-01|9999-12-31)\d{4}-\d{2}-\d{2}[T ](?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{1,6})?(?:Z|[+-](?:0\d|1[0-4]):?[0-5]\d)?\z"
 
 
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -105,9 +106,9 @@ def parse_iso(text: Column) -> Column:
     be any shift below a day. A value without a zone is a UTC value. Digits of a fraction beyond the
     sixth are cut off. A time that its zone moves out of the years 1 to 9999 is null.
 
-    The common extended shape is recognised first and read by plain expressions; only other texts meet
-    the pattern of all forms. Patterns check the form, because Spark's own parser also takes a lone
+    The common extended shape is recognised first and read by plain expressions, outside any lambda, which
+    would have them interpreted; only other texts meet the pattern of all forms. Patterns check the form, because Spark's own parser also takes a lone
     year, a lone clock time or one-digit parts.
     """
-    found = F.when(text.rlike(_COMMON), _common(text)).otherwise(_general(text))
-    return _bound(found, lambda t: F.when(F.year(t).between(1, 9999), t))
+    general = _bound(_general(text), lambda t: F.when(F.year(t).between(1, 9999), t))
+    return F.when(text.rlike(_COMMON), _common(text)).otherwise(general)
