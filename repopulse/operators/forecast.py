@@ -154,9 +154,10 @@ def additive_forecast(series: DataFrame, periods: int = CREATED_DAYS) -> DataFra
 def weekday_trend_forecast(repos: DataFrame, daily: DataFrame, periods: int = CREATED_DAYS) -> DataFrame:
     """Straight line by least squares plus the mean residual of each weekday, for two points or more.
 
-    Days are counted from a fixed date and shifted to each repository's first day afterwards, so all
-    sums come from one grouped aggregate: a row per repository, joined back to its days. Sums of
-    whole numbers are exact, whatever day they are counted from.
+    Days are counted from a fixed date and shifted to each repository's first day afterwards, so the
+    sums and the days themselves come from one grouped aggregate, a row per repository: history and
+    fit share a shuffle and nothing is joined back. The days of a repository are at most one entry
+    per calendar day. Sums of whole numbers are exact, whatever day they are counted from.
     """
     timed = daily.select(
         "repo_id",
@@ -171,7 +172,10 @@ def weekday_trend_forecast(repos: DataFrame, daily: DataFrame, periods: int = CR
         on_day = F.col("w") == i
         sums |= {f"{name}{i}": F.when(on_day, c).otherwise(0.0) for name, c in (("n", one), ("sa", a), ("sy", y))}
     summed = timed.groupBy("repo_id").agg(
-        F.min("day").alias("first"), F.max("day").alias("last"), *(F.sum(c).alias(name) for name, c in sums.items())
+        F.min("day").alias("first"),
+        F.max("day").alias("last"),
+        F.collect_list(F.struct("day", "y")).alias("points"),
+        *(F.sum(c).alias(name) for name, c in sums.items()),
     )
     zero = F.unix_date("first").cast("double")
     n, sa, sy = F.col("n"), F.col("sa"), F.col("sy")
@@ -193,7 +197,7 @@ def weekday_trend_forecast(repos: DataFrame, daily: DataFrame, periods: int = CR
 
     names = repos.select(F.col("id").alias("repo_id"), "model_id")
     fitted = fitted.select(
-        "repo_id", "first", "last", "slope", "base", F.array(*(residual(i) for i in range(7))).alias("season")
+        "repo_id", "first", "last", "points", "slope", "base", F.array(*(residual(i) for i in range(7))).alias("season")
     ).join(names, "repo_id")
 
     def row(kind: str, day: Column, step: Column, value: Column) -> Column:
@@ -204,11 +208,15 @@ def weekday_trend_forecast(repos: DataFrame, daily: DataFrame, periods: int = CR
     def at(day: Column) -> Column:
         return F.col("base") + F.col("slope") * F.datediff(day, "first") + F.element_at("season", F.weekday(day) + 1)
 
-    own = F.array(row("actual", F.col("day"), F.lit(None), y), row("forecast", F.col("day"), F.lit(0), at(F.col("day"))))
-    past = timed.select("repo_id", "day", "y").join(fitted, "repo_id").select("model_id", F.inline(own))
+    past = F.flatten(
+        F.transform(
+            "points",
+            lambda p: F.array(row("actual", p["day"], F.lit(None), p["y"]), row("forecast", p["day"], F.lit(0), at(p["day"]))),
+        )
+    )
     ahead = [F.date_add("last", h) for h in range(1, periods + 1)]
     horizon = F.array(*(row("forecast", day, F.lit(h), at(day)) for h, day in enumerate(ahead, 1)))
-    return past.unionByName(fitted.select("model_id", F.inline(horizon)))
+    return fitted.select("model_id", F.inline(F.concat(past, horizon)))
 
 
 def fit_report(fits: DataFrame) -> DataFrame:

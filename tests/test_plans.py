@@ -113,9 +113,10 @@ def test_upsert_reads_the_batch_once_and_the_table_twice(spark, tmp_path):
     assert text.count(f"Location: InMemoryFileIndex(1 paths)[file:{stored}") <= 2 and str(batch) not in text
 
 
-def test_weekday_trend_has_no_window(spark):
+def test_weekday_trend_folds_history_and_fit_in_one_aggregate(spark):
     text = plan(entry.all_queries.RUNS["j02_weekday_trend_created"](spark, FOLDER))
-    assert "Window" not in text
+    assert "Window" not in text and "Union" not in text
+    assert text.count("lineitem.parquet") == 1
 
 
 def test_checks_shuffle_nothing_but_the_keys_of_the_duplicates(spark):
