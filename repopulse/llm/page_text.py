@@ -6,7 +6,9 @@ terminals. Neighbours in page order and neighbours in the document tree are join
 heavier the more of their ancestors they share. The minimum cut separates content from boilerplate.
 
 Pages are independent: one scan, no shuffle. A null or empty page has an empty text. A page of any
-length is taken whole. Broken markup never fails: unclosed and unopened tags are tolerated.
+length is taken whole, by one task, in time about proportional to its length: an element sums up what
+the elements around it say, so a block only looks at its innermost one, and the cut folds chains.
+Broken markup never fails: unclosed and unopened tags are tolerated.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ CLOSES = {
     "option": {"option"},
 } | {tag: {"p"} for tag in BLOCKS - {"p", "li", "dt", "dd", "tr", "td", "th", "option", "body", "html"}}
 _SCOPE = frozenset("table ul ol dl div article section main nav aside form header footer body html blockquote select".split())
+_TURNS = _SCOPE.union(*CLOSES.values())
 
 #: Leanings of the classifier, in capacity units: positive towards content.
 BOILERPLATE_TAGS = {"nav": -60, "footer": -60, "aside": -60, "form": -60, "menu": -60, "button": -60, "select": -60,
@@ -69,22 +72,52 @@ _SPACE = re.compile(r"\s+")
 SMOOTH_MOST = 6
 
 
+class _Element:
+    """An open element, with what it and the elements around it say together."""
+
+    __slots__ = (
+        "best", "boilerplate", "content", "depth", "forms", "heading", "in_article", "in_link", "layout", "minus", "number", "parent", "tag", "turn",
+    )
+
+    def __init__(self, tag: str, number: int, named: int, parent: _Element | None) -> None:
+        self.tag, self.number, self.parent = tag, number, parent
+        if parent is None:
+            self.depth = self.boilerplate = self.forms = self.best = 0
+            self.minus = self.layout = self.content = self.heading = self.in_article = self.in_link = False
+            self.turn: _Element | None = None
+            return
+        article = tag in ("article", "main")
+        if tag in ("html", "body"):
+            named = 0
+        self.depth = parent.depth + 1
+        # Names: boilerplate; words of a layout, from the innermost article on; content.
+        self.minus = parent.minus or named == -1
+        self.layout = named == -2 or (parent.layout and not article)
+        self.content = parent.content or named == 1
+        # Tags: an article's own head is no boilerplate, and neither is a form around the whole page.
+        own = BOILERPLATE_TAGS.get(tag, 0) if tag != "form" and not (tag == "header" and parent.in_article) else 0
+        self.boilerplate = parent.boilerplate + own
+        self.forms = (0 if article else parent.forms) + (tag == "form")
+        self.best = max(parent.best, CONTENT_TAGS.get(tag, 0))
+        self.heading = parent.heading or tag in HEADINGS
+        self.in_article = parent.in_article or article
+        self.in_link = parent.in_link or tag == "a"
+        #: The nearest element around, or this one, that an opening tag may close or that shields those above it.
+        self.turn = self if tag in _TURNS else parent.turn
+
+    @property
+    def named(self) -> int:
+        """What a block in it is called: -1 boilerplate, 1 content, else 0."""
+        return -1 if self.minus or self.layout else int(self.content)
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]
-    tags: tuple[str, ...]
-    named: int
+    inner: _Element
     linked: float
 
 
-class _Element:
-    __slots__ = ("named", "number", "tag")
-
-    def __init__(self, tag: str, number: int, named: int) -> None:
-        self.tag, self.number, self.named = tag, number, named
-
-
 def _named(attrs: list[tuple[str, str | None]]) -> int:
     """-1 if an element calls itself boilerplate, -2 if by words of a layout only, 1 if content, else 0."""
     found = 0
@@ -104,20 +137,14 @@ def _named(attrs: list[tuple[str, str | None]]) -> int:
     return found
 
 
-def _summed(elements: list[_Element]) -> int:
-    """What a block's elements call themselves. Words of a layout count from the innermost article on."""
-    inner = max((k for k, e in enumerate(elements) if e.tag in ("article", "main")), default=-1)
-    names = [e.named for k, e in enumerate(elements) if e.tag not in ("html", "body") and not (e.named == -2 and k < inner)]
-    return -1 if min(names, default=0) < 0 else max(names, default=0)
-
-
 class _Parser(HTMLParser):
     """Collects text blocks."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[_Element] = []
+        self.open: list[_Element] = [_Element("", 0, 0, None)]
+        self._places: dict[str, list[int]] = {}
         self._made = 0
         self._silent = 0
         self._pieces: list[str] = []
@@ -127,35 +154,36 @@ class _Parser(HTMLParser):
         if self._pieces:
             text = _SPACE.sub(" ", "".join(self._pieces)).strip()
             if text:
-                named = _summed(self.open)
-                path, tags = tuple(e.number for e in self.open), tuple(e.tag for e in self.open)
-                self.blocks.append(Block(text, path, tags, named, self._linked / len(text)))
+                self.blocks.append(Block(text, self.open[-1], self._linked / len(text)))
             self._pieces, self._linked = [], 0
 
-    def _close(self, keep: int) -> None:
-        for element in self.open[keep:]:
+    def _close(self, depth: int) -> None:
+        """Close the elements from a depth on; the root has depth 0 and stays."""
+        for element in self.open[depth:]:
             self._silent -= element.tag in SILENT
-        del self.open[keep:]
+            self._places[element.tag].pop()
+        del self.open[depth:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "body":
             self._flush()
-            self._close(sum(e.tag == "html" for e in self.open[:1]))
+            self._close(1 + sum(e.tag == "html" for e in self.open[1:2]))
         if tag in BLOCKS:
             self._flush()
             closing = CLOSES.get(tag, ())
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k].tag in closing:
-                    # Only inline elements lie between; what may be closed further up is found too.
-                    self._close(k)
-                elif self.open[k].tag in _SCOPE:
-                    break
+            turn = self.open[-1].turn
+            while turn is not None and (turn.tag in closing or turn.tag not in _SCOPE):
+                # Only inline elements lie between; what may be closed further up is found too.
+                if turn.tag in closing:
+                    self._close(turn.depth)
+                turn = turn.parent.turn
         elif tag == "br":
             self._pieces.append(" ")
         if tag in VOID:
             return
         self._made += 1
-        self.open.append(_Element(tag, self._made, _named(attrs) if attrs else 0))
+        self._places.setdefault(tag, []).append(len(self.open))
+        self.open.append(_Element(tag, self._made, _named(attrs) if attrs else 0, self.open[-1]))
         self._silent += tag in SILENT
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -166,17 +194,20 @@ class _Parser(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self._flush()
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k].tag == tag:
-                self._close(k)
-                return
-            if self.open[k].tag in _SCOPE and tag not in BLOCKS:
+        places = self._places.get(tag)
+        if not places:
+            return
+        if tag not in BLOCKS:
+            # An inline element is not closed beyond a scope.
+            shield = max((self._places[t][-1] for t in _SCOPE if self._places.get(t)), default=0)
+            if shield > places[-1]:
                 return
+        self._close(places[-1])
 
     def handle_data(self, data: str) -> None:
         if not self._silent:
             self._pieces.append(data)
-            if any(e.tag == "a" for e in self.open):
+            if self.open[-1].in_link:
                 self._linked += len(data.strip())
 
     def close(self) -> None:
@@ -193,44 +224,39 @@ def blocks_of(html: str) -> list[Block]:
 
 def leaning(block: Block) -> int:
     """The classifier: what a block's tags, names, links and length say, summed up."""
-    score = 0
-    inside_article = False
-    inner = max((k for k, tag in enumerate(block.tags) if tag in ("article", "main")), default=-1)
-    for k, tag in enumerate(block.tags):
-        if tag == "header" and inside_article:
-            continue  # an article's own head
-        if tag == "form" and k < inner:
-            continue  # a form around the whole page
-        score += BOILERPLATE_TAGS.get(tag, 0)
-        inside_article = inside_article or tag in ("article", "main")
-    score += max((CONTENT_TAGS[t] for t in block.tags if t in CONTENT_TAGS), default=0)
-    score += {-1: NAMED_BOILERPLATE, 0: 0, 1: NAMED_CONTENT}[block.named]
-    if block.linked > 0.5 and not inside_article:
+    inner = block.inner
+    score = inner.boilerplate + BOILERPLATE_TAGS["form"] * inner.forms + inner.best
+    score += {-1: NAMED_BOILERPLATE, 0: 0, 1: NAMED_CONTENT}[inner.named]
+    if block.linked > 0.5 and not inner.in_article:
         score -= 12
-    if any(t in HEADINGS for t in block.tags):
+    if inner.heading:
         score += 2
     words = block.text.count(" ") + 1
     score += 6 if words >= 25 else 2 if words >= 8 else -1
     return score - 1
 
 
+def _apart(a: _Element, b: _Element) -> int:
+    """Steps between two elements of the tree; those at ``SMOOTH_MOST`` or further count as that far."""
+    steps = 0
+    while a is not b and steps < SMOOTH_MOST:
+        if a.depth >= b.depth:
+            a, b = b, a
+        b, steps = b.parent, steps + 1
+    return steps
+
+
 def main_blocks(blocks: list[Block]) -> list[bool]:
     """Whether each block is content."""
     edges, last_in = [], {}
 
     def join(a: int, b: int) -> None:
-        same = 0
-        for x, y in zip(blocks[a].path, blocks[b].path):
-            if x != y:
-                break
-            same += 1
-        apart = len(blocks[a].path) + len(blocks[b].path) - 2 * same
-        edges.append((a, b, max(0, SMOOTH_MOST - apart)))
+        edges.append((a, b, SMOOTH_MOST - _apart(blocks[a].inner, blocks[b].inner)))
 
     for k, block in enumerate(blocks):
         if k:
             join(k - 1, k)
-        parent = block.path[-2:-1]
+        parent = block.inner.parent.number if block.inner.parent else 0
         if parent in last_in and last_in[parent] != k - 1:
             join(last_in[parent], k)
         last_in[parent] = k

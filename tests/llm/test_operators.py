@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -187,8 +188,49 @@ def test_minimum_cut_is_minimal():
             cut = sum(c for a, b, c in edges if side[a] != side[b])
             return cut + sum(max(0, x) if not s else max(0, -x) for x, s in zip(leaning, side))
 
-        best = min(cost([bool(k >> i & 1) for i in range(n)]) for k in range(1 << n))
-        assert cost(min_cut.label(leaning, edges)) == best
+        sides = [[bool(k >> i & 1) for i in range(n)] for k in range(1 << n)]
+        best = min(map(cost, sides))
+        # Of all minimum cuts, the one with the fewest nodes on the source's side.
+        assert min_cut.label(leaning, edges) == min((s for s in sides if cost(s) == best), key=sum)
+
+
+def test_cut_of_a_dense_core():
+    """Many neighbours each, so that nothing can be folded: the labels cost as much as the flow that saturates the cut."""
+    random = np.random.default_rng(5)
+    n = 400
+    leaning = random.integers(-9, 10, n).tolist()
+    edges = [(k, int(b), int(random.integers(1, 5))) for k in range(n) for b in random.integers(0, n, 4) if b != k]
+    assert len(min_cut._fold(min_cut._Graph(leaning, edges))[1]) > n // 2
+    side = min_cut.label(leaning, edges)
+
+    def cost(s):
+        return sum(c for a, b, c in edges if s[a] != s[b]) + sum(max(0, x) if not t else max(0, -x) for x, t in zip(leaning, s))
+
+    for k in range(n):
+        assert cost(side) <= cost([*side[:k], not side[k], *side[k + 1 :]])
+    assert cost(side) <= min(cost([True] * n), cost([False] * n))
+
+
+def test_long_pages_of_mixed_blocks_take_seconds():
+    random = np.random.default_rng(7)
+    long = "word " * 30
+    pieces = [
+        "<p>x y", "<div><a href=x>k l m</a></div>", "<li><p>c</p> b <p>d e f</p></li>", "<h2>t</h2>", f"<article><p>{long}</article>",
+        "<nav>m</nav>", "<ul>", "</ul>", "<i>", "</b>", f"<div class='sidebar'>{long}</div>",
+    ]
+    page = "".join(pieces[k] for k in random.integers(0, len(pieces), 100_000))
+    start = time.process_time()
+    blocks = page_text.blocks_of(page)
+    assert len(page_text.main_blocks(blocks)) == len(blocks) > 80_000
+    page_text.extract("<i>" * 30_000 + "<p>x" * 30_000)
+    page_text.extract("<li><p>c</p> b <p>d e f</p></li>" * 20_000)
+    assert time.process_time() - start < 30
+
+
+def test_no_pages(spark):
+    none = spark.createDataFrame([], "page_id bigint, url string, html string, text string, n_chars int")
+    rows = page_text.extract_pages(none)
+    assert rows.collect() == [] and rows.columns == ["page_id", "url", "text", "n_chars"]
 
 
 # --- surrogates ----------------------------------------------------------------------------------
