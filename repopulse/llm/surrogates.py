@@ -10,7 +10,7 @@ Units are made distinct before they are shuffled, by text and over the corpus, a
 equi-joins whose hot partitions Spark can split: an address that fills a third of the corpus is one
 unit. What is gathered for one text is bounded by that text.
 
-A name is found behind a title. Its words are then replaced wherever they stand capitalised in the
+A name is found behind a title or a degree. Its words are then replaced wherever they stand capitalised in the
 same text, with the title or without; such mentions count as entities.
 
 Null texts stay null; texts without entities come back byte for byte. Copies of a text get equal
@@ -30,13 +30,16 @@ TITLES = {
     "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Госпожа",
     "m": "Mr Herr Monsieur Señor Sr Господин",
 }
-#: Not characters; they mark where a name of known gender begins while a text is cut.
-MARKS = {"f": "﷐", "m": "﷑"}
+#: Not characters; they mark where a name begins while a text is cut: of a gender that is told, or behind a degree alone.
+MARKS = {"f": "﷐", "m": "﷑", "n": "﷒"}
+_MARK = "".join(MARKS.values())
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _ALL_TITLES = "|".join(" ".join(TITLES.values()).split())
 #: Degrees that may stand between a title and the name.
 _DEGREES = "Dr|Prof|Professor|Professorin|Professeur|Profesor|Profesora|Doktor|Doctor|Docteur|Doctora|Ing|Mag|Dipl|Доктор|доктор|Профессор|профессор"
 _STACKED = rf"(?:(?:(?:{_DEGREES})(?:\.[ -]?|[ -])(?:(?:\p{{Ll}}{{1,4}}\.)+ ?)*|(?:{_ALL_TITLES})\.? ))*"
+#: Degrees that stand for a title where there is none.
+_ALONE = r"(?:Dr|Prof)\.?|Professor(?:in)?|Professeur|Profesora?|Doktor|Docteur|Doctora?|Доктор|Профессор"
 _PARTICLES = (
     r"(?:(?:van(?: de[rnt]?| het)?|von(?: und zu| zu[rm]?| de[rnm])?|vom|de(?: la| las| los)?|del|della|di|da|do|dos|du|la|le|te[rn]|af|av"
     r"|bin|ibn|al|el|фон|ван|де) |[dl]['’])*+"
@@ -50,25 +53,36 @@ _BETWEEN = r"(?:(?<=[^\p{L}\p{M}]\p{Lu})\. ?| |-)"
 _NAME = rf"{_PARTICLES}{_NO_TITLE}{NAME_WORD}(?:{_BETWEEN}{_PARTICLES}{_NO_TITLE}{NAME_WORD})*+"
 #: A word of a text that may repeat one of its names.
 MENTION = rf"(?<![\p{{L}}\p{{M}}\p{{N}}]){NAME_WORD}(?![\p{{N}}_])"
+#: Scripts whose letters an address may have, marks that stand on letters, and what stands before its at sign.
+_SCRIPTS = r"\p{IsLatin}\p{IsCyrillic}\p{IsGreek}\p{M}"
+_LOCAL = rf"{_SCRIPTS}0-9._%+-"
 #: In order of precedence where two could start at the same place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]*[A-Za-z0-9]@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+",
-    "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
-    r"|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])"
-    r"|(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"'﷐﷑]{6,}",
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]*[{_SCRIPTS}0-9]@[{_SCRIPTS}0-9-]+(?:\.[{_SCRIPTS}0-9-]*[{_SCRIPTS}0-9])+",
+    "secret": rf"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{20,}}|github_pat_\w{{22,}}|glpat-[\w-]{{20,}}|hf_[A-Za-z0-9]{{30,}}"
+    r"|sk-[A-Za-z0-9]{20,}|sk-(?:proj|ant)-[\w-]{20,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[\w-]{30,}"
+    r"|eyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]*+|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])"
+    r"|(?<=(?<![A-Za-z])(?i:bearer) )(?=[^\s\d]{0,200}\d)[\w.~+/-]{16,}+=*+"
+    rf"|(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"'{_MARK}]{{6,}}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
+    "ipv6": r"(?<![\w:.])(?=[A-Fa-f:]{0,30}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d)",
+    "ip": rf"(?<![\d.vV])(?<!(?i:version|release|section|chapter|v\.) ?)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
     "phone": r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?!\d)"
-    r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])",
-    "person": rf"[{MARKS['f']}{MARKS['m']}]{_NAME}",
+    r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])"
+    # National numbers, from a leading zero on: area and number, three or four groups, or five pairs.
+    r"|(?<![\w.,:/-])(?:0[1-9]\d{0,4}[ /-]|\(0[1-9]\d{0,4}\) ?)\d{5,8}(?![\w/:-]|[.,]\d)"
+    r"|(?<![\w.,:/-])(?:0[1-9]\d{1,4}|\(0[1-9]\d{1,4}\))(?:[ /-]\d{3,4}){2,3}(?![\w/:-]|[., ]\d)"
+    r"|(?<![\w.,:/-])0[1-9](?:(?: \d\d){4}|(?:\.\d\d){4}|(?:-\d\d){4})(?![\w/:-]|[., ]\d)",
+    "person": rf"[{_MARK}]{_NAME}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these holds no entity; most texts are not searched further. Secrets of letters alone hold no digit.
 HINT = (
-    rf"[0-9@{MARKS['f']}{MARKS['m']}]|(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:]"
-    r"|AKIA[A-Z]{16}|gh[pousr]_[A-Za-z]{20}|sk-[A-Za-z]{20}|xox[abprs]-[A-Za-z-]{10}|[a-f]{32}|[A-F]{32}"
+    rf"[0-9@{_MARK}]|(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:]"
+    r"|AKIA[A-Z]{16}|gh[pousr]_[A-Za-z]{20}|github_pat_|glpat-|hf_[A-Za-z]{30}|sk-[A-Za-z]{20}|sk-(?:proj|ant)-|[sr]k_(?:live|test)_|AIza[\w-]{30}|eyJ"
+    r"|xox[abprs]-[A-Za-z-]{10}|[a-f]{32}|[A-F]{32}"
 )
 
 #: Syllables of made-up names by script, and the endings that tell a gender.
@@ -78,10 +92,14 @@ SYLLABLES = {
     "greek": tuple("βα βε γα δα δε δο κα κο λα λε λι λο μα με μι μο να νε νο πα ρα ρε ρο σα σε τα τε το".split()),
 }
 ENDINGS = {
-    "latin": {"f": "lia", "m": "rin", "s": "sted"},
-    "cyrillic": {"f": "лия", "m": "рин", "s": "сен"},
-    "greek": {"f": "λια", "m": "ρος", "s": "δης"},
+    "latin": {"f": "lia", "m": "rin", "n": "nis", "s": "sted"},
+    "cyrillic": {"f": "лия", "m": "рин", "n": "нис", "s": "сен"},
+    "greek": {"f": "λια", "m": "ρος", "n": "νις", "s": "δης"},
 }
+#: The kinds of words of names: first names by gender, "n" behind a degree alone, and last names.
+NAME_KINDS = ("given_f", "given_m", "given_n", "surname")
+#: Kinds whose canonical form lacks the case of letters, and those whose canonical form lacks their separators.
+_SEPARATED, _NUMBERS = ("email", "ipv6"), ("phone", "card", "iban", "ssn")
 #: Draws per unit in its own format; from then on the format widens with each draw, so that some draw always is free.
 NARROW_ROUNDS = 6
 #: A secret with fewer letters and digits than this has its symbols drawn too.
@@ -92,10 +110,10 @@ def _marked(text: Column) -> Column:
     """The text with a mark before every titled name; texts that hold a mark already are left alone."""
     marked = text
     for gender, mark in MARKS.items():
-        titles = "|".join(TITLES[gender].split())
+        titles = "|".join(TITLES[gender].split()) if gender in TITLES else _ALONE
         begins = rf"(?={_PARTICLES}{_NO_TITLE}\p{{Lu}}(?:[\p{{L}}\p{{M}}]|['’-]\p{{Lu}}|\. ?\p{{Lu}}))"
         marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{titles})\.? {_STACKED}{begins}", f"$0{mark}")
-    return F.when(text.rlike(f"[{''.join(MARKS.values())}]"), text).otherwise(marked)
+    return F.when(text.rlike(f"[{_MARK}]"), text).otherwise(marked)
 
 
 def _kind(entity: Column) -> Column:
@@ -116,7 +134,7 @@ def _units(text: Column) -> Column:
                 F.when(kind == "person", F.regexp_extract_all(entity, F.lit(NAME_WORD), 0)).otherwise(F.array(entity)).alias("words"),
                 F.when(kind == "person", F.split(entity, NAME_WORD, -1)).otherwise(F.array(F.lit(""))).alias("between"),
             )
-            gender = F.when(F.startswith(entity, F.lit(MARKS["f"])), "f").otherwise("m")
+            gender = F.translate(F.substring(entity, 1, 1), _MARK, "".join(MARKS))
 
             def of_word(cut: Column, word: Column, part: Column) -> Column:
                 n_words = F.size(cut["words"])
@@ -124,8 +142,8 @@ def _units(text: Column) -> Column:
                     F.when((n_words > 1) & (part < n_words - 1), F.concat(F.lit("given_"), gender)).otherwise("surname")
                 )
                 canon = (
-                    F.when(kind.isin("email", "person"), F.lower(word))
-                    .when(kind.isin("phone", "card", "iban", "ssn"), F.regexp_replace(word, "[^0-9A-Za-z]", ""))
+                    F.when(kind.isin("email", "person", "ipv6"), F.lower(word))
+                    .when(kind.isin(*_NUMBERS), F.regexp_replace(word, "[^0-9A-Za-z]", ""))
                     .otherwise(word)
                 )
                 return F.struct(
@@ -165,31 +183,36 @@ _LETTERS = {
 }
 
 
-def _shape() -> dict[str, Column]:
-    """What of ``canon`` stays, and whether its letters are hexadecimal digits.
+#: Of known kinds of secrets.
+_PREFIXES = "AKIA|gh[pousr]_|github_pat_|glpat-|hf_|sk-proj-|sk-ant-|sk-|[sr]k_live_|[sr]k_test_|xox[abprs]-|AIza|eyJ"
 
-    Kept: the last label of a mail domain, a phone's country code, a card's first digit, a bank
-    account's country, the prefix of a known kind of secret.
+
+def _shape() -> Column:
+    """What of ``canon`` stays (all before ``head`` and from ``tail`` on), and what its letters and symbols are.
+
+    Kept: the last label of a mail domain, a phone's country code or leading zero, a card's first
+    digit, a bank account's country, the prefix of a known kind of secret.
     """
     canon, kind = F.col("canon"), F.col("kind")
     head = (
-        F.when(kind == "phone", F.col("code"))
+        F.when(kind == "phone", F.greatest(F.col("code"), F.startswith(canon, F.lit("0")).cast("int")))
         .when(kind == "card", 1)
         .when(kind == "iban", 2)
-        .when(kind == "secret", F.length(F.regexp_extract(canon, r"\A(AKIA|gh[pousr]_|sk-|xox[abprs]-)?", 0)))
+        .when(kind == "secret", F.length(F.regexp_extract(canon, rf"\A(?:{_PREFIXES})?", 0)))
         .otherwise(0)
     )
-    return {
-        "_head": head,
-        "_tail": F.when(kind == "email", F.length(F.regexp_extract(canon, r"\.[^.]*\z", 0))).otherwise(0),
-        "_hex": (kind == "secret") & canon.rlike(r"\A[0-9a-f]+\z"),
-        "_upper_hex": (kind == "secret") & canon.rlike(r"\A[0-9A-F]+\z"),
-        "_symbols": (kind == "secret") & (F.length(F.regexp_replace(canon, r"[^\p{L}\p{N}]", "")) < FEW_DRAWN),
-    }
+    tail = F.when(kind == "email", F.length(F.regexp_extract(canon, r"\.[^.]*\z", 0))).otherwise(0)
+    return F.struct(
+        head.alias("head"),
+        (F.length(canon) - tail).alias("tail"),
+        ((kind == "secret") & canon.rlike(r"\A[0-9a-f]+\z")).alias("hex"),
+        ((kind == "secret") & canon.rlike(r"\A[0-9A-F]+\z")).alias("upper_hex"),
+        ((kind == "secret") & (F.length(F.regexp_replace(canon, r"[^\p{L}\p{N}]", "")) < FEW_DRAWN)).alias("symbols"),
+    )
 
 
 def _same_shape() -> Column:
-    """A digit for each digit and a letter for each letter of ``canon``, by the columns of ``_shape``; separators stay.
+    """A digit for each digit and a letter for each letter of ``canon``, by ``_shape``; separators stay.
 
     Letters are drawn in their script and case. Symbols are drawn where little else would be. After
     ``NARROW_ROUNDS`` draws each further one adds a character.
@@ -199,23 +222,25 @@ def _same_shape() -> Column:
         out = F.when(c.rlike(r"\p{N}"), _pick(_DIGITS, i))
         for script, (lower, upper) in _LETTERS.items():
             out = out.when(c.rlike(rf"(?=\p{{Lu}}){script}"), _pick(upper, i)).when(c.rlike(script), _pick(lower, i))
-        # Marks and symbols such as emoji tell as much as letters do.
-        return out.otherwise(_pick(_SYMBOLS, i))
+        # Marks and symbols such as emoji tell as much as letters do. An address has no symbols but marks.
+        return out.when(F.col("kind") == "email", _pick(_LOWER, i)).otherwise(_pick(_SYMBOLS, i))
 
-    def one(c: Column, i: Column) -> Column:
+    def one(shape: Column, c: Column, i: Column) -> Column:
         return (
-            F.when((i < F.col("_head")) | (i >= F.length("canon") - F.col("_tail")), c)
-            .when(F.col("_hex"), _pick("0123456789abcdef", i))
-            .when(F.col("_upper_hex"), _pick("0123456789ABCDEF", i))
+            F.when((i < shape["head"]) | (i >= shape["tail"]), c)
+            .when(shape["hex"] | ((F.col("kind") == "ipv6") & (c != ":")), _pick("0123456789abcdef", i))
+            .when(shape["upper_hex"], _pick("0123456789ABCDEF", i))
             .when(c.rlike("[0-9]"), _pick(_DIGITS, i))
             .when(c.rlike("[a-z]"), _pick(_LOWER, i))
             .when(c.rlike("[A-Z]"), _pick(_UPPER, i))
             .when(c.rlike(r"[^\x00-\x7F]"), beyond_ascii(c, i))
-            .when(F.col("_symbols"), _pick(_SYMBOLS, i))
+            .when(shape["symbols"], _pick(_SYMBOLS, i))
             .otherwise(c)
         )
 
-    same = F.array_join(F.transform(F.split("canon", ""), one), "")
+    # The shape is bound once: a lambda would measure the whole of a long secret anew for each of its characters.
+    drawn = let(_shape(), lambda shape: F.transform(F.split("canon", ""), lambda c, i: one(shape, c, i)))
+    same = F.array_join(drawn, "")
     more = _more(F.when(F.col("kind") == "email", "a").otherwise("0"))
     return F.when(F.col("kind") == "email", F.concat(more, same)).otherwise(F.concat(same, more))
 
@@ -255,6 +280,17 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), lambda total, x: total + x)
 
 
+def _rest_97(account: Column) -> Column:
+    """An account's number modulo 97, its first four characters moved to the end and letters read as 10 to 35."""
+    moved = F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4))
+
+    def step(rest: Column, c: Column) -> Column:
+        code = F.ascii(c)
+        return F.when(code >= 65, rest * 100 + code - 55).otherwise(rest * 10 + code - 48) % 97
+
+    return F.aggregate(F.split(moved, ""), F.lit(0), step)
+
+
 def _name() -> Column:
     """Syllables in the script of ``canon``, ended as its kind says; more of them after each failed round."""
     canon, kind = F.col("canon"), F.col("kind")
@@ -266,6 +302,7 @@ def _name() -> Column:
         end = (
             F.when(kind == "given_f", ENDINGS[script]["f"])
             .when(kind == "given_m", ENDINGS[script]["m"])
+            .when(kind == "given_n", ENDINGS[script]["n"])
             .otherwise(ENDINGS[script]["s"])
         )
         found = F.concat(middle, end)
@@ -277,16 +314,21 @@ def _name() -> Column:
 def draw(units: DataFrame, key: str) -> DataFrame:
     """Add ``sur`` to (kind, canon, code, attempt): a surrogate from the keyed digest."""
     digest = F.sha2(F.concat_ws("\n", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 256)
-    drawn = units.withColumn("_digest", digest).withColumns(_shape()).withColumn("_plain", _same_shape())
-    names = F.col("kind").isin("given_f", "given_m", "surname")
+    drawn = units.withColumn("_digest", digest).withColumn("_plain", _same_shape())
+    names = F.col("kind").isin(*NAME_KINDS)
     # A valid card number gets a valid one: the last digit completes the sum.
     bare = F.expr("substring(_plain, 1, length(_plain) - 1)")
     valid_card = (F.col("kind") == "card") & (_luhn(F.col("canon")) % 10 == 0)
     check = F.pmod(10 - _luhn(F.concat(bare, F.lit("0"))) % 10, F.lit(10)).cast("string")
+    # So does a valid bank account: its two check digits follow from the rest.
+    country, account = F.expr("substring(_plain, 1, 2)"), F.expr("substring(_plain, 5, length(_plain))")
+    valid_iban = (F.col("kind") == "iban") & (_rest_97(F.col("canon")) == 1)
+    iban_check = F.lpad((98 - _rest_97(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0")
     sur = (
         F.when(names, _name())
         .when(F.col("kind") == "ip", _octets())
         .when(valid_card, F.concat(bare, check))
+        .when(valid_iban, F.concat(country, iban_check, account))
         .otherwise(F.col("_plain"))
     )
     return drawn.withColumn("sur", sur).select("kind", "canon", "code", "attempt", "sur")
@@ -353,33 +395,59 @@ def _name_tables(names: Column) -> Column:
     return let(let(F.sort_array(names), unique), lambda x: F.transform(F.sequence(F.lit(0), n(x) - 1), lambda k: table(x, k)))
 
 
+#: What has a place of its own in a number or an address.
+_SEPARATOR = r"[^\p{L}\p{M}\p{N}]"
+
+
 def _spelled() -> Column:
     """The surrogate in the spelling of ``surface``: its separators and its case."""
     surface, sur = F.col("surface"), F.col("sur")
-    names = F.col("kind").isin("given_f", "given_m", "surname")
+    names = F.col("kind").isin(*NAME_KINDS)
     name = _name_spelled(surface, sur)
-    alnum = F.split(F.regexp_replace(sur, "[^0-9A-Za-z]", ""), "")
+    alnum = F.split(F.regexp_replace(sur, _SEPARATOR, ""), "")
 
-    # Characters beyond the format's own stand before an address and after a number.
-    more = F.size(alnum) - F.length(F.regexp_replace(surface, "[^0-9A-Za-z]", ""))
-    ahead = F.when(F.col("kind") == "email", more).otherwise(0)
-    behind = F.when(F.col("kind") == "email", 0).otherwise(more)
+    # Characters beyond the format's own stand behind a number, and before an address.
+    more = F.size(alnum) - F.length(F.regexp_replace(surface, _SEPARATOR, ""))
 
     def one(c: Column, i: Column) -> Column:
-        before = F.length(F.regexp_replace(F.substring(surface, F.lit(1), i), "[^0-9A-Za-z]", ""))
-        new = F.get(alnum, before + ahead)
-        return F.when(~c.rlike("[0-9A-Za-z]"), c).when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
+        before = F.length(F.regexp_replace(F.substring(surface, F.lit(1), i), _SEPARATOR, ""))
+        new = F.get(alnum, before)
+        return F.when(c.rlike(_SEPARATOR), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
 
     overlaid = F.concat(
-        F.array_join(F.slice(alnum, 1, ahead), ""),
         F.array_join(F.transform(F.split(surface, ""), one), ""),
-        F.array_join(F.slice(alnum, F.size(alnum) - behind + 1, behind), ""),
+        F.array_join(F.slice(alnum, F.size(alnum) - more + 1, more), ""),
+    )
+    # Addresses keep their separators in canonical form, so places agree; these may be long, numbers are not.
+    def cased(new: Column) -> Column:
+        extra = F.size(new) - F.length(surface)
+
+        def at(extra: Column) -> Column:
+            def char(c: Column, i: Column) -> Column:
+                x = F.get(new, i + extra)
+                return F.when(c.rlike(_SEPARATOR), c).when(c.rlike(r"\p{Lu}"), F.upper(x)).otherwise(x)
+
+            return F.concat(F.array_join(F.slice(new, 1, extra), ""), F.array_join(F.transform(F.split(surface, ""), char), ""))
+
+        return let(extra, at)
+
+    # The other kinds are replaced as they are.
+    spelled = (
+        F.when(F.col("kind").isin(*_SEPARATED), let(F.split(sur, ""), cased)).when(F.col("kind").isin(*_NUMBERS), overlaid).otherwise(sur)
     )
-    # Only these differ from their canonical form; the other kinds are replaced as they are.
-    spelled = F.when(F.col("kind").isin("email", "phone", "card", "iban", "ssn"), overlaid).otherwise(sur)
     return F.when(names, name).otherwise(spelled)
 
 
+def _with_degrees(distinct: DataFrame, key: str) -> DataFrame:
+    """(kind, canon, sur) of all units. A first name behind a degree alone shares the surrogate of the same name behind a title."""
+    gendered = distinct.where(F.col("kind").isin("given_f", "given_m")).groupBy("canon").agg(F.min("kind").alias("kind"))
+    twins = gendered.join(distinct.where("kind = 'given_n'").select("canon"), "canon", "left_semi")
+    own = distinct.join(twins.select(F.lit("given_n").alias("kind"), "canon"), ["kind", "canon"], "left_anti")
+    surrogates = assign(own, key).drop("code")
+    shared = surrogates.join(twins, ["kind", "canon"], "left_semi").withColumn("kind", F.lit("given_n"))
+    return surrogates.unionByName(shared)
+
+
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with entities replaced in ``text``, and n_entities and entity_kinds added.
 
@@ -396,9 +464,9 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
         .distinct()
     )
     # Spellings of one number may show its country code or not; the most that any shows is kept.
-    distinct = units.groupBy("kind", "canon").agg(F.max("code").alias("code"))
-    surrogates = assign(distinct, key).drop("code")
-    is_name = F.col("kind").isin("given_f", "given_m", "surname")
+    distinct = settle(units.groupBy("kind", "canon").agg(F.max("code").alias("code")))
+    surrogates = _with_degrees(distinct, key)
+    is_name = F.col("kind").isin(*NAME_KINDS)
     new = (
         units.join(surrogates, ["kind", "canon"])
         .withColumn("new", F.concat("before", _spelled()))
@@ -421,7 +489,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
         ),
         F.get(F.col("_gaps"), F.size("_gaps") - 1),
     )
-    unmarked = F.when(F.col(text).rlike(f"[{''.join(MARKS.values())}]"), joined).otherwise(F.translate(joined, "".join(MARKS.values()), ""))
+    unmarked = F.when(F.col(text).rlike(f"[{_MARK}]"), joined).otherwise(F.translate(joined, _MARK, ""))
     found = F.col("_new").isNotNull()
     return (
         keyed.join(new, "_key", "left")

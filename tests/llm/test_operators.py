@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import ipaddress
 import re
 import time
 
@@ -320,6 +321,66 @@ def test_every_pattern_passes_the_hint(spark):
     assert all(got[i].n_entities == 1 and got[i].text != e for i, e in enumerate(entities))
 
 
+def test_no_stated_entity_stays_and_checks_hold(spark):
+    """Entities of every kind by their construction, in words around them; nothing else of a text changes."""
+    random = np.random.default_rng(11)
+    digits = lambda n: "".join(map(str, random.integers(0, 10, n)))
+
+    def iban(country, account):
+        number = int("".join(str(int(c, 36)) for c in account + country + "00"))
+        return f"{country}{98 - number % 97:02}{account}"
+
+    stated = {
+        "email": ["García@x.de", "José@correo.es", "Jose\u0301@correo.es", "иван.петров@почта.рф", "νίκος@παράδειγμα.gr", "a.b+c@d-e.co.uk"],
+        "phone": ["030 1234567", "(030) 1234567", "0171 234 5678", "020 7946 0958", "01 23 45 67 89", "06.12.34.56.78", "030/1234567", "+49 30 123456"],
+        "ipv6": ["2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2001:DB8::1:8", "fe80::1ff:fe23:4567:890a"],
+        "secret": [
+            "AIza" + "SyA-" + digits(31), "sk_live_abcdefghijklmnopqrst", "glpat-abcdefghijklmnopqrstu", "github_pat_" + "Ab_" * 10,
+            "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.c2lnbmF0dXJl_-", "sk-proj-" + "a-b_" * 8, "hf_" + "aB" * 17,
+        ],
+        "iban": [iban("DE", digits(18)) for _ in range(20)] + [iban("GB", "WEST" + digits(14)) for _ in range(20)],
+    }
+    cases = [(kind, value) for kind, values in stated.items() for value in values]
+    got = replaced(spark, [f"so {value} it is" for _, value in cases])
+    new = {}
+    for i, (kind, value) in enumerate(cases):
+        assert got[i].entity_kinds == [kind], value
+        new[value] = re.fullmatch("so (.+) it is", got[i].text)[1]
+        parts = [x for x in re.split(r"[^\w\u0300-\u036f]", value.split("@")[0]) if len(x) > 3 and kind == "email"]
+        assert new[value] != value and not any(x in new[value] for x in parts)
+    assert len(set(new.values())) == len(new)
+    assert all(new[v][:2] == v[:2] and iban(new[v][:2], new[v][4:]) == new[v] for v in stated["iban"])
+    assert all(ipaddress.ip_address(new[v]).version == 6 for v in stated["ipv6"])
+    assert all(new[v].startswith("0") or v[0] in "(+" for v in stated["phone"])
+    bearer = replaced(spark, ["Authorization: Bearer abcDEF123456789.xyz-_9 end"])[0]
+    assert re.fullmatch(r"Authorization: Bearer \w{15}\.\w{3}-_\d end", bearer.text) and "abcDEF" not in bearer.text
+
+
+def test_look_alikes_stay(spark):
+    texts = [
+        "v1.2.3.4 release, version 1.2.3.4 and section 1.2.3.4", "std::abs a::b at 12:30:45", "on 01-02-2024, 2024-01-02, 01/02/2024 or 01 02 2024",
+        "0.123456 012345678 in 10 05 1999 1234567", "bearer of bad news; Doctor of law; Professor", "José@ x @correo.es",
+    ]
+    got = replaced(spark, texts)
+    assert [got[i].text for i in range(len(texts))] == texts and not any(got[i].n_entities for i in got)
+
+
+def test_degrees_alone_are_titles(spark):
+    got = replaced(spark, ["Dr. Anna Meyer and Prof. Weber met Frau Anna Schulz; Anna and Meyer left.", "Professor Ivo Stern came, Doktor Stern"])
+    form = r"Dr\. (\w+) (\w+) and Prof\. (\w+) met Frau (\w+) (\w+); (\w+) and (\w+) left\."
+    anna, meyer, weber, *rest = re.fullmatch(form, got[0].text).groups()
+    assert (rest[0], rest[2], rest[3]) == (anna, anna, meyer) and anna.endswith("lia") and weber != "Weber"
+    ivo, stern, again = re.fullmatch(r"Professor (\w+) (\w+) came, Doktor (\w+)", got[1].text).groups()
+    assert ivo.endswith("nis") and stern == again != "Stern"
+
+
+def test_very_long_entities_and_texts_without_any(spark):
+    texts = ["z" * 300_000 + " " + "y.z" * 100_000 + " 1", "x@" * 50_000, "1:" * 50_000, "0" * 100_000, "A.b" * 30_000 + "@x.de", "password=" + "é!" * 50_000]
+    got = replaced(spark, texts)
+    assert all(got[i].text == texts[i] for i in range(3))
+    assert all(len(got[i].text) == len(texts[i]) and got[i].n_entities == 1 and got[i].text != texts[i] for i in range(3, 6))
+
+
 def test_full_formats_are_widened(spark):
     quads = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
     phones = [f"+1 {a} {b}" for a in range(10, 100) for b in range(10, 100)] + [f"+1 0{a} {b:02}" for a in range(10) for b in range(100)]
