@@ -53,8 +53,9 @@ _BETWEEN = r"(?:(?<=[^\p{L}\p{M}]\p{Lu})\. ?| |-)"
 _NAME = rf"{_PARTICLES}{_NO_TITLE}{NAME_WORD}(?:{_BETWEEN}{_PARTICLES}{_NO_TITLE}{NAME_WORD})*+"
 #: A word of a text that may repeat one of its names.
 MENTION = rf"(?<![\p{{L}}\p{{M}}\p{{N}}]){NAME_WORD}(?![\p{{N}}_])"
-#: Scripts whose letters an address may have, marks that stand on letters, and what stands before its at sign.
-_SCRIPTS = r"\p{IsLatin}\p{IsCyrillic}\p{IsGreek}\p{M}"
+#: Latin, Greek and Cyrillic letters that an address may have, with marks on letters, and what stands before its at sign.
+#: Ranges, because Java looks up the script of every character; assertions below begin with the cheapest.
+_SCRIPTS = r"A-Za-z\u00C0-\u024F\u0300-\u03FF\u0400-\u052F\u1E00-\u1FFF"
 _LOCAL = rf"{_SCRIPTS}0-9._%+-"
 #: In order of precedence where two could start at the same place.
 PATTERNS = {
@@ -62,19 +63,19 @@ PATTERNS = {
     "secret": rf"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{20,}}|github_pat_\w{{22,}}|glpat-[\w-]{{20,}}|hf_[A-Za-z0-9]{{30,}}"
     r"|sk-[A-Za-z0-9]{20,}|sk-(?:proj|ant)-[\w-]{20,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[\w-]{30,}"
     r"|eyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]*+|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])"
-    r"|(?<=(?<![A-Za-z])(?i:bearer) )(?=[^\s\d]{0,200}\d)[\w.~+/-]{16,}+=*+"
-    rf"|(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"'{_MARK}]{{6,}}",
+    r"|(?<=[rR] )(?<=(?<![A-Za-z])(?i:bearer) )(?=[^\s\d]{0,200}\d)[\w.~+/-]{16,}+=*+"
+    rf"|(?<=[=:\"' ])(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"'{_MARK}]{{6,}}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ipv6": r"(?<![\w:.])(?=[A-Fa-f:]{0,30}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d)",
-    "ip": rf"(?<![\d.vV])(?<!(?i:version|release|section|chapter|v\.) ?)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
+    "ipv6": r"(?=[0-9A-Fa-f])(?<![\w:.])(?=[A-Fa-f:]{0,30}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d)",
+    "ip": rf"(?=\d)(?<![\d.vV])(?<!(?i:version|release|section|chapter|v\.) ?)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
     "phone": r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?!\d)"
     r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])"
     # National numbers, from a leading zero on: area and number, three or four groups, or five pairs.
-    r"|(?<![\w.,:/-])(?:0[1-9]\d{0,4}[ /-]|\(0[1-9]\d{0,4}\) ?)\d{5,8}(?![\w/:-]|[.,]\d)"
-    r"|(?<![\w.,:/-])(?:0[1-9]\d{1,4}|\(0[1-9]\d{1,4}\))(?:[ /-]\d{3,4}){2,3}(?![\w/:-]|[., ]\d)"
-    r"|(?<![\w.,:/-])0[1-9](?:(?: \d\d){4}|(?:\.\d\d){4}|(?:-\d\d){4})(?![\w/:-]|[., ]\d)",
+    r"|(?=[0(])(?<![\w.,:/-])(?:0[1-9]\d{0,4}[ /-]|\(0[1-9]\d{0,4}\) ?)\d{5,8}(?![\w/:-]|[.,]\d)"
+    r"|(?=[0(])(?<![\w.,:/-])(?:0[1-9]\d{1,4}|\(0[1-9]\d{1,4}\))(?:[ /-]\d{3,4}){2,3}(?![\w/:-]|[., ]\d)"
+    r"|(?=0)(?<![\w.,:/-])0[1-9](?:(?: \d\d){4}|(?:\.\d\d){4}|(?:-\d\d){4})(?![\w/:-]|[., ]\d)",
     "person": rf"[{_MARK}]{_NAME}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
