@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 
+from repopulse.functions import series as series_functions
 from repopulse.functions.series import _holt_search, _slope_changes, _violation, additive_fit
 from repopulse.operators import forecast
 
@@ -194,6 +195,19 @@ def test_every_fit_settles_whatever_the_series():
             assert len(fitted) == n + 14 and np.isfinite(fitted).all() and off < 1e-9
 
 
+def test_a_long_series_needs_one_exact_search(monkeypatch):
+    rng = np.random.default_rng(5)
+    days = np.arange(500)
+    y = rng.poisson(3, 500) + 1.0 + np.abs(days - 250) / 20
+    calls = []
+    monkeypatch.setattr(series_functions, "_slope_changes", lambda *given: calls.append(given) or _slope_changes(*given))
+    fitted, off = additive_fit(days, y, 14)
+    assert len(calls) == 1 and off < 1e-9
+    monkeypatch.setattr(series_functions, "REDUCED", 100)
+    assert np.allclose(additive_fit(days, y, 14)[0], fitted, rtol=1e-9)
+    assert len(calls) > 2
+
+
 def test_additive_leaves_the_noise():
     rng = np.random.default_rng(9)
     days = np.sort(rng.choice(200, 120, replace=False))
