@@ -33,9 +33,9 @@ def invalid_status(column: Column) -> Column:
 def _tally(df: DataFrame, keys: list[str], conditions: dict[str, Column]) -> DataFrame:
     """One row: ``rows``, ``duplicates`` on ``keys`` and one count per condition.
 
-    Conditions are counted where the rows are read, one row per task. Only the keys and their number of
-    rows are shuffled, from a scan of their own columns (nulls form one key, as equal values); a key
-    repeated very often is one row per task by then.
+    Conditions are counted where the rows are read, one row per task. Only the keys are shuffled, from a
+    scan of their own columns (nulls form one key, as equal values); a key repeated very often is counted
+    in one task, in one row of its table.
     """
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -45,8 +45,14 @@ def _tally(df: DataFrame, keys: list[str], conditions: dict[str, Column]) -> Dat
 
 
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows beyond the first of each key."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows beyond the first of each key.
+
+    The keys are dealt into a named number of partitions: adaptive execution would merge them by their few
+    bytes, and keys that come from a join would be counted in the tasks that sort for it.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(*keys).repartition(partitions, *keys)
+    per_key = dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
     return per_key.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0).cast("long")).alias("duplicate_rows"))
 
 

@@ -87,3 +87,12 @@ def test_summary_ignores_informational_checks(spark):
     assert counts(quality.summary(empty)) == {"failed_checks": 0, "all_passed": True}
     clean = quality.table_checks(repos.filter("id = 3"), threads.limit(1))
     assert quality.failures(clean).count() == 0
+
+
+def test_duplicates_are_counted_in_a_named_number_of_tasks(spark):
+    """Adaptive execution would merge the keys, few bytes each, into tasks that hold millions of them."""
+    df = spark.range(100).selectExpr("id % 50 AS repo_id", "CASE WHEN id % 10 = 0 THEN NULL ELSE id % 50 END AS hf_discussion_num")
+    found = quality.duplicate_count(df, ["repo_id", "hf_discussion_num"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert found.first().duplicate_rows == 50
