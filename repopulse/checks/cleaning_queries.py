@@ -73,9 +73,15 @@ def _landed_models(spark: SparkSession, folder: str) -> DataFrame:
     return landing.read_model_listings(spark, path, f"{path}-broken")
 
 
+#: Records of a landing file: about a hundred megabytes of lines.
+LANDED_RECORDS = 500_000
+
+
 def _landed_discussions(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark)
-    listed_discussions(spark, folder).write.json(f"{base}/delivered")
+    # Files are compressed, and cut by records so that many tasks read them.
+    files = listed_discussions(spark, folder).write.option("compression", "gzip").option("maxRecordsPerFile", LANDED_RECORDS)
+    files.json(f"{base}/delivered")
     fetch_failures(spark, folder).write.json(f"{base}/failed")
     return landing.read_discussion_listings(spark, f"{base}/delivered", f"{base}/failed")
 

@@ -109,3 +109,15 @@ def test_discussions_against_a_plain_python_upsert(spark, rows):
         k for k in want if k in table and want[k].startswith("new")
     }
     assert sum(r.batch_rows for r in actions) == known
+
+
+def test_new_ids_follow_the_digest_and_move_sixteen_bytes_of_it(spark, monkeypatch):
+    import hashlib
+
+    seen, real = {}, upsert.numbered
+    monkeypatch.setattr(upsert, "numbered", lambda df, *order: seen.update(df.dtypes) or real(df, *order))
+    keys = spark.createDataFrame([(r, n) for r in range(20) for n in (None, 1, 2)], "repo_id long, hf_discussion_num long")
+    found = {(r.repo_id, r.hf_discussion_num): r.id for r in upsert.with_new_ids(keys, ["repo_id", "hf_discussion_num"], None, 7).collect()}
+    text = lambda key: "/".join(str(k) for k in key if k is not None)
+    assert found == {k: 8 + i for i, k in enumerate(sorted(found, key=lambda k: hashlib.md5(text(k).encode()).hexdigest()))}
+    assert seen["_hash"] == "binary"
