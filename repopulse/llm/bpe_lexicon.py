@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,9 @@ _NOT_BLANK = regex.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile(r"[^\S\x1c-\x1f]+")
 #: Chunks, and words, that a worker keeps the ids of; its memory stays bounded on any text.
 CACHED = 300_000
-#: Texts, about, whose words are counted to choose the lexicon, and bytes of its longest word.
-LEXICON_DOCS = 20_000
+#: Bytes of the longest word of the lexicon, and bytes of text that are split at once.
 LONGEST = 64
+SLICE_BYTES = 8 << 20
 
 
 def _byte_letters() -> list[str]:
@@ -83,21 +84,30 @@ class Bpe:
         self._letters = _byte_letters()
         self._split = regex.compile(self.pattern)
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self._openers = {t[0] for t in self.special}
+        # Marks that the splitting rule parts from the letters before them, whatever follows.
+        self._marks = tuple(m for m in ".,;:!?" if m not in self._openers and self._split.findall(f"ab{m}") == ["ab", m])
         self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
 
-    def pieces(self, chunk: str) -> Iterator[tuple[str, bool]]:
+    def _may_be_special(self, chunk: str) -> bool:
+        return any(c in chunk for c in self._openers)
+
+    def pieces(self, chunk: str) -> list[tuple[str, bool]]:
         """The words of a text without blanks, and whether each is a special token."""
-        if chunk.isascii() and chunk.isalpha():
-            yield chunk.lower(), False
-            return
-        for k, part in enumerate(self._special.split(chunk) if self._special else [chunk]):
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [(chunk.lower(), False)]
+            if chunk[-1:] in self._marks and chunk[:-1].isalpha():
+                return [(chunk[:-1].lower(), False), (chunk[-1], False)]
+        found = []
+        for k, part in enumerate(self._special.split(chunk) if self._may_be_special(chunk) else [chunk]):
             if k % 2:
-                yield part, True
+                found.append((part, True))
             elif part:
                 # Each character is lowered by itself: a sigma at a word's end is no exception.
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                for word in self._split.findall(plain):
-                    yield word, False
+                plain = part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                found += [(word, False) for word in self._split.findall(plain)]
+        return found
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word by its merges."""
@@ -246,36 +256,78 @@ class Lexicon:
         return self.ids[self.offsets[place] : self.offsets[place + 1]].tolist()
 
 
+    def entries(self) -> dict[str, list[int]]:
+        """All words and their ids, by one walk through the automaton in the order of their places."""
+        first, final, labels, targets = (x.tolist() for x in (self.first, self.final, self.labels, self.targets))
+        offsets, ids, found = self.offsets.tolist(), self.ids.tolist(), {}
+        stack = [(0, b"")]
+        while stack:
+            state, word = stack.pop()
+            if final[state]:
+                found[word.decode("utf-8")] = ids[offsets[len(found)] : offsets[len(found) + 1]]
+            stack += [(targets[at], word + bytes((labels[at],))) for at in range(first[state + 1] - 1, first[state] - 1, -1)]
+        return found
+
+
 def _chunks(text: str) -> list[str]:
     if _NOT_BLANK.search(text):
         return [c for c in _BLANKS.split(text) if c]
     return text.split()
 
 
-def count_words(docs: DataFrame, bpe: Bpe, text: str = "text", most_docs: int = LEXICON_DOCS) -> DataFrame:
-    """word, n: how often each word of up to 64 bytes occurs in a sample of about ``most_docs`` texts.
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Begin and texts of runs of rows of about ``SLICE_BYTES`` bytes; a longer text is a run of its own. Nulls become empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(texts):
+        done = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        yield begin, texts.slice(begin, end - begin)
+        begin = end
+
 
-    The sample takes texts by their hash, so reruns agree. It decides which words the lexicon holds, that is
-    the work of the encoder, and never an id: words beyond it are merged exactly.
+def _split(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All chunks of the texts, coded by their distinct values, and the place behind each text's last one; some may be empty."""
+    if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+        lists = [_chunks(t) for t in texts.to_pylist()]
+        flat, ends = pa.array([c for x in lists for c in x], pa.large_string()), np.cumsum([len(x) for x in lists])
+    else:
+        found = pc.utf8_split_whitespace(texts)
+        flat, ends = found.flatten(), np.cumsum(pc.list_value_length(found).to_numpy(zero_copy_only=False))
+    return flat.dictionary_encode(), ends.astype(np.int64)
+
+
+def count_words(docs: DataFrame, bpe: Bpe, text: str = "text", most_docs: int | None = None) -> DataFrame:
+    """word, n: how often each word of up to 64 bytes occurs in all texts.
+
+    It decides which words the lexicon holds, that is the work of the encoder, and never an id: words
+    beyond it are merged exactly. A task sends each word once for each batch of rows that holds it.
+    ``most_docs``, which :func:`encode` does not use, counts about so many texts instead, taken by their hash.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bpe)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chunks, words = Counter(), Counter()
-            for value in batch.column(0):
-                chunks.update(_chunks(value.as_py()))
-            for chunk, n in chunks.items():
-                for word, special in shared.value.pieces(chunk):
-                    if not special and len(word.encode()) <= LONGEST:
-                        words[word] += n
-            yield pa.RecordBatch.from_pydict({"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
+            words: Counter = Counter()
+            for _, texts in _slices(batch.column(0)):
+                coded, _ = _split(texts)
+                counts = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)).tolist()
+                for chunk, n in zip(coded.dictionary.to_pylist(), counts, strict=True):
+                    for word, special in shared.value.pieces(chunk):
+                        if not special and len(word.encode()) <= LONGEST:
+                            words[word] += n
+                if len(words) >= CACHED:
+                    yield counted(words)
+                    words = Counter()
+            yield counted(words)
+
+    def counted(words: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
 
     plain = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull())
-    every = plain.count()
-    if every > most_docs:
-        share = F.pmod(F.xxhash64("t"), F.lit(1 << 20))
-        plain = plain.where(share < max(1, (most_docs << 20) // every))
+    if most_docs is not None and (every := plain.count()) > most_docs:
+        plain = plain.where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < max(1, (most_docs << 20) // every))
     return plain.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -298,10 +350,13 @@ def build_lexicon(spark: SparkSession, words: DataFrame, bpe: Bpe, size: int) ->
 
 
 class Encoder:
-    """Encodes texts in one worker; the ids of words and of the chunks between blanks are kept up to a bound."""
+    """Encodes texts in one worker; the ids of words and of the chunks between blanks are kept up to a bound.
+
+    The words of the lexicon, whose number is bounded, are read from its automaton at once.
+    """
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon) -> None:
-        self.bpe, self.lexicon = bpe, lexicon
+        self.bpe, self.lexicon = bpe, lexicon.entries()
         self._words: dict[str, list[int]] = {}
         self._chunks: dict[str, tuple[bytes, str]] = {}
 
@@ -313,12 +368,12 @@ class Encoder:
             kept[key] = value
 
     def word(self, word: str) -> list[int]:
-        ids = self._words.get(word)
+        ids = self.lexicon.get(word)
         if ids is None:
-            ids = self.lexicon.find(word)
+            ids = self._words.get(word)
             if ids is None:
                 ids = self.bpe.merge(word)
-            self._keep(self._words, word, ids)
+                self._keep(self._words, word, ids)
         return ids
 
     def chunk(self, chunk: str) -> tuple[bytes, str]:
@@ -332,9 +387,25 @@ class Encoder:
             self._keep(self._chunks, chunk, found)
         return found
 
-    def text(self, text: str) -> tuple[bytes, str]:
-        found = [f for f in map(self.chunk, _chunks(text)) if f[0]]
-        return b"".join(f[0] for f in found), " ".join(f[1] for f in found)
+    def texts(self, texts: pa.Array) -> list[pa.Array]:
+        """n_tokens, ids and decoded of whole texts; what is found once for a chunk is laid out for all its places."""
+        coded, ends = _split(texts)
+        codes = coded.indices.to_numpy()
+        found = [self.chunk(c) for c in coded.dictionary.to_pylist()]
+        pool = np.frombuffer(b"".join(f[0] for f in found), "<u4")
+        sizes = np.fromiter((len(f[0]) // 4 for f in found), np.int64, len(found))
+        begins = np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        ids = pool[np.repeat(begins[codes] - upto[:-1], counts) + np.arange(upto[-1])]
+        bounds = np.concatenate(([0], ends))
+        tokens = upto[bounds]
+        blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(4 * tokens), pa.py_buffer(ids)])
+        held = counts > 0
+        places = np.concatenate(([0], np.cumsum(held)))[bounds]
+        shown = pa.array([f[1] for f in found], pa.string()).take(pa.array(codes[held]))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(places, pa.int32()), shown), " ")
+        return [pa.array(np.diff(tokens), pa.int64()), blobs.cast(pa.binary()), joined]
 
 
 def decode(bpe: Bpe, ids: Iterable[int]) -> str:
@@ -355,16 +426,9 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon_size: int = 20_000, tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, Lexicon(SparkFiles.get(name)))
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                found = [encoder.text(t or "") for t in part.column(at).to_pylist()]
-                columns = [
-                    *part.columns,
-                    pa.array([len(f[0]) // 4 for f in found], pa.int64()),
-                    pa.array([f[0] for f in found], pa.binary()),
-                    pa.array([f[1] for f in found], pa.string()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, "n_tokens", "ids", "decoded"])
+            for begin, texts in _slices(batch.column(at)):
+                part = batch.slice(begin, len(texts))
+                yield pa.RecordBatch.from_arrays([*part.columns, *encoder.texts(texts)], [*kept, "n_tokens", "ids", "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
     return frame.mapInArrow(run, f"{fields}, n_tokens bigint, ids binary, decoded string")

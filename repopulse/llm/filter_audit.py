@@ -151,10 +151,12 @@ def document_terms(
     held = [T.StructField(name, T.ArrayType(docs.schema[name].dataType)) for name in kept]
     local = settle(chosen.mapInArrow(_shards(kept, shard_bytes, block_entries), T.StructType([*from_arrow_schema(BLOCK).fields, *held])))
     words = local.select("shard", F.posexplode("words").alias("place", "word")).repartition("word").sortWithinPartitions("word")
+    # Each shard has its words on one block. Rows of a few shards make a task, and so an Arrow batch, of the last step.
+    dealt = max(1, local.where("words is not null").count())
     numbers = with_offsets(settle(words.mapInArrow(_number, from_arrow_schema(NUMBERED))), {"_offset": F.sum("n_new")})
     dictionary = numbers.where("shard is null").select(F.posexplode("words").alias("_place", "word"), (F.col("_offset") + F.col("first_id")).alias("_first"))
     dictionary = dictionary.select("word", (F.col("_first") + F.col("_place")).alias("word_id"))
-    ids = numbers.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("places", "ids", F.col("_offset").alias("offset"))).alias("_numbers"))
+    ids = numbers.where("shard is not null").repartition(dealt, "shard").groupBy("shard").agg(F.collect_list(F.struct("places", "ids", F.col("_offset").alias("offset"))).alias("_numbers"))
     margins = [T.StructField(name, T.ArrayType(T.LongType())) for name in ("n_words", "n_distinct")]
     final = T.StructType([*(f for f in local.schema.fields if f.name != "words"), *margins])
 
@@ -179,7 +181,7 @@ def document_terms(
                 columns = [changed[n] if n in changed else row.column(n) for n in final.names]
                 yield pa.RecordBatch.from_arrays(columns, names=final.names)
 
-    return dictionary, local.drop("words").join(ids, "shard", "left").mapInArrow(rewrite, final)
+    return dictionary, local.drop("words").repartition(dealt, "shard").join(ids, "shard", "left").mapInArrow(rewrite, final)
 
 
 def row_counts(shards: DataFrame, kept: list[str]) -> DataFrame:

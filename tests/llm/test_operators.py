@@ -4,14 +4,17 @@ import collections
 import hashlib
 import ipaddress
 import re
+import tempfile
 import time
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from repopulse.llm import bpe_lexicon, chat_format, decontaminate, graph, jaccard_join, min_cut, page_text, quality_rules
+from repopulse.llm import bpe_lexicon, chat_format, decontaminate, filter_audit, graph, jaccard_join, min_cut, page_text, quality_rules
 from repopulse.llm import rolling, suffix_dedup, surrogates, url_rules, weak_labels
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -649,3 +652,36 @@ def test_kept_documents_are_measured_once_and_keep_clashing_columns(spark):
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert "array_distinct" not in next(line for line in plan.splitlines() if "Filter" in line)
     assert quality_rules.keep(docs.limit(0)).collect() == []
+
+
+def test_lexicon_counts_the_words_of_all_texts(spark, monkeypatch):
+    """Every text counts, also beyond 20,000 of them; the automaton is read as it was compiled."""
+    texts = [f"the w{k % 7} cat" for k in range(20_500)]
+    bpe = bpe_lexicon.Bpe.from_file(TOKENIZER)
+    counted = {r.word: r.n for r in bpe_lexicon.count_words(docs_of(spark, texts), bpe).collect()}
+    assert counted["the"] == counted["cat"] == len(texts)
+    top = ["the", "cat", "cats", "é", "w"]
+    (path := Path(tempfile.mkdtemp()) / "lexicon.bin").write_bytes(bpe_lexicon.compile_lexicon(top, bpe.merge))
+    assert bpe_lexicon.Lexicon(str(path)).entries() == {w: bpe.merge(w) for w in top}
+
+
+def test_texts_are_encoded_alike_in_runs_of_any_size(monkeypatch):
+    bpe = bpe_lexicon.Bpe.from_file(TOKENIZER)
+    (path := Path(tempfile.mkdtemp()) / "lexicon.bin").write_bytes(bpe_lexicon.compile_lexicon(["the", "cat"], bpe.merge))
+    texts = ["the cat\x85the  CAT's", None, "", " \t\n", "a\x1cb\x1d c", " the", "cat ", "<s> x", "\u3000the\xa0\u2028cat"]
+    library = Tokenizer.from_file(TOKENIZER)
+    for size in (1, 12, 1 << 20):
+        monkeypatch.setattr(bpe_lexicon, "SLICE_BYTES", size)
+        encoder, rows = bpe_lexicon.Encoder(bpe, bpe_lexicon.Lexicon(str(path))), []
+        for _, part in bpe_lexicon._slices(pa.array(texts)):
+            rows += zip(*(c.to_pylist() for c in encoder.texts(part)), strict=True)
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [(n, np.frombuffer(ids, "<u4").tolist()) for n, ids, _ in rows] == [(len(w), w) for w in want]
+        assert [shown for *_, shown in rows] == [library.decode(w, skip_special_tokens=False) for w in want]
+
+
+def test_shards_of_the_audit_are_dealt_by_their_number(spark):
+    docs = spark.createDataFrame([(k, f"w{k} the cat") for k in range(40)], "doc_id bigint, text string").repartition(6)
+    _, shards = filter_audit.document_terms(docs, "text", ["doc_id"], shard_bytes=40)
+    n = shards.select("shard").distinct().count()
+    assert n > 6 and shards.rdd.getNumPartitions() == n
