@@ -208,6 +208,14 @@ def test_a_long_series_needs_one_exact_search(monkeypatch):
     assert len(calls) > 2
 
 
+def test_days_that_come_twice_are_fitted_as_before():
+    rng = np.random.default_rng(6)
+    for n in (16, 30, 60):
+        days = np.repeat(np.sort(rng.choice(2 * n, n, replace=False)), 2)
+        fitted, off = additive_fit(days, np.repeat(rng.poisson(2, n) + 1.0, 2), 14)
+        assert np.isfinite(fitted).all() and off < 1e-9
+
+
 def test_additive_leaves_the_noise():
     rng = np.random.default_rng(9)
     days = np.sort(rng.choice(200, 120, replace=False))
