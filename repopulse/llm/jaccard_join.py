@@ -6,8 +6,8 @@
    buckets are compared in full, on short sketches, and give a spanning forest of the pairs that may
    be similar. A bucket that is too large (a passage that very many texts share) is compared in
    blocks. If that joined most of its members, the others are compared with those and go on as a
-   bucket; else it is split again on tokens sampled under its own path. What is still large after
-   the last level is compared block by block.
+   bucket; else it is split again on tokens sampled under its own path. Once what is still large has
+   few pairs for the number of sets, or after the last level, it is compared block by block.
 3. Candidate components are made from the forests. Within them all pairs are compared exactly, in
    blocks, which gives each set's number of links and the links that form the final classes.
 
@@ -27,12 +27,13 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from repopulse.llm.arrow_rows import pieces, runs
@@ -49,6 +50,10 @@ RECALL = 0.99996
 BLOCK = 2048
 EXACT_BLOCK = 512
 LEVELS = 6
+#: Blocks of sketches that each set is compared with, on average, before large buckets are split instead.
+AT_ONCE = 2
+#: From here on, sketches are compared bin by bin.
+WIDE = 256
 #: The side of members that are compared within their own block.
 WITHIN = 2
 #: Sketch bins, and the estimate from which a pair is a candidate: five deviations below the threshold of 0.8.
@@ -179,13 +184,19 @@ def _forest(alike: np.ndarray) -> np.ndarray:
 
 def _alike(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs of a left and a right sketch may reach the threshold."""
-    # Bins that one of both fills.
-    used = BINS - (left == 0).astype(np.float32) @ (right == 0).astype(np.float32).T
+    empty = (left == 0).astype(np.float32) @ (right == 0).astype(np.float32).T
     out = np.zeros((len(left), len(right)), bool)
-    filled = right != 0
+    bins = np.ascontiguousarray(right.T)
     for low in range(0, len(left), 32):
-        same = ((left[low : low + 32, None, :] == right[None, :, :]) & filled[None, :, :]).sum(axis=2)
-        out[low : low + 32] = same >= (threshold - MARGIN) * used[low : low + 32]
+        part, both = left[low : low + 32], empty[low : low + 32]
+        if len(right) < WIDE:
+            same = (part[:, None, :] == right[None, :, :]).sum(axis=2)
+        else:
+            same = np.zeros((len(part), len(right)), np.uint8)
+            for k in range(BINS):
+                same += part[:, k, None] == bins[k]
+        # Bins that both fill alike, of those that one of both fills.
+        out[low : low + 32] = same - both >= (threshold - MARGIN) * (BINS - both)
     return out
 
 
@@ -306,6 +317,9 @@ def _split(unfinished: DataFrame, texts: Callable[[DataFrame], DataFrame], plan:
 def candidate_components(sets: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: float, plan: Plan) -> DataFrame:
     """(node, root), without the roots themselves, of the pairs that may be similar. ``texts`` adds a text to a frame of set keys.
 
+    Buckets larger than a block are split, level by level, until all pairs of their members are no more than AT_ONCE blocks
+    for each set of the table; then, or on the last level, they are compared in full, block by block.
+
     Counts of buckets are written before entries are joined to them: a bucket that a third of all sets
     share is joined by broadcast, or by a join of two written tables that Spark can split.
     """
@@ -337,21 +351,29 @@ def candidate_components(sets: DataFrame, texts: Callable[[DataFrame], DataFrame
             open_members = open_members.unionByName(unfinished.where(~one_main).select("bucket", "size", "set_key"))
             main = unfinished.where(one_main)
             main = None if main.isEmpty() else main
-        open_members = settle(open_members)
-        if main is None and open_members.isEmpty():
-            return components(edges)
-        if level == LEVELS:
-            rest = open_members if main is None else open_members.unionByName(main.select("bucket", "size", "set_key"))
-            pairs = _link_groups(_block_pairs(rest.join(sketches, "set_key"), BLOCK), threshold)
-            return components(edges.unionByName(pairs.select("a", "b")))
-        entries = _split(open_members.select("bucket", "set_key"), texts, plan)
+        # The others are compared with the main component, and stay together as a bucket.
+        left = open_members.withColumn("known", F.lit(True))
         if main is not None:
-            # The others are compared with the main component, and stay together as a bucket.
-            across = settle(_link_groups(_across(main.join(sketches, "set_key"), BLOCK), threshold))
-            edges = edges.unionByName(across.select("a", "b"))
-            rest = main.where("outside").select(F.xxhash64(F.lit("outside"), "bucket").alias("bucket"), "set_key")
-            entries = rest.unionByName(entries)
-        entries = settle(entries)
+            outside = main.where("outside").select(F.xxhash64(F.lit("outside"), "bucket").alias("bucket"), F.col("outside_size").alias("size"), "set_key")
+            left = left.unionByName(outside.withColumn("known", F.lit(False)))
+        seen = Observation()
+        left = settle(left.observe(seen, F.sum("size").alias("pairs")))
+        if main is None and not seen.get["pairs"]:
+            return components(edges)
+        last = level == LEVELS or (seen.get["pairs"] or 0) <= AT_ONCE * BLOCK * sets.count()
+        wanted = ["bucket", "place", "side", "set_key", "sketch"]
+        groups = [] if main is None else [_across(main.join(sketches, "set_key"), BLOCK).select(wanted)]
+        if last:
+            # The blocks of a bucket of this level are known within themselves.
+            pairs = _block_pairs(left.join(sketches, "set_key"), BLOCK)
+            groups.append(pairs.where((F.col("side") != WITHIN) | ~F.col("known")).select(wanted))
+        if groups:
+            across = _link_groups(reduce(DataFrame.unionByName, groups), threshold)
+            edges = edges.unionByName((across if last else settle(across)).select("a", "b"))
+        if last:
+            return components(edges)
+        entries = _split(left.where("known").select("bucket", "set_key"), texts, plan)
+        entries = settle(entries.unionByName(left.where("not known").select("bucket", "set_key")))
 
 
 def _exact_groups(members: DataFrame, threshold_percent: int) -> DataFrame:

@@ -534,6 +534,29 @@ def test_large_buckets_are_split_and_compared_in_blocks(spark, monkeypatch):
         assert got == plain_classes(texts)
 
 
+@pytest.mark.parametrize("blocks", [0, 1000])
+def test_large_buckets_of_few_pairs_are_compared_without_splitting(spark, monkeypatch, blocks):
+    texts, split, calls = near_texts(), jaccard_join._split, []
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "AT_ONCE", blocks)
+    monkeypatch.setattr(jaccard_join, "LEVELS", 1)
+    monkeypatch.setattr(jaccard_join, "_split", lambda *a: calls.append(a) or split(*a))
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in jaccard_join.near_duplicates(docs_of(spark, texts)).collect()}
+    assert got == plain_classes(texts)
+    assert bool(calls) == (blocks == 0)
+
+
+def test_sketches_are_compared_alike_bin_by_bin(monkeypatch):
+    random = np.random.default_rng(3)
+    left = random.integers(0, 3, (40, jaccard_join.BINS)).astype(np.uint8)
+    right = np.where(random.random((70, jaccard_join.BINS)) < 0.25, 0, left[random.integers(0, 40, 70)]).astype(np.uint8)
+    want = [[((a == b) & (a != 0)).sum() >= 0.6 * ((a != 0) | (b != 0)).sum() for b in right] for a in left]
+    for wide in (1, 1000):
+        monkeypatch.setattr(jaccard_join, "WIDE", wide)
+        assert (jaccard_join._alike(left, right, 0.8) == want).all()
+    assert 0 < np.sum(want) < 2800
+
+
 def test_one_of_each_class_stays(spark):
     texts = near_texts()
     frame = docs_of(spark, texts, "root")
@@ -555,6 +578,17 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a string, b string")).collect() == []
 
 
+@pytest.mark.parametrize("chunk", [2, 30, 100_000])
+def test_components_of_few_edges_need_no_rounds(spark, monkeypatch, chunk):
+    lowest, rounds = graph._lowest, []
+    monkeypatch.setattr(graph, "_lowest", lambda edges: rounds.append(1) or lowest(edges))
+    edges = [(f"n{k:03}", f"n{k + 1:03}") for k in range(60) if k % 20 != 19] + [("a", "a"), ("b", "a"), (None, "a"), ("b", None)]
+    frame = spark.createDataFrame(edges * 2, "a string, b string").repartition(16)
+    got = {r.node: r.root for r in graph.components(frame, chunk).collect()}
+    assert got == {f"n{k:03}": f"n{k // 20 * 20:03}" for k in range(60) if k % 20} | {"b": "a"}
+    assert chunk < 100_000 or not rounds
+
+
 # --- BPE -----------------------------------------------------------------------------------------
 
 
