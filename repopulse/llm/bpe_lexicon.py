@@ -38,11 +38,12 @@ from repopulse.session import shared_folder
 #: Characters that str.split() takes for blanks and the tokenizer does not.
 _NOT_BLANK = regex.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile(r"[^\S\x1c-\x1f]+")
-#: Chunks, and words, that a worker keeps the ids of; its memory stays bounded on any text.
+#: Words, and chunks of other than plain words, that a worker keeps the ids of; its memory stays bounded on any text.
 CACHED = 300_000
-#: Bytes of the longest word of the lexicon, and bytes of text that are split at once.
+CACHED_CHUNKS = 50_000
+#: Bytes of the longest word of the lexicon, and bytes of text that are split and encoded at once, which bounds a worker's arrays.
 LONGEST = 64
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def _byte_letters() -> list[str]:
@@ -92,13 +93,19 @@ class Bpe:
     def _may_be_special(self, chunk: str) -> bool:
         return any(c in chunk for c in self._openers)
 
-    def pieces(self, chunk: str) -> list[tuple[str, bool]]:
-        """The words of a text without blanks, and whether each is a special token."""
+    def plain(self, chunk: str) -> tuple[str, ...]:
+        """The words of a chunk of ASCII letters with at most one mark behind them; none for other chunks."""
         if chunk.isascii():
             if chunk.isalpha():
-                return [(chunk.lower(), False)]
+                return (chunk.lower(),)
             if chunk[-1:] in self._marks and chunk[:-1].isalpha():
-                return [(chunk[:-1].lower(), False), (chunk[-1], False)]
+                return chunk[:-1].lower(), chunk[-1]
+        return ()
+
+    def pieces(self, chunk: str) -> list[tuple[str, bool]]:
+        """The words of a text without blanks, and whether each is a special token."""
+        if words := self.plain(chunk):
+            return [(word, False) for word in words]
         found = []
         for k, part in enumerate(self._special.split(chunk) if self._may_be_special(chunk) else [chunk]):
             if k % 2:
@@ -350,67 +357,63 @@ def build_lexicon(spark: SparkSession, words: DataFrame, bpe: Bpe, size: int) ->
 
 
 class Encoder:
-    """Encodes texts in one worker; the ids of words and of the chunks between blanks are kept up to a bound.
+    """Encodes texts in one worker; the ids of words and of other chunks between blanks are kept up to a bound.
 
     The words of the lexicon, whose number is bounded, are read from its automaton at once.
     """
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon) -> None:
-        self.bpe, self.lexicon = bpe, lexicon.entries()
-        self._words: dict[str, list[int]] = {}
-        self._chunks: dict[str, tuple[bytes, str]] = {}
+        self.bpe, self.lexicon = bpe, {word: _packed(ids) for word, ids in lexicon.entries().items()}
+        self._tokens = pa.array([bpe.tokens.get(i) for i in range(max(bpe.tokens) + 1)], pa.string())
+        self._words: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
 
     @staticmethod
-    def _keep(kept: dict, key: str, value) -> None:
-        if len(kept) >= CACHED:
+    def _keep(kept: dict[str, bytes], key: str, ids: bytes, most: int) -> None:
+        if len(kept) >= most:
             kept.clear()
         if len(key) <= LONGEST:
-            kept[key] = value
+            kept[key] = ids
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         ids = self.lexicon.get(word)
         if ids is None:
             ids = self._words.get(word)
             if ids is None:
-                ids = self.bpe.merge(word)
-                self._keep(self._words, word, ids)
+                ids = _packed(self.bpe.merge(word))
+                self._keep(self._words, word, ids, CACHED)
         return ids
 
-    def chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers, and the tokens joined by blanks."""
-        found = self._chunks.get(chunk)
-        if found is None:
-            ids: list[int] = []
-            for word, special in self.bpe.pieces(chunk):
-                ids += [self.bpe.special[word]] if special else self.word(word)
-            found = (struct.pack(f"<{len(ids)}I", *ids), decode(self.bpe, ids))
-            self._keep(self._chunks, chunk, found)
-        return found
+    def chunk(self, chunk: str) -> bytes:
+        """Ids as little-endian 32-bit integers. Chunks of plain words are put together, not kept beside their words."""
+        if words := self.bpe.plain(chunk):
+            return self.word(words[0]) if len(words) == 1 else self.word(words[0]) + self.word(words[1])
+        ids = self._chunks.get(chunk)
+        if ids is None:
+            ids = b"".join(_packed([self.bpe.special[word]]) if special else self.word(word) for word, special in self.bpe.pieces(chunk))
+            self._keep(self._chunks, chunk, ids, CACHED_CHUNKS)
+        return ids
 
     def texts(self, texts: pa.Array) -> list[pa.Array]:
         """n_tokens, ids and decoded of whole texts; what is found once for a chunk is laid out for all its places."""
         coded, ends = _split(texts)
         codes = coded.indices.to_numpy()
         found = [self.chunk(c) for c in coded.dictionary.to_pylist()]
-        pool = np.frombuffer(b"".join(f[0] for f in found), "<u4")
-        sizes = np.fromiter((len(f[0]) // 4 for f in found), np.int64, len(found))
+        pool = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter((len(f) // 4 for f in found), np.int64, len(found))
         begins = np.cumsum(sizes) - sizes
         counts = sizes[codes]
         upto = np.concatenate(([0], np.cumsum(counts)))
         ids = pool[np.repeat(begins[codes] - upto[:-1], counts) + np.arange(upto[-1])]
-        bounds = np.concatenate(([0], ends))
-        tokens = upto[bounds]
+        tokens = upto[np.concatenate(([0], ends))]
         blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(4 * tokens), pa.py_buffer(ids)])
-        held = counts > 0
-        places = np.concatenate(([0], np.cumsum(held)))[bounds]
-        shown = pa.array([f[1] for f in found], pa.string()).take(pa.array(codes[held]))
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(places, pa.int32()), shown), " ")
-        return [pa.array(np.diff(tokens), pa.int64()), blobs.cast(pa.binary()), joined]
+        # Without a decoder, tokens are joined by blanks.
+        shown = pa.ListArray.from_arrays(pa.array(tokens, pa.int32()), self._tokens.take(pa.array(ids)))
+        return [pa.array(np.diff(tokens), pa.int64()), blobs.cast(pa.binary()), pc.binary_join(shown, " ")]
 
 
-def decode(bpe: Bpe, ids: Iterable[int]) -> str:
-    """Without a decoder, tokens are joined by blanks."""
-    return " ".join(bpe.tokens[i] for i in ids)
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, lexicon_size: int = 20_000, text: str = "text") -> DataFrame:

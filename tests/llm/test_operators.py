@@ -714,6 +714,21 @@ def test_texts_are_encoded_alike_in_runs_of_any_size(monkeypatch):
         assert [shown for *_, shown in rows] == [library.decode(w, skip_special_tokens=False) for w in want]
 
 
+def test_a_worker_keeps_plain_chunks_once_and_encodes_in_small_runs(tmp_path):
+    """Chunks of letters are kept by their words alone, and a run of texts holds no more than a few megabytes."""
+    bpe = bpe_lexicon.Bpe.from_file(TOKENIZER)
+    (path := tmp_path / "lexicon.bin").write_bytes(bpe_lexicon.compile_lexicon(["the", "cat"], bpe.merge))
+    encoder = bpe_lexicon.Encoder(bpe, bpe_lexicon.Lexicon(str(path)))
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = [" ".join(w.translate(letters) + mark for w in words(k, 400) for mark in ("", ",", ".")) + " it's" for k in range(5)]
+    assert [n for n, *_ in zip(*(c.to_pylist() for c in encoder.texts(pa.array(texts))), strict=True)] == [
+        len(Tokenizer.from_file(TOKENIZER).encode(t, add_special_tokens=False).ids) for t in texts
+    ]
+    assert set(encoder._chunks) == {"it's"} and all(isinstance(ids, bytes) for ids in encoder._words.values())
+    many = pa.array([" ".join(words(k, 400)) for k in range(40)] * 60)
+    assert len(list(bpe_lexicon._slices(many))) >= many.nbytes >> 21
+
+
 def test_shards_of_the_audit_are_dealt_by_their_number(spark):
     docs = spark.createDataFrame([(k, f"w{k} the cat") for k in range(40)], "doc_id bigint, text string").repartition(6)
     _, shards = filter_audit.document_terms(docs, "text", ["doc_id"], shard_bytes=40)
